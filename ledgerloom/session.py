@@ -25,7 +25,7 @@ def build_session(
     """Session with the engine's settings; on a cluster leave ``master`` to spark-submit."""
     builder = SparkSession.builder.appName(app)
     if master:
-        builder = builder.master(master).config("spark.ui.enabled", "false")
+        builder = builder.master(master).config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for key, value in CLUSTER_CONF.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
