@@ -146,22 +146,32 @@ def running_sum(
     keys: Sequence[str],
     order: Sequence[Column],
     value: Column,
-    bucket: Column,
+    bucket: Column | Sequence[Column],
     out: str,
 ) -> DataFrame:
     """F-11: running total in a given order, exact for groups of any size.
 
-    ``bucket`` must never decrease along the order (a day of the time column, a prefix of the
+    ``bucket`` must never decrease along the order (a day of the time column, a range of the
     leading key).  Level one adds up inside (keys, bucket); level two adds the totals of
-    earlier buckets, a table with one row per key and bucket.  With no keys the total runs
-    over the whole table and level two has one row per bucket.
+    earlier buckets, a table with one row per key and bucket.  A list of buckets, fine to
+    coarse, adds levels: a total over the whole table (no keys) takes a coarse bucket with a
+    bounded number of values last, so that its top level is small whatever the table's size.
     """
+    buckets = [bucket] if isinstance(bucket, Column) else list(bucket)
+    fine, coarser = buckets[0], buckets[1:]
     base = df.withColumn("__g", F.struct(F.lit(0), *[F.col(k) for k in keys]))
-    base = base.withColumn("__kb", F.struct(F.col("__g"), bucket.alias("b"))).withColumn("__v", value)
+    base = base.withColumn("__kb", F.struct(F.col("__g"), fine.alias("b"), *[c.alias(f"c{i}") for i, c in enumerate(coarser)]))
+    base = base.withColumn("__v", value)
     local = Window.partitionBy("__kb").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     totals = base.groupBy("__kb").agg(F.sum("__v").alias("__t"))
-    earlier = Window.partitionBy("__kb.__g").orderBy("__kb.b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("__kb", F.coalesce(F.sum("__t").over(earlier), F.lit(0)).alias("__off"))
+    if coarser:
+        upper = totals.select(F.col("__kb").alias("__id"), F.col("__kb.__g").alias("__h"), "__t")
+        rest = [F.col(f"__id.c{i}") for i in range(len(coarser))]
+        upper = running_sum(upper, ["__h"], [F.col("__id.b")], F.col("__t"), rest, "__upto")
+        offsets = upper.select(F.col("__id").alias("__kb"), (F.col("__upto") - F.col("__t")).alias("__off"))
+    else:
+        earlier = Window.partitionBy("__kb.__g").orderBy("__kb.b").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = totals.select("__kb", F.coalesce(F.sum("__t").over(earlier), F.lit(0)).alias("__off"))
     inside = base.withColumn("__in", F.sum("__v").over(local))
     return (
         inside.join(offsets, "__kb")
@@ -170,7 +180,18 @@ def running_sum(
     )
 
 
-def sequence_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], bucket: Column, out: str) -> DataFrame:
+def range_bucket(df: DataFrame, c: str, parts: int = 1000) -> Column:
+    """Order-preserving bucket of a numeric column with at most ``parts`` + 2 values.
+
+    Equal widths between the column's least and greatest value, both scalar subqueries.
+    """
+    low, high = df.agg(F.min(c)).scalar(), df.agg(F.max(c)).scalar()
+    return F.coalesce(F.width_bucket(F.col(c).cast("double"), low.cast("double"), high.cast("double"), F.lit(parts)), F.lit(0))
+
+
+def sequence_in_group(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], bucket: Column | Sequence[Column], out: str
+) -> DataFrame:
     """F-03, F-12, F-14: row number per key that keeps every row, exact for groups of any size."""
     return running_sum(df, keys, order, F.lit(1).cast("long"), bucket, out)
 

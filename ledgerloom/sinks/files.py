@@ -20,10 +20,10 @@ def trailer(detail: DataFrame, file_keys: Sequence[str], amount: Column | None,
     return detail.groupBy(*file_keys).agg(*aggs)
 
 
-def file_lines(header: DataFrame, detail: DataFrame, tail: DataFrame, order: Sequence[str]) -> DataFrame:
+def file_lines(header: DataFrame, detail: DataFrame, tail: DataFrame) -> DataFrame:
     """B-09: one table of H, D and T rows, columns aligned by name.
 
-    The row order is carried as data (``line_rank`` and the order columns); sorting happens on
+    The row order is carried as data (``line_rank`` and the sort columns); sorting happens on
     write, range-partitioned, so a big file spreads over many tasks.
     """
     parts = []
@@ -33,7 +33,6 @@ def file_lines(header: DataFrame, detail: DataFrame, tail: DataFrame, order: Seq
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
-    del order
     return out
 
 
