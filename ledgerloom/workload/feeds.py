@@ -257,6 +257,14 @@ FROM (SELECT 'PURCHASE' AS tran_type_desc, 1 AS settlement_amount_flag, 1 AS spe
       UNION ALL SELECT 'PURCHASE WITH CASHOUT REVERSAL', 1, -1 UNION ALL SELECT 'REFUND REVERSAL', 1, 1
       UNION ALL SELECT 'CASHOUT REVERSAL', 1, -1 UNION ALL SELECT 'REDEMPTION REVERSAL', 1, -1
       UNION ALL SELECT 'ACTIVATION REVERSAL', 1, 1) t""",
+    "factor": """
+SELECT f.transaction_type AS transaction_type, f.tran_qualifier AS tran_qualifier, f.settlement_factor AS settlement_factor, f.record_type AS record_type
+FROM (SELECT 'GIFT CARD REDEEM' AS transaction_type, 'INTERNAL' AS tran_qualifier, 1 AS settlement_factor, '1' AS record_type
+      UNION ALL SELECT 'GIFT CARD REDEEM', 'ISO', 1, '1' UNION ALL SELECT 'GIFT CARD ACTIVATE', 'INTERNAL', -1, '2'
+      UNION ALL SELECT 'GIFT CARD RELOAD', 'INTERNAL', 0, '2' UNION ALL SELECT 'PURCHASE', 'WEX', 1, '1' UNION ALL SELECT 'PURCHASE', 'QC', 1, '1'
+      UNION ALL SELECT 'N', '', 1, '3' UNION ALL SELECT 'P', '', 1, '3' UNION ALL SELECT 'R', '', -1, '4' UNION ALL SELECT 'N-', '', -1, '4'
+      UNION ALL SELECT 'PURCHASE', 'CY', 1, '5' UNION ALL SELECT 'REFUND', 'CY', -1, '6'
+      UNION ALL SELECT 'ACTIVATION', 'QP', 1, '7' UNION ALL SELECT 'CANCELLATION', 'QP', -1, '8') f""",
     "response_code": "SELECT '000' AS action_code, 'Y' AS approval_flag UNION ALL SELECT '051', 'N'",
     # switch rows with kind, scheme and approval worked out: the analytics grain
     "billing": """
