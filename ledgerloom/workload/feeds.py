@@ -197,6 +197,7 @@ SELECT cast(o_orderdate + INTERVAL 30 DAY as date) AS file_date,
        CASE WHEN o_orderkey % 5 IN (0, 1, 2) THEN o_orderdate + INTERVAL 7 DAY END AS rr_sent_dttm_utc,
        CASE WHEN o_orderkey % 5 IN (1, 2, 3) THEN o_orderdate + INTERVAL 12 DAY END AS response_dttm_utc,
        CASE WHEN o_orderkey % 7 IN (0, 3) THEN o_orderdate + INTERVAL 20 DAY END AS charged_dt,
+       CASE WHEN o_orderkey % 6 IN (0, 1) THEN o_orderdate + INTERVAL 15 DAY END AS chgbk_challenge_dt,
        CASE WHEN o_orderkey % 11 IN (0, 4) THEN o_orderdate + INTERVAL 25 DAY END AS chgbk_rev_dt
 FROM orders""",
     "sap_map": f"""
