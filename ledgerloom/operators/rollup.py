@@ -32,13 +32,15 @@ def levels(
     """D-19: the same sums at several grains, rolled-up keys shown as ``label``.
 
     The facts are summed once at the finest grain and only that small result is expanded to
-    the grouping sets.  ``grouping`` tells a rolled-up key from a real null.
+    the grouping sets.  ``grouping`` tells a rolled-up key from a real null.  A key that is in
+    every set keeps its type, the others become text.
     """
     fine = df.groupBy(*keys).agg(*[v.alias(n) for n, v in sums.items()])
     out = fine.groupingSets([[F.col(k) for k in s] for s in sets], *keys).agg(
         *[F.sum(n).alias(n) for n in sums], *[F.grouping(k).alias(f"__g_{k}") for k in keys]
     )
-    shown = [F.when(F.col(f"__g_{k}") == 1, label).otherwise(F.col(k)).alias(k) for k in keys]
+    kept = {k for k in keys if all(k in s for s in sets)}
+    shown = [F.col(k) if k in kept else F.when(F.col(f"__g_{k}") == 1, label).otherwise(F.col(k).cast("string")).alias(k) for k in keys]
     return out.select(*shown, *sums)
 
 

@@ -148,6 +148,8 @@ def running_sum(
     value: Column,
     bucket: Column | Sequence[Column],
     out: str,
+    source: DataFrame | None = None,
+    source_value: Column | None = None,
 ) -> DataFrame:
     """F-11: running total in a given order, exact for groups of any size.
 
@@ -156,14 +158,23 @@ def running_sum(
     earlier buckets, a table with one row per key and bucket.  A list of buckets, fine to
     coarse, adds levels: a total over the whole table (no keys) takes a coarse bucket with a
     bounded number of values last, so that its top level is small whatever the table's size.
+
+    The bucket totals are taken from ``source`` (default: ``df`` itself).  When several running
+    columns are stacked, pass the common input here, or the earlier steps run once more for
+    every step on top of them.  It must hold every (keys, bucket) of ``df``.
     """
     buckets = [bucket] if isinstance(bucket, Column) else list(bucket)
     fine, coarser = buckets[0], buckets[1:]
-    base = df.withColumn("__g", F.struct(F.lit(0), *[F.col(k) for k in keys]))
-    base = base.withColumn("__kb", F.struct(F.col("__g"), fine.alias("b"), *[c.alias(f"c{i}") for i, c in enumerate(coarser)]))
-    base = base.withColumn("__v", value)
+
+    def placed(rows: DataFrame, v: Column) -> DataFrame:
+        rows = rows.withColumn("__g", F.struct(F.lit(0), *[F.col(k) for k in keys]))
+        place = F.struct(F.col("__g"), fine.alias("b"), *[c.alias(f"c{i}") for i, c in enumerate(coarser)])
+        return rows.withColumn("__kb", place).withColumn("__v", v)
+
+    base = placed(df, value)
     local = Window.partitionBy("__kb").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    totals = base.groupBy("__kb").agg(F.sum("__v").alias("__t"))
+    counted = base if source is None else placed(source, value if source_value is None else source_value)
+    totals = counted.groupBy("__kb").agg(F.sum("__v").alias("__t"))
     if coarser:
         upper = totals.select(F.col("__kb").alias("__id"), F.col("__kb.__g").alias("__h"), "__t")
         rest = [F.col(f"__id.c{i}") for i in range(len(coarser))]
@@ -190,10 +201,13 @@ def range_bucket(df: DataFrame, c: str, parts: int = 1000) -> Column:
 
 
 def sequence_in_group(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], bucket: Column | Sequence[Column], out: str
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], bucket: Column | Sequence[Column], out: str, source: DataFrame | None = None
 ) -> DataFrame:
-    """F-03, F-12, F-14: row number per key that keeps every row, exact for groups of any size."""
-    return running_sum(df, keys, order, F.lit(1).cast("long"), bucket, out)
+    """F-03, F-12, F-14: row number per key that keeps every row, exact for groups of any size.
+
+    ``source`` as in ``running_sum``: the input that a stack of sequences has in common.
+    """
+    return running_sum(df, keys, order, F.lit(1).cast("long"), bucket, out, source)
 
 
 def flag_duplicates(

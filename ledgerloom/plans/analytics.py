@@ -59,8 +59,7 @@ def auth_rates(billing: DataFrame, store: DataFrame, frames: Sequence[str] = ("M
     framed = R.timeframes(billing, "tran_date", dims, sums, frames)
     sets = [["timeframe", "period_start", *place, *lens] for place in (["store_id"], []) for lens in ([], ["scheme"], ["declined_reason"])]
     again = {n: F.sum(n) for n in sums}
-    # the period columns are in every set, so they survive as they are
-    out = _keep_types(R.levels(framed, ["timeframe", "period_start", *dims], sets, again), framed, ["period_start"])
+    out = R.levels(framed, ["timeframe", "period_start", *dims], sets, again)
     out = J.lookup(out, store, {"store_id": "store_id"}, ["brand", "merchant_group"])
     out = out.withColumn("auth_rate", M.ratio(F.col("n_approved"), F.col("n"))).withColumn("declined_rate", M.ratio(F.col("n_declined"), F.col("n")))
     out = W.prior_period(out, ["timeframe", *dims], _frame_index(), {"__prev": F.col("auth_rate")}, 1)
@@ -80,12 +79,6 @@ def auth_rates(billing: DataFrame, store: DataFrame, frames: Sequence[str] = ("M
     )
 
 
-def _keep_types(df: DataFrame, like: DataFrame, names: Sequence[str]) -> DataFrame:
-    for n in names:
-        df = df.withColumn(n, F.col(n).cast(like.schema[n].dataType))
-    return df
-
-
 def fee_sums(approved: str = "A") -> dict[str, Column]:
     """D-07: net amounts and fees of approved rows."""
     ok = F.col("approval") == approved

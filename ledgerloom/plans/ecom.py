@@ -134,17 +134,22 @@ def customer_profile(orders: DataFrame, attributes: Sequence[str] = ("address",
     """
     order = [F.col("order_time"), F.col("request_id")]
     day = F.col("order_time").cast("date")
-    rows = W.sequence_in_group(orders, ["customer_id"], order, day, "order_no")
+    base = orders.select("customer_id", "order_time", "request_id", *attributes)
+    rows = W.sequence_in_group(base, ["customer_id"], order, day, "order_no", base)
     for a in attributes:
-        rows = W.sequence_in_group(rows, ["customer_id", a], order, day, f"{a}_no")
+        rows = W.sequence_in_group(rows, ["customer_id", a], order, day, f"{a}_no", base)
         rows = rows.withColumn(f"is_new_{a}", F.when(F.col(f"{a}_no") == 1, 1).otherwise(0).cast("long"))
+        # what the running count adds up per bucket: the first order of every value
+        first = base.groupBy("customer_id", a).agg(F.min(F.struct("order_time", "request_id")).alias("f"))
+        ones = first.select("customer_id", "f.order_time", "f.request_id", F.lit(1).cast("long").alias("one"))
+        marks = base.select("customer_id", "order_time", "request_id", F.lit(0).cast("long").alias("one")).unionByName(ones)
+        new = F.col(f"is_new_{a}")
         if across_customers:
             spread = [F.struct("customer_id", day), W.range_bucket(orders, "customer_id")]
-            rows = W.running_sum(rows, [], [F.col("customer_id"), *order], F.col(f"is_new_{a}"), spread, f"{a}_seen")
+            rows = W.running_sum(rows, [], [F.col("customer_id"), *order], new, spread, f"{a}_seen", marks, F.col("one"))
         else:
-            rows = W.running_sum(rows, ["customer_id"], order, F.col(f"is_new_{a}"), day, f"{a}_seen")
-    # distinct values are the rows marked new, so one plain aggregate gives all totals
-    totals = rows.groupBy("customer_id").agg(F.count("*").alias("total_orders"), *[F.sum(f"is_new_{a}").alias(f"total_{a}") for a in attributes])
+            rows = W.running_sum(rows, ["customer_id"], order, new, day, f"{a}_seen", marks, F.col("one"))
+    totals = base.groupBy("customer_id").agg(F.count("*").alias("total_orders"), *[F.countDistinct(a).alias(f"total_{a}") for a in attributes])
     rows = rows.join(totals, "customer_id")
     steady = F.col("total_orders") >= min_orders
     out = rows.withColumn("is_order_consistent", F.when(steady, 1).otherwise(0))

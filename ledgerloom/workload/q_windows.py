@@ -115,8 +115,8 @@ def _f11p(t: Tables):
 )
 def _f12(t: Tables):
     order, day = [col("ts"), col("event_id")], col("ts").cast("date")
-    one = W.sequence_in_group(t.events, ["user_id"], order, day, "nth_of_user")
-    return W.sequence_in_group(one, ["user_id", "event_type"], order, day, "nth_of_type").select("event_id", "nth_of_user", "nth_of_type")
+    one = W.sequence_in_group(t.events, ["user_id"], order, day, "nth_of_user", t.events)
+    return W.sequence_in_group(one, ["user_id", "event_type"], order, day, "nth_of_type", t.events).select("event_id", "nth_of_user", "nth_of_type")
 
 
 @query("f13_period_rank", "SELECT o_orderkey, dense_rank() OVER (ORDER BY date_trunc('month', o_orderdate) DESC) AS month_rank FROM orders")
