@@ -8,6 +8,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def at(moment: dt.datetime) -> Column:
+    """Literal wall time, independent of the machine's and the session's time zone."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def month_start(d: Column) -> Column:
     return F.trunc(d, "month")
 

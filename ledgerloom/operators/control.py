@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import dates as D
 from ledgerloom.functions import text as X
 from ledgerloom.operators import rollup as R
 from ledgerloom.sinks import tables as S
@@ -48,7 +49,7 @@ def control_rows(
 ) -> DataFrame:
     """J-13: one row per output with its first and last transaction time, run time when empty."""
     spans = detail.groupBy(name).agg(F.min(ts).alias("__lo"), F.max(ts).alias("__hi"))
-    now = F.lit(run_ts).cast("timestamp_ntz")
+    now = D.at(run_ts)
     return names.select(name).distinct().join(spans, name, "left").select(
         F.lit(batch).alias("batch_number"),
         F.lit(run_ts.date()).alias("processing_date"),

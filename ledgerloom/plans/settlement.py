@@ -384,14 +384,14 @@ def payout_instructions(lines: DataFrame, store: DataFrame, windows: DataFrame,
     rows = J.lookup(rows, direct, {"division": X.norm_key(F.col("division"))}, ["commission_store"], "inner")
     rows = rows.where(~F.col("location").eqNullSafe(F.col("commission_store")))
     monday = run_ts.date() + dt.timedelta(days=7 - run_ts.weekday())
-    start = D.utc_from_local(F.lit(dt.datetime.combine(monday, dt.time(10))), zone)
+    start = D.utc_from_local(D.at(dt.datetime.combine(monday, dt.time(10))), zone)
     per = rows.groupBy("division", "location", "day", F.col("file_name").alias("batch_name")).agg(F.sum("amount_cents").alias("amount"))
     return per.select(
         "division",
         F.concat(F.col("location"), F.date_format("day", "yyyyMMdd"), F.lit(run_ts.strftime("%Y-%m-%dT%H:%M:%S"))).alias("merchant_payment_uid"),
         "amount",
         "batch_name",
-        F.lit(run_ts).cast("timestamp_ntz").alias("batch_datetime"),
+        D.at(run_ts).alias("batch_datetime"),
         (start if run_ts.weekday() >= 5 else F.lit(None).cast("timestamp_ntz")).alias("payment_initiated_at"),
     )
 

@@ -9,6 +9,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import dates as D
+
 RANK = {"H": 0, "D": 1, "T": 2}
 
 
@@ -100,7 +102,7 @@ def entity_sequence(df: DataFrame, entity: str, out: str = "entity_seq") -> Data
 
 def stamped_name(prefix: str, run_ts: dt.datetime, seq: Column) -> Column:
     """J-19: file time is the batch end plus the entity's index in seconds."""
-    ts = F.lit(run_ts).cast("timestamp_ntz") + F.make_dt_interval(secs=seq.cast("decimal(18,6)"))
+    ts = D.at(run_ts) + F.make_dt_interval(secs=seq.cast("decimal(18,6)"))
     return F.concat(F.lit(prefix + "_"), F.date_format(ts, "yyyyMMddHHmmss"))
 
 

@@ -8,6 +8,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import dates as D
+
 
 def replace_table(df: DataFrame, table: str) -> None:
     """B-01, B-02, J-04: full reload.
@@ -55,7 +57,7 @@ def append_partitioned(df: DataFrame, path: str, by: str, files_per_value: int =
 
 def history_append(df: DataFrame, table: str, run_ts: dt.datetime) -> None:
     """B-06: current output plus its run time, appended to the history."""
-    append(df.select(F.lit(run_ts).cast("timestamp_ntz").alias("run_ts"), "*"), table)
+    append(df.select(D.at(run_ts).alias("run_ts"), "*"), table)
 
 
 def replace_partitions(df: DataFrame, path: str, by: str) -> None:

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.functions import dates as D
+
 AUDIT = ["file_date", "file_name", "load_time", "payload_id"]
 
 # fixed values: default text formats per type
@@ -102,7 +104,7 @@ def with_audit(df: DataFrame, file_date: Column, load_time: dt.datetime, payload
     return df.select(
         file_date.cast("date").alias("file_date"),
         "file_name",
-        F.lit(load_time).cast("timestamp_ntz").alias("load_time"),
+        D.at(load_time).alias("load_time"),
         F.lit(payload_id).alias("payload_id"),
         *rest,
     )

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.functions import dates as D
 from ledgerloom.sources import ingest
 
 
@@ -58,9 +59,9 @@ def nrt_tail(
     """
     newest = batch_fact.groupBy(store).agg(F.max(ts).alias("__newest"))
     tail = live.join(newest, store, "left").where(F.col("__newest").isNull() | (F.col(ts) > F.col("__newest"))).drop("__newest")
-    tail = tail.where(F.col(ts) <= F.lit(now).cast("timestamp_ntz"))
+    tail = tail.where(F.col(ts) <= D.at(now))
     if floor_days is not None:
-        tail = tail.where(F.col(ts) >= F.lit(now - dt.timedelta(days=floor_days)).cast("timestamp_ntz"))
+        tail = tail.where(F.col(ts) >= D.at(now - dt.timedelta(days=floor_days)))
     return batch_fact.withColumn("src_type", F.lit("BATCH")).unionByName(
         tail.withColumn("src_type", F.lit("NRT")), allowMissingColumns=True
     )

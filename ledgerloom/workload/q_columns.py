@@ -178,8 +178,8 @@ def _c20(t: Tables):
 
 @query("c21_parameters", "SELECT o_orderkey FROM orders WHERE o_orderdate >= TIMESTAMP '2000-07-15' AND o_orderstatus = 'F'")
 def _c21(t: Tables):
-    text = "SELECT o_orderkey FROM {orders} WHERE o_orderdate >= :since AND o_orderstatus = :status"
-    return t.spark.sql(text, args={"since": dt.datetime(2000, 7, 15), "status": "F"}, orders=t.orders)
+    text = "SELECT o_orderkey FROM {orders} WHERE o_orderdate >= CAST(:since AS TIMESTAMP_NTZ) AND o_orderstatus = :status"
+    return t.spark.sql(text, args={"since": "2000-07-15 00:00:00", "status": "F"}, orders=t.orders)
 
 
 @query("c22_run_guard", "SELECT o_orderkey FROM orders WHERE (SELECT count(*) FROM lineitem WHERE CAST(l_shipdate AS DATE) = DATE '2001-07-14') > 0 AND o_orderstatus = 'P'")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.functions import dates as D
 from ledgerloom.functions import text as X
 from ledgerloom.sinks import files as S
 from ledgerloom.sinks import tables as W
@@ -213,7 +214,7 @@ def _b04(t: Tables):
 @query("b06_history", "SELECT '2001-07-15 06:30:00' AS run_ts, n_name, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL")
 def _b06(t: Tables):
     per = t.customer.join(t.nation, col("c_nationkey") == col("n_nationkey")).groupBy("n_name").agg(F.count("*").alias("n"))
-    return per.select(F.lit(RUN_TS).cast("timestamp_ntz").alias("run_ts"), "*")
+    return per.select(D.at(RUN_TS).alias("run_ts"), "*")
 
 
 @query("b07_export_delimited", "SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name FROM supplier")
