@@ -6,11 +6,12 @@ import datetime as dt
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions import dates as D
+from ledgerloom.sources.tables import local_table
 
 AUDIT = ["file_date", "file_name", "load_time", "payload_id"]
 
@@ -143,10 +144,13 @@ def empty_file_audit(files: DataFrame, rows: DataFrame) -> DataFrame:
     )
 
 
-def list_files(spark, path: str) -> DataFrame:
-    """File names and sizes without reading contents; empty files are listed too."""
-    files = spark.read.format("binaryFile").load(path)
-    return files.select(F.substring_index("path", "/", -1).alias("file_name"), F.col("length").alias("bytes"))
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """File names and sizes from the folder's listing; empty files are listed too."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [(f.getPath().getName(), f.getLen()) for f in fs.listStatus(folder) if f.isFile()]
+    return local_table(spark, "file_name string, bytes long", found)
 
 
 def next_date_files(files: DataFrame, loaded: DataFrame) -> DataFrame:

@@ -13,13 +13,18 @@ from ledgerloom.workload.feeds import Tables
 from ledgerloom.workload.registry import query
 
 col = F.col
-CENTS = F.round(col("l_extendedprice") * 100).cast("long")
+
+
+def cents():
+    return F.round(col("l_extendedprice") * 100).cast("long")
+
+
 _C = "CAST(round(l_extendedprice * 100) AS BIGINT)"
 
 
 @query("d01_d02_group_sum", f"SELECT l_returnflag, l_linestatus, CAST(sum({_C}) AS BIGINT) AS cents FROM lineitem GROUP BY 1, 2")
 def _d01(t: Tables):
-    return t.lineitem.groupBy("l_returnflag", "l_linestatus").agg(F.sum(CENTS).alias("cents"))
+    return t.lineitem.groupBy("l_returnflag", "l_linestatus").agg(F.sum(cents()).alias("cents"))
 
 
 @query("d03_d04_counts", "SELECT l_suppkey, count(*) AS n, count(nullif(l_returnflag, 'N')) AS n_flag, count(DISTINCT l_partkey) AS parts, count(DISTINCT l_orderkey) AS orders FROM lineitem GROUP BY 1")
@@ -35,7 +40,7 @@ def _d05(t: Tables):
 
 @query("d06_conditional_sum", f"SELECT l_suppkey, CAST(sum(CASE WHEN l_returnflag = 'R' THEN {_C} ELSE 0 END) AS BIGINT) AS returned, CAST(sum(CASE WHEN l_tax > 0.05 THEN 1 ELSE 0 END) AS BIGINT) AS taxed FROM lineitem GROUP BY 1")
 def _d06(t: Tables):
-    return t.lineitem.groupBy("l_suppkey").agg(R.sum_if(col("l_returnflag") == "R", CENTS).alias("returned"), R.sum_if(col("l_tax") > 0.05).alias("taxed"))
+    return t.lineitem.groupBy("l_suppkey").agg(R.sum_if(col("l_returnflag") == "R", cents()).alias("returned"), R.sum_if(col("l_tax") > 0.05).alias("taxed"))
 
 
 @query(
@@ -45,7 +50,7 @@ def _d06(t: Tables):
 )
 def _d07(t: Tables):
     k = col("l_returnflag")
-    return t.lineitem.groupBy("l_suppkey", D.month_start(col("l_shipdate").cast("date")).alias("mon")).agg(R.net(k, ["A", "N"], ["R"], CENTS).alias("net_cents"), R.net(k, ["A", "N"], ["R"]).alias("net_count"))
+    return t.lineitem.groupBy("l_suppkey", D.month_start(col("l_shipdate").cast("date")).alias("mon")).agg(R.net(k, ["A", "N"], ["R"], cents()).alias("net_cents"), R.net(k, ["A", "N"], ["R"]).alias("net_count"))
 
 
 @query(
@@ -79,7 +84,7 @@ def _d11(t: Tables):
 
 @query("d12_distinct_after_group", f"SELECT DISTINCT l_suppkey, CAST(sum({_C}) // 100000 AS BIGINT) AS size FROM lineitem GROUP BY l_suppkey, l_returnflag")
 def _d12(t: Tables):
-    per = t.lineitem.groupBy("l_suppkey", "l_returnflag").agg(F.sum(CENTS).alias("c"))
+    per = t.lineitem.groupBy("l_suppkey", "l_returnflag").agg(F.sum(cents()).alias("c"))
     return per.select("l_suppkey", F.floor(col("c") / 100000).alias("size")).distinct()
 
 
@@ -90,12 +95,12 @@ def _d13(t: Tables):
 
 @query("d15_global_aggregate", f"SELECT count(*) AS n, CAST(max(l_shipdate) AS VARCHAR) AS newest, CAST(sum({_C}) AS BIGINT) AS cents FROM lineitem")
 def _d15(t: Tables):
-    return t.lineitem.agg(F.count("*").alias("n"), F.max("l_shipdate").alias("newest"), F.sum(CENTS).alias("cents"))
+    return t.lineitem.agg(F.count("*").alias("n"), F.max("l_shipdate").alias("newest"), F.sum(cents()).alias("cents"))
 
 
 @query("d16_trailer_totals", f"SELECT l_suppkey, count(*) AS detail_count, CAST(sum({_C}) AS BIGINT) AS detail_total FROM lineitem GROUP BY 1")
 def _d16(t: Tables):
-    return S.trailer(t.lineitem, ["l_suppkey"], CENTS)
+    return S.trailer(t.lineitem, ["l_suppkey"], cents())
 
 
 @query(
@@ -182,7 +187,7 @@ def _g06(t: Tables):
  SELECT l_returnflag, 'Discount', CAST(round(l_discount * 100) AS BIGINT) FROM lineitem) GROUP BY ALL""",
 )
 def _g08(t: Tables):
-    sums = t.lineitem.groupBy("l_returnflag").agg(F.sum(col("l_quantity").cast("long")).alias("q"), F.sum(CENTS).alias("s"), F.sum(F.round(col("l_discount") * 100).cast("long")).alias("d"))
+    sums = t.lineitem.groupBy("l_returnflag").agg(F.sum(col("l_quantity").cast("long")).alias("q"), F.sum(cents()).alias("s"), F.sum(F.round(col("l_discount") * 100).cast("long")).alias("d"))
     return R.lenses(sums, ["l_returnflag"], "lens", "value", {"Quantity": col("q"), "Sales": col("s"), "Discount": col("d")})
 
 

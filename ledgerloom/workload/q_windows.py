@@ -11,12 +11,15 @@ from ledgerloom.workload.registry import query
 
 col = F.col
 _FULL = "l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus"
-_ORDER = [col(c.strip()) for c in _FULL.split(",")]
+
+
+def _order():
+    return [col(c.strip()) for c in _FULL.split(",")]
 
 
 @query("f01_keep_first", f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {_FULL}) AS rn FROM lineitem) WHERE rn = 1")
 def _f01(t: Tables):
-    return W.keep_first(t.lineitem, ["l_orderkey", "l_linenumber"], _ORDER).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    return W.keep_first(t.lineitem, ["l_orderkey", "l_linenumber"], _order()).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
 
 
 @query("f02_reject_all_copies", "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem QUALIFY count(*) OVER (PARTITION BY l_orderkey, l_linenumber) = 1")
@@ -29,7 +32,7 @@ def _f02(t: Tables):
     f"SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, CASE WHEN row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {_FULL}) > 1 THEN 'Duplicate transaction' END AS finding FROM lineitem",
 )
 def _f03(t: Tables):
-    out = W.flag_duplicates(t.lineitem, ["l_orderkey", "l_linenumber"], _ORDER, col("l_shipdate").cast("date"), "Duplicate transaction", "finding")
+    out = W.flag_duplicates(t.lineitem, ["l_orderkey", "l_linenumber"], _order(), col("l_shipdate").cast("date"), "Duplicate transaction", "finding")
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "finding")
 
 
@@ -128,7 +131,7 @@ def _f13(t: Tables):
 @query("f14_suffix_ids", f"SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, CAST(l_orderkey AS VARCHAR) || 'RF' || CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, {_FULL}) AS VARCHAR) AS refund_id FROM lineitem WHERE l_returnflag = 'R'")
 def _f14(t: Tables):
     rows = t.lineitem.where(col("l_returnflag") == "R")
-    out = W.suffix_ids(rows, "l_orderkey", [col("l_linenumber"), *_ORDER], col("l_linenumber"), "RF", "refund_id")
+    out = W.suffix_ids(rows, "l_orderkey", [col("l_linenumber"), *_order()], col("l_linenumber"), "RF", "refund_id")
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "refund_id")
 
 
