@@ -30,9 +30,7 @@ def lookup(
     a key column so the join is a plain equality.  Only ``take`` survives from the dimension.
     """
     names = take if isinstance(take, Mapping) else {t: t for t in take}
-    keyed = fact
-    for i, expr in enumerate(on.values()):
-        keyed = keyed.withColumn(f"__k{i}", F.col(expr) if isinstance(expr, str) else expr)
+    keyed = fact.withColumns({f"__k{i}": F.col(e) if isinstance(e, str) else e for i, e in enumerate(on.values())})
     right = dim.select(
         *[F.col(d).alias(f"__k{i}") for i, d in enumerate(on)], *[F.col(s).alias(t) for s, t in names.items()]
     )

@@ -24,10 +24,19 @@ def keep_first(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Colu
 
 
 def reject_all_copies(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """F-02: only rows whose key is unique.  A partial aggregate collapses the copies."""
-    row = F.struct(*[F.col(c) for c in df.columns])
-    one = df.groupBy(*keys).agg(F.count("*").alias("__n"), F.any_value(row).alias("__r"))
-    return one.where(F.col("__n") == 1).select("__r.*")
+    """F-02: only rows whose key is unique.
+
+    The keys that repeat are found by a count over the key columns alone, whatever the rows'
+    width, and removed by a null-safe anti join.  Repeats are few as a rule, so the join is a
+    broadcast and the rows themselves are not shuffled; when they are many it is an ordinary
+    shuffled join that AQE may split.
+    """
+    repeated = df.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > 1)
+    repeated = repeated.select(*[F.col(k).alias(f"__d{i}") for i, k in enumerate(keys)])
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__d{i}"))
+    return df.join(repeated, same, "left_anti")
 
 
 def latest_with_ties(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
@@ -62,7 +71,7 @@ def rolling_previous(
     if not null_keys_match:
         for k in keys:
             matched = matched & F.col(k).isNotNull()
-    out = df
+    out = {}
     for name, (num, den) in measures.items():
         total = F.sum(num).over(w).cast("double")
         weight = F.sum(den).over(w).cast("double")
@@ -71,8 +80,8 @@ def rolling_previous(
             value = F.coalesce(value, F.lit(float(empty)))
         if baseline_from is not None:
             value = F.when(F.col(month) >= F.lit(baseline_from), value)
-        out = out.withColumn(name, value)
-    return out
+        out[name] = value
+    return df.withColumns(out)
 
 
 def nonzero(value: Column, weight: Column | int = 1) -> Column:

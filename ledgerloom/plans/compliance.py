@@ -56,13 +56,13 @@ def with_merchant(df: DataFrame, control: DataFrame, site_divisions: Sequence[st
         v = F.when(per_site, X.norm_key(c)).otherwise("")
         return F.coalesce(v, F.lit("")) if blank_null_sites else v
 
-    return (
-        out.withColumn("merchant", X.norm_key(X.first_non_blank(F.col("__to"), F.col("division"))))
-        .withColumn("store_id", shown(F.col("site_store_id")))
-        .withColumn("site_name", shown(F.col("site")))
-        .withColumn("mcc_code", F.coalesce("mcc", F.lit("")))
-        .drop("__to")
-    )
+    named = {
+        "merchant": X.norm_key(X.first_non_blank(F.col("__to"), F.col("division"))),
+        "store_id": shown(F.col("site_store_id")),
+        "site_name": shown(F.col("site")),
+        "mcc_code": F.coalesce("mcc", F.lit("")),
+    }
+    return out.withColumns(named).drop("__to")
 
 
 def monthly(df: DataFrame, keys: Sequence[str], ts: str, sums: Mapping[str, Column]) -> DataFrame:

@@ -234,39 +234,55 @@ FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_nationkey % 4 = 0
     ),
     "control": """
 SELECT cast(c.rule_id as double) AS rule_id, c.attribute AS attribute, c.merchant AS merchant, c.merchant_to_report AS merchant_to_report, cast(c.value as double) AS value
-FROM (SELECT 0 AS rule_id, 'Merge' AS attribute, 'NATION_3' AS merchant, 'NATION_8' AS merchant_to_report, 0 AS value
-      UNION ALL SELECT 1, 'Ratio_NotPresent To Total_Low', 'NATION_1', 'NATION ONE', 15
-      UNION ALL SELECT 1, 'Ratio_NotPresent To Total_High', 'NATION_1', '', 25
-      UNION ALL SELECT 1, 'Default_Low', '*', '', 18
-      UNION ALL SELECT 2, 'Ratio_ManualToCardPresent_Low', 'NATION_2', '', 2
-      UNION ALL SELECT 2, 'Ratio_ManualToCardPresent_High', 'NATION_2', 'NATION TWO', 3
-      UNION ALL SELECT 8, 'Cashout_Low', '', '', 120 UNION ALL SELECT 8, 'Cashout_High', '', '', 150
-      UNION ALL SELECT 8, 'Single PAN', '', '', 30 UNION ALL SELECT 10, 'Low', '', '', 110
-      UNION ALL SELECT 10, 'High', '', '', 130) c""",
+FROM (VALUES (0, 'Merge', 'NATION_3', 'NATION_8', 0),
+      (1, 'Ratio_NotPresent To Total_Low', 'NATION_1', 'NATION ONE', 15),
+      (1, 'Ratio_NotPresent To Total_High', 'NATION_1', '', 25),
+      (1, 'Default_Low', '*', '', 18),
+      (2, 'Ratio_ManualToCardPresent_Low', 'NATION_2', '', 2),
+      (2, 'Ratio_ManualToCardPresent_High', 'NATION_2', 'NATION TWO', 3),
+      (8, 'Cashout_Low', '', '', 120),
+      (8, 'Cashout_High', '', '', 150),
+      (8, 'Single PAN', '', '', 30),
+      (10, 'Low', '', '', 110),
+      (10, 'High', '', '', 130)) c(rule_id, attribute, merchant, merchant_to_report, value)""",
     "key_value": f"""
 SELECT 'merchant-terminal' AS attribute, concat(' mid', cast(s_suppkey as string)) AS key, concat({_store('s_suppkey')}, '777') AS value FROM supplier
 UNION ALL SELECT 'partner-terminal', concat('Merch', cast(n_nationkey as string)), {_store('n_nationkey')} FROM nation""",
     "tran_type": """
-SELECT '0' AS dn_tran_code, 'Purchase' AS abbr UNION ALL SELECT '9', 'Purchase with Cashout' UNION ALL SELECT '20', 'Refund'
-UNION ALL SELECT '1', 'Cashout' UNION ALL SELECT '31', 'Balance Inquiry - Savings'""",
+SELECT v.dn_tran_code AS dn_tran_code, v.abbr AS abbr FROM (VALUES ('0', 'Purchase'), ('9', 'Purchase with Cashout'), ('20', 'Refund'), ('1', 'Cashout'), ('31', 'Balance Inquiry - Savings')) v(dn_tran_code, abbr)""",
     "type_code": """
 SELECT t.tran_type_desc AS tran_type_desc, t.settlement_amount_flag AS settlement_amount_flag, t.spend_factor AS spend_factor
-FROM (SELECT 'PURCHASE' AS tran_type_desc, 1 AS settlement_amount_flag, 1 AS spend_factor
-      UNION ALL SELECT 'PURCHASE WITH CASHOUT', 1, 1 UNION ALL SELECT 'REFUND', 1, -1 UNION ALL SELECT 'CASHOUT', 1, 1
-      UNION ALL SELECT 'REDEMPTION', 1, 1 UNION ALL SELECT 'ACTIVATION', 1, -1 UNION ALL SELECT 'BALANCE INQUIRY', 0, 0
-      UNION ALL SELECT 'BALANCE INQUIRY - SAVINGS', 0, 0 UNION ALL SELECT 'PURCHASE REVERSAL', 1, -1
-      UNION ALL SELECT 'PURCHASE WITH CASHOUT REVERSAL', 1, -1 UNION ALL SELECT 'REFUND REVERSAL', 1, 1
-      UNION ALL SELECT 'CASHOUT REVERSAL', 1, -1 UNION ALL SELECT 'REDEMPTION REVERSAL', 1, -1
-      UNION ALL SELECT 'ACTIVATION REVERSAL', 1, 1) t""",
+FROM (VALUES ('PURCHASE', 1, 1),
+      ('PURCHASE WITH CASHOUT', 1, 1),
+      ('REFUND', 1, -1),
+      ('CASHOUT', 1, 1),
+      ('REDEMPTION', 1, 1),
+      ('ACTIVATION', 1, -1),
+      ('BALANCE INQUIRY', 0, 0),
+      ('BALANCE INQUIRY - SAVINGS', 0, 0),
+      ('PURCHASE REVERSAL', 1, -1),
+      ('PURCHASE WITH CASHOUT REVERSAL', 1, -1),
+      ('REFUND REVERSAL', 1, 1),
+      ('CASHOUT REVERSAL', 1, -1),
+      ('REDEMPTION REVERSAL', 1, -1),
+      ('ACTIVATION REVERSAL', 1, 1)) t(tran_type_desc, settlement_amount_flag, spend_factor)""",
     "factor": """
 SELECT f.transaction_type AS transaction_type, f.tran_qualifier AS tran_qualifier, f.settlement_factor AS settlement_factor, f.record_type AS record_type
-FROM (SELECT 'GIFT CARD REDEEM' AS transaction_type, 'INTERNAL' AS tran_qualifier, 1 AS settlement_factor, '1' AS record_type
-      UNION ALL SELECT 'GIFT CARD REDEEM', 'ISO', 1, '1' UNION ALL SELECT 'GIFT CARD ACTIVATE', 'INTERNAL', -1, '2'
-      UNION ALL SELECT 'GIFT CARD RELOAD', 'INTERNAL', 0, '2' UNION ALL SELECT 'PURCHASE', 'WEX', 1, '1' UNION ALL SELECT 'PURCHASE', 'QC', 1, '1'
-      UNION ALL SELECT 'N', '', 1, '3' UNION ALL SELECT 'P', '', 1, '3' UNION ALL SELECT 'R', '', -1, '4' UNION ALL SELECT 'N-', '', -1, '4'
-      UNION ALL SELECT 'PURCHASE', 'CY', 1, '5' UNION ALL SELECT 'REFUND', 'CY', -1, '6'
-      UNION ALL SELECT 'ACTIVATION', 'QP', 1, '7' UNION ALL SELECT 'CANCELLATION', 'QP', -1, '8') f""",
-    "response_code": "SELECT '000' AS action_code, 'Y' AS approval_flag UNION ALL SELECT '051', 'N'",
+FROM (VALUES ('GIFT CARD REDEEM', 'INTERNAL', 1, '1'),
+      ('GIFT CARD REDEEM', 'ISO', 1, '1'),
+      ('GIFT CARD ACTIVATE', 'INTERNAL', -1, '2'),
+      ('GIFT CARD RELOAD', 'INTERNAL', 0, '2'),
+      ('PURCHASE', 'WEX', 1, '1'),
+      ('PURCHASE', 'QC', 1, '1'),
+      ('N', '', 1, '3'),
+      ('P', '', 1, '3'),
+      ('R', '', -1, '4'),
+      ('N-', '', -1, '4'),
+      ('PURCHASE', 'CY', 1, '5'),
+      ('REFUND', 'CY', -1, '6'),
+      ('ACTIVATION', 'QP', 1, '7'),
+      ('CANCELLATION', 'QP', -1, '8')) f(transaction_type, tran_qualifier, settlement_factor, record_type)""",
+    "response_code": "SELECT v.action_code AS action_code, v.approval_flag AS approval_flag FROM (VALUES ('000', 'Y'), ('051', 'N')) v(action_code, approval_flag)",
     # switch rows with kind, scheme and approval worked out: the analytics grain
     "billing": """
 SELECT s.tran_uid AS tran_uid, substr(s.net_term_id, 1, 10) AS store_id, s.tstamp_trans AS tstamp_trans, cast(s.tstamp_trans as date) AS tran_date,
