@@ -189,7 +189,7 @@ def bridge(fact: DataFrame, key_value: DataFrame, attribute: str, key: Column, o
 
 
 def full_outer(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """E-03 on sides that are one row per key.  Keys come out as left, else right.
+    """E-03 on aggregated sides, one row per key as a rule.  Keys come out as left, else right.
 
     Rows with a null key can never match; they bypass the join so that they do not all land
     in one task.

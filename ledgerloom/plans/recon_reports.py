@@ -33,7 +33,7 @@ def apm_missing(apm: DataFrame, settlement: DataFrame, cutoff: str = CUTOFF) ->
     """I-01: requests against settlement lines, missing on either side."""
     left = _apm_orders(apm, cutoff)
     right = _apm_settled(settlement, ["store_id", "payment_date"])
-    both = left.withColumn("__l", F.lit(True)).join(right.withColumn("__r", F.lit(True)), "order_no", "full")
+    both = J.full_outer(left.withColumn("__l", F.lit(True)), right.withColumn("__r", F.lit(True)), ["order_no"])
     flag = F.when(F.col("__l").isNull(), "Missing in requests").when(F.col("__r").isNull(), "Missing in settlement").otherwise("Not Missing")
     return both.withColumn("flag", flag).drop("__l", "__r")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,27 +24,39 @@ def arriving_rows(spark: SparkSession, path: str, schema: T.StructType, fmt: str
     return spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", max_files).load(path)
 
 
+def file_ledger(target: str) -> str:
+    """Where the names of landed files are kept: one small row per file, not the data itself."""
+    return f"{target.rstrip('/')}__files"
+
+
+def record_files(names: DataFrame, target: str, batch_id: int) -> None:
+    """Note files as landed; batch loads call this too, with a negative batch id."""
+    one = names.select("file_name").distinct().withColumn("batch_id", F.lit(batch_id).cast("long"))
+    one.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(file_ledger(target))
+
+
 def ingest_arrivals(
     lines: DataFrame, parse: Callable[[DataFrame], DataFrame], target: str, checkpoint: str
 ) -> None:
     """L-02: land every new file once.
 
-    The file source's checkpoint remembers files; the anti join on file name additionally
-    covers files that came in through a batch load.  Re-running a batch after a failure
-    rewrites the same ``batch_id`` folder, so a replay does not double rows.
+    The file source's checkpoint remembers files; the anti join against the ledger of names
+    additionally covers files that came in through a batch load.  Re-running a batch after a
+    failure rewrites the same ``batch_id`` folders, so a replay does not double rows.
     """
 
     def land(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         typed = parse(batch)
         try:
-            seen = spark.read.parquet(target).where(F.col("batch_id") != batch_id)
-            typed = ingest.not_loaded(typed, seen)
-        except Exception as exc:  # the first batch finds no target yet
-            if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
+            seen = spark.read.schema("file_name string, batch_id long").parquet(file_ledger(target))
+            typed = ingest.not_loaded(typed, seen.where(F.col("batch_id") != batch_id))
+        except AnalysisException as exc:  # the first batch finds no ledger yet
+            if exc.getCondition() != "PATH_NOT_FOUND":
                 raise
         out = typed.withColumn("batch_id", F.lit(batch_id).cast("long"))
         out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(target)
+        record_files(batch, target, batch_id)
 
     query = lines.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()

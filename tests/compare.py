@@ -64,9 +64,11 @@ def compare(spark_rows, spark_cols, duck_rows, duck_cols) -> str | None:
     return "NEAR"
 
 
-def check(spark, con, path: str, name: str, fn, sql: str | None) -> tuple[str | None, int, float]:
+def check(spark, con, path: str, name: str, fn, sql: str | None, inspect=None) -> tuple[str | None, int, float]:
     started = time.time()
     df = fn(spark, path)
+    if inspect:
+        inspect(df)
     rows = [tuple(r) for r in df.collect()]
     took = time.time() - started
     if sql is None:

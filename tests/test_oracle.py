@@ -1,9 +1,10 @@
-"""Every registered query against its oracle on the smallest tables."""
+"""Every registered query against its oracle on the smallest tables, and the shape of its plan."""
 
 from __future__ import annotations
 
 import pytest
 from compare import check, duck
+from plan_rules import assert_scales
 
 import __spark_entry__ as entry
 
@@ -18,7 +19,7 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    problem, _, _ = check(spark, con, PATH, name, QUERIES[name], ORACLE.get(name))
+    problem, _, _ = check(spark, con, PATH, name, QUERIES[name], ORACLE.get(name), lambda df: assert_scales(name, df))
     assert problem is None
 
 

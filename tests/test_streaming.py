@@ -30,6 +30,7 @@ def test_file_already_loaded_by_batch_is_skipped(spark, tmp_path):
     src.mkdir()
     (src / "a.csv").write_text("1\n")
     spark.createDataFrame([("a.csv", 7, -1)], "file_name string, id long, batch_id long").write.partitionBy("batch_id").parquet(out)
+    A.record_files(spark.read.parquet(out), out, -1)
     A.ingest_arrivals(A.arriving_lines(spark, str(src)), lambda b: b.select("file_name", col("value").cast("long").alias("id")), out, str(tmp_path / "s"))
     assert [r.id for r in spark.read.parquet(out).collect()] == [7]
 
