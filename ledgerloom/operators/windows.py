@@ -23,15 +23,14 @@ def keep_first(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Colu
     return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
 
 
-def reject_all_copies(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """F-02: only rows whose key is unique.
+def without_repeats(df: DataFrame, keys: Sequence[str], among: DataFrame) -> DataFrame:
+    """F-02: rows of ``df`` whose key occurs at most once in ``among``.
 
     The keys that repeat are found by a count over the key columns alone, whatever the rows'
     width, and removed by a null-safe anti join.  Repeats are few as a rule, so the join is a
-    broadcast and the rows themselves are not shuffled; when they are many it is an ordinary
-    shuffled join that AQE may split.
+    broadcast; when they are many it is an ordinary shuffled join that AQE may split.
     """
-    repeated = df.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > 1)
+    repeated = among.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > 1)
     repeated = repeated.select(*[F.col(k).alias(f"__d{i}") for i, k in enumerate(keys)])
     same = F.lit(True)
     for i, k in enumerate(keys):
@@ -39,6 +38,11 @@ def reject_all_copies(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(repeated, same, "left_anti")
 
 
+def reject_all_copies(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """F-02: only rows whose key is unique."""
+    return without_repeats(df, keys, df)
+
+
 def latest_with_ties(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
     """E-12, F-06: all rows at the newest time of their key.
 

@@ -127,11 +127,11 @@ def switch_source(switch: DataFrame, tran_type: DataFrame, response: DataFrame,
 
 
 def combined(sources: Sequence[DataFrame]) -> DataFrame:
-    """All sources on one shape; ids that occur twice are rejected in every copy."""
+    """All sources on one shape, rows with a store only."""
     out = sources[0]
     for s in sources[1:]:
         out = out.unionByName(s)
-    return W.reject_all_copies(out.where(X.non_blank(F.col("store_id"))), ["tran_uid"])
+    return out.where(X.non_blank(F.col("store_id")))
 
 
 def _store_or_division(by_store: str, column: str, division_column: str | None = None) -> Column:
@@ -142,7 +142,13 @@ def _store_or_division(by_store: str, column: str, division_column: str | None =
 def pre_settlement(
     trans: DataFrame, store: DataFrame, windows: DataFrame, by_store: DataFrame, sap_map: DataFrame, factors: DataFrame, settled: DataFrame, run_date: dt.date
 ) -> DataFrame:
-    """Eligible, not yet settled transactions of all sources (L-03, E-05, H-71)."""
+    """Eligible, not yet settled transactions of all sources (L-03, E-05, H-71).
+
+    An id that occurs twice among all transactions is rejected in every copy (F-02).  That
+    check comes last: it counts ids over everything but joins eligible rows only.
+    """
+    everything = trans
+    trans = trans.where(F.col("transaction_time") < F.lit(run_date).cast("timestamp_ntz"))
     open_stores = store.where(~F.col("is_closed")).withColumn("__id", X.norm_key(F.col("store_id")))
     rows = J.lookup(trans, open_stores, {"__id": "store_id"}, ["division", "site_name", "suburb", "state", "is_online"], "inner")
     active = windows.where(F.col("is_active") == "Y")
@@ -162,7 +168,8 @@ def pre_settlement(
     floor = K.settlement_floor(_store_or_division("__s_last", "last_execution_time"), _store_or_division("__s_back", "days_lookback"))
     first = _store_or_division("__s_first", "earliest_date").cast("timestamp_ntz")
     at = F.col("transaction_time")
-    rows = rows.where((at > floor) & (at >= first) & (at < F.lit(run_date).cast("timestamp_ntz")))
+    rows = rows.where((at > floor) & (at >= first))
+    rows = W.without_repeats(rows, ["tran_uid"], everything)
     own_sign = source == "TC"
     area = F.concat(
         F.upper(F.trim(F.coalesce("site_name", F.lit("")))),

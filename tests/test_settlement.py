@@ -51,10 +51,11 @@ def test_marking_leaves_nothing_open_twice(t, detail):
     assert again.isEmpty()
 
 
-def test_combined_sources_reject_every_copy(t):
+def test_repeated_ids_are_rejected_in_every_copy(t):
     one = P.wallet_source(t.wallet_txn, 10)
     both = P.combined([one, one.limit(5)])
-    assert both.count() == W.reject_all_copies(one.where("coalesce(trim(store_id), '') <> ''"), ["tran_uid"]).count() - 5
+    kept = W.without_repeats(one, ["tran_uid"], both)
+    assert kept.count() == W.reject_all_copies(P.combined([one]), ["tran_uid"]).count() - 5
 
 
 def test_commit_writes_lines_history_control_and_state(spark, t, detail):
