@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from ledgerloom.operators.recon import alert_level  # noqa: F401  (used through plans)
 from ledgerloom.params import RunParams
 from ledgerloom.plans import compliance as C
 from ledgerloom.workload.feeds import BASELINE_FROM, RUN_DATE, RUN_TS, SITE_DIVISIONS, STORE_WIDTH, Tables
