@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import dates as D
 from ledgerloom.functions import text as X
 from ledgerloom.operators import rollup as R
 from ledgerloom.sinks import tables as S
+from ledgerloom.sources.tables import local_table
 
 CONTROL_SCHEMA = (
     "batch_number string, processing_date date, merchant_name string, etl_complete boolean, "
@@ -63,6 +64,17 @@ def control_rows(
     )
 
 
+def weekly_due(day: dt.date, weekday: int = 0) -> bool:
+    """C-22: weekly runs, Monday unless told otherwise."""
+    return day.weekday() == weekday
+
+
+def export_control(spark: SparkSession, name: str, batch: str, run_ts: dt.datetime, first: dt.datetime | None = None, last: dt.datetime | None = None) -> DataFrame:
+    """A-19, J-13: control row of an output that is exported as it is (reference maps, weekly files)."""
+    row = (batch, run_ts.date(), name, True, None, first or run_ts, last or run_ts, run_ts, None)
+    return local_table(spark, CONTROL_SCHEMA, [row])
+
+
 def pending(control: DataFrame) -> DataFrame:
     """J-14: computed, not yet exported."""
     return control.where(F.col("etl_complete") & F.col("extract_wf_complete").isNull())

@@ -117,3 +117,12 @@ def test_guards_and_audit_event(spark, rows):
     assert O.window_due(windows, 6) and not O.window_due(windows, 7) and not O.window_due(windows, 8) and O.window_due(windows, 8, partner=True)
     event = T.audit_event(spark, "j", "OK", RUN, RUN + dt.timedelta(milliseconds=1500), "f.csv", 10).first()
     assert (event.duration_ms, event.started, event.file_bytes) == (1500, RUN, 10)
+
+
+def test_reference_and_weekly_exports_get_a_control_row(spark, rows):
+    row = O.export_control(spark, "store_map", "B9", RUN).first()
+    assert (row.merchant_name, row.extract_start, row.extract_wf_complete, row.etl_complete) == ("store_map", RUN, None, True)
+    detail = rows("m string, t timestamp_ntz", [("a", RUN)])
+    both = O.control_rows(detail, detail.select("m"), "m", "t", "B1", RUN).unionByName(O.export_control(spark, "x", "B2", RUN))
+    assert O.pending(both).count() == 2
+    assert O.weekly_due(dt.date(2024, 5, 6)) and not O.weekly_due(dt.date(2024, 5, 7))
