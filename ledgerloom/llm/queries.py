@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import mixing
+from ledgerloom.llm import decontaminate, mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -67,3 +67,30 @@ def table(spark: SparkSession, path: str, name: str) -> DataFrame:
 )
 def op1_mixing(spark: SparkSession, path: str) -> DataFrame:
     return mixing.mix_report(table(spark, path, "documents")).drop("source")
+
+
+_WORDS = """regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
+
+
+@query(
+    "op6_decontamination",
+    f"""
+    WITH items AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+    windows AS (
+      SELECT DISTINCT item_id, len(p) AS k, list_aggregate(p, 'string_agg', ' ') AS s
+      FROM (SELECT item_id, w[i:i + 12] AS p FROM items, unnest(range(1, greatest(len(w) - 12, 1) + 1)) t(i) WHERE len(w) > 0)),
+    sizes AS (SELECT DISTINCT k FROM windows),
+    docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce({_WORDS}, []) AS w FROM documents),
+    places AS (SELECT r, k, i, list_aggregate(w[i:i + k - 1], 'string_agg', ' ') AS s
+      FROM docs, sizes, unnest(range(1, len(w) - k + 2)) t(i)),
+    found AS (SELECT r, i, p.k, item_id FROM places p JOIN windows x ON p.k = x.k AND p.s = x.s),
+    hit AS (SELECT r, count(DISTINCT q) AS n_hit FROM (SELECT r, unnest(range(i, i + k)) AS q FROM (SELECT DISTINCT r, i, k FROM found)) GROUP BY r),
+    named AS (SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+      FROM (SELECT DISTINCT r, item_id::VARCHAR AS id FROM found) GROUP BY r)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+           sha256(coalesce(ids, '')) AS items_sha256, (coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w)) AS contaminated
+    FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+    """,
+)
+def op6_decontamination(spark: SparkSession, path: str) -> DataFrame:
+    return decontaminate.report(table(spark, path, "documents"), table(spark, path, "benchmark"))
