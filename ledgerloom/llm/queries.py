@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontaminate, mixing
+from ledgerloom.llm import decontaminate, mixing, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -94,3 +94,18 @@ _WORDS = """regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'ab
 )
 def op6_decontamination(spark: SparkSession, path: str) -> DataFrame:
     return decontaminate.report(table(spark, path, "documents"), table(spark, path, "benchmark"))
+
+
+@query(
+    "op9_warc",
+    """
+    WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+    f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p)
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+    FROM f
+    """,
+)
+def op9_warc(spark: SparkSession, path: str) -> DataFrame:
+    return warc.round_trip(table(spark, path, "pages"))
