@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontaminate, mixing, warc
+from ledgerloom.llm import decontaminate, mixing, severity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -109,3 +109,9 @@ def op6_decontamination(spark: SparkSession, path: str) -> DataFrame:
 )
 def op9_warc(spark: SparkSession, path: str) -> DataFrame:
     return warc.round_trip(table(spark, path, "pages"))
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, path: str) -> DataFrame:
+    docs = table(spark, path, "documents")
+    return severity.score(docs, severity.fit(docs, table(spark, path, "labels")))

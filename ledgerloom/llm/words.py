@@ -129,3 +129,21 @@ def short_hash(words: np.ndarray) -> np.uint64:
         total = (total + w * power) % (1 << 64)
         power = power * 0xA24BAED4963EE407 % (1 << 64)
     return mix(np.array([total], np.uint64))[0]
+
+
+def word_and_beginning_hashes(raw: np.ndarray, offsets: np.ndarray, inside: np.ndarray, lengths: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """For each word its hash and those of its first bytes, one for each of ``lengths`` (shorter
+    words whole; never the same as a word's own hash), and n + 1 offsets of the documents."""
+    starts, ends, at = spans(raw, offsets, inside)
+    if not len(starts):
+        return np.empty(0, np.uint64), at
+    n, each = len(raw), len(lengths) + 1
+    run = np.zeros(n + 1, np.uint64)
+    np.cumsum(_BYTE[raw] * _powers(_P, n), out=run[1:])
+    back = _powers(_P_INV, n)[starts]
+    out = np.empty(each * len(starts), np.uint64)
+    out[0::each] = mix((run[ends] - run[starts]) * back + (ends - starts).astype(np.uint64))
+    for k, length in enumerate(lengths, 1):
+        cut = np.minimum(starts + length, ends)
+        out[k::each] = mix((run[cut] - run[starts]) * back ^ U(0x5851F42D4C957F2D * k % (1 << 64)))
+    return out, at * each
