@@ -3,7 +3,7 @@
 Features are the presence of words and of word beginnings (``PREFIXES`` bytes, so inflected forms
 share one), and each of them again where it stands ``OFTEN`` times, known by 60 bits of their
 hashes.  Labels know two classes; toxic rows are
-split at their median share of telling words, which gives the grades 0, 1 and 2.  One weight
+split at their median number of telling features, which gives the grades 0, 1 and 2.  One weight
 vector serves all thresholds: P(grade <= k) = sigmoid(theta_k - w x).
 
 The classifier is fitted on a bounded sample: at most ``SAMPLE_ROWS`` labelled rows of each
@@ -132,14 +132,14 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Severity
         return nothing
 
     known = F.array(*map(F.lit, features.tolist())).cast("array<long>")
-    sample = data.select("labelled_id", "toxic", held.alias("held"), F.size("features").alias("n"), F.array_intersect("features", known).alias("f")).collect()
+    sample = data.select("labelled_id", "toxic", held.alias("held"), F.array_intersect("features", known).alias("f")).collect()
     sample.sort(key=lambda r: (r["labelled_id"], r["f"]))  # at most 2 * rows short rows, unless ids repeat in docs
     x = np.zeros((len(sample), len(features)))
     for i, r in enumerate(sample):
         x[i, np.searchsorted(features, r["f"])] = 1
     toxic, kept_out = np.array([r["toxic"] == 1 for r in sample]), np.array([r["held"] for r in sample])
-    share = x.sum(axis=1) / np.array([max(r["n"], 1) for r in sample])
-    grade = toxic.astype(np.int64) + (toxic & (share > np.median(share[toxic])))
+    telling = x.sum(axis=1)
+    grade = toxic.astype(np.int64) + (toxic & (telling > np.median(telling[toxic])))
     weights, thresholds = fit_ordinal(x[~kept_out], grade[~kept_out], GRADES)
     judge = kept_out if toxic[kept_out].any() and not toxic[kept_out].all() else ~kept_out
     return SeverityModel(features, weights, thresholds, best_cut((x @ weights)[judge], toxic[judge]))
