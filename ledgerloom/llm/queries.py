@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontaminate, mixing, severity, warc
+from ledgerloom.llm import decontaminate, jaccard, mixing, severity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -115,3 +115,21 @@ def op9_warc(spark: SparkSession, path: str) -> DataFrame:
 def op8_toxicity(spark: SparkSession, path: str) -> DataFrame:
     docs = table(spark, path, "documents")
     return severity.score(docs, severity.fit(docs, table(spark, path, "labels")))
+
+
+@query(
+    "op10_jaccard_join",
+    """
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+        coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
+    s AS (SELECT r, doc_id, list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS x FROM d WHERE len(w) > 0),
+    t AS (SELECT r, len(x) AS n, unnest(x) AS g FROM s),
+    shared AS (SELECT a.r AS p, b.r AS q, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS c FROM t a JOIN t b ON a.g = b.g AND a.r < b.r GROUP BY ALL),
+    e AS (SELECT p, q FROM shared WHERE 100 * c >= 80 * (n + m - c) UNION SELECT q, p FROM shared WHERE 100 * c >= 80 * (n + m - c)),
+    reach AS (WITH RECURSIVE z(r, o) AS (SELECT r, r FROM d UNION SELECT z.r, e.q FROM z JOIN e ON z.o = e.p) SELECT * FROM z)
+    SELECT d.doc_id, coalesce(len(s.x), 0)::BIGINT AS n_shingles, c.component_id
+    FROM d LEFT JOIN s USING (r) JOIN (SELECT reach.r, min(o.doc_id) AS component_id FROM reach JOIN d o ON o.r = reach.o GROUP BY reach.r) c USING (r)
+    """,
+)
+def op10_jaccard_join(spark: SparkSession, path: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, path, "documents"))
