@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontaminate, jaccard, mixing, severity, warc
+from ledgerloom.llm import decontaminate, jaccard, main_text, mixing, severity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -133,3 +133,8 @@ def op8_toxicity(spark: SparkSession, path: str) -> DataFrame:
 )
 def op10_jaccard_join(spark: SparkSession, path: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, path, "documents"))
+
+
+@query("op2_html_extraction")
+def op2_html_extraction(spark: SparkSession, path: str) -> DataFrame:
+    return main_text.extract(table(spark, path, "pages"))
