@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontaminate, jaccard, main_text, mixing, severity, warc
+from ledgerloom.llm import decontaminate, jaccard, main_text, mixing, neighbours, severity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -138,3 +138,9 @@ def op10_jaccard_join(spark: SparkSession, path: str) -> DataFrame:
 @query("op2_html_extraction")
 def op2_html_extraction(spark: SparkSession, path: str) -> DataFrame:
     return main_text.extract(table(spark, path, "pages"))
+
+
+@query("op3_nearest_neighbours")
+def op3_nearest_neighbours(spark: SparkSession, path: str) -> DataFrame:
+    vectors = table(spark, path, "embeddings")
+    return neighbours.nearest(vectors, vectors.where("vec_id % 20 = 0"))
