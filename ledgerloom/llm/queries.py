@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontaminate, jaccard, main_text, mixing, neighbours, severity, warc
+from ledgerloom.llm import decontaminate, jaccard, licences, main_text, mixing, neighbours, secrets, severity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -144,3 +144,13 @@ def op2_html_extraction(spark: SparkSession, path: str) -> DataFrame:
 def op3_nearest_neighbours(spark: SparkSession, path: str) -> DataFrame:
     vectors = table(spark, path, "embeddings")
     return neighbours.nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
+@query("op5_licence_scan")
+def op5_licence_scan(spark: SparkSession, path: str) -> DataFrame:
+    return licences.scan(table(spark, path, "documents"))
+
+
+@query("op7_secret_scan")
+def op7_secret_scan(spark: SparkSession, path: str) -> DataFrame:
+    return secrets.report(table(spark, path, "documents"))
