@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontaminate, jaccard, licences, main_text, mixing, neighbours, secrets, severity, warc
+from ledgerloom.llm import decontaminate, jaccard, licences, main_text, mixing, neighbours, pseudonyms, secrets, severity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -154,3 +154,8 @@ def op5_licence_scan(spark: SparkSession, path: str) -> DataFrame:
 @query("op7_secret_scan")
 def op7_secret_scan(spark: SparkSession, path: str) -> DataFrame:
     return secrets.report(table(spark, path, "documents"))
+
+
+@query("op4_pii")
+def op4_pii(spark: SparkSession, path: str) -> DataFrame:
+    return pseudonyms.report(table(spark, path, "documents"))
