@@ -104,27 +104,27 @@ def search_shard(hashes: np.ndarray, at: np.ndarray, phrases: dict) -> tuple[np.
     return counts, spans, [sorted(set(x)) for x in items]
 
 
+def _shards(raw: np.ndarray, offsets: np.ndarray, shard_bytes: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Runs of documents (first, last + 1) with their word hashes and word offsets."""
+    for a, b in W.pieces(offsets, shard_bytes):
+        hashes, ats = [], [np.zeros(1, np.int64)]
+        for c, d in W.pieces(offsets[a : b + 1]):
+            part = offsets[a + c : a + d + 1]
+            h, at = W.word_hashes(raw[part[0] : part[-1]], part - part[0], W.ALNUM)
+            hashes.append(h)
+            ats.append(at[1:] + ats[-1][-1])
+        yield a, b, np.concatenate(hashes), np.concatenate(ats)
+
+
 def _search(batches: Iterator[pa.RecordBatch], phrases: dict, shard_bytes: int) -> Iterator[pa.RecordBatch]:
-    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    kind = pa.struct([("start", pa.int64()), ("end", pa.int64())])
     for batch in batches:
-        raw, offsets = W.text_buffers(batch.column("text"))
-        for a, b in W.pieces(offsets, shard_bytes):
-            hashes, ats = [], [np.zeros(1, np.int64)]
-            for c, d in W.pieces(offsets[a : b + 1]):
-                part = offsets[a + c : a + d + 1]
-                h, at = W.word_hashes(raw[part[0] : part[-1]], part - part[0], W.ALNUM)
-                hashes.append(h)
-                ats.append(at[1:] + ats[-1][-1])
-            counts, spans, items = search_shard(np.concatenate(hashes), np.concatenate(ats), phrases)
-            flat = [{"start": s, "end": e} for doc in spans for s, e in doc]
+        for a, b, hashes, at in _shards(*W.text_buffers(batch.column("text")), shard_bytes):
+            counts, spans, items = search_shard(hashes, at, phrases)
+            flat = pa.array([{"start": s, "end": e} for doc in spans for s, e in doc], kind)
+            ends = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in spans])]), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("row").slice(a, b - a),
-                    batch.column("doc_id").slice(a, b - a).cast(pa.int64()),
-                    pa.array(counts, pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(x) for x in spans])]), pa.int32()), pa.array(flat, kind.value_type)),
-                    pa.array(items, pa.list_(pa.string())),
-                ],
+                [batch.column("row").slice(a, b - a), batch.column("doc_id").slice(a, b - a), pa.array(counts, pa.int64()), pa.ListArray.from_arrays(ends, flat), pa.array(items, pa.list_(pa.string()))],
                 ["row", "doc_id", "n_words", "spans", "items"],
             )
 
@@ -140,37 +140,43 @@ def _merged(spans) -> F.Column:
     )
 
 
+def phrase_blocks(benchmark: DataFrame, window: int, block_words: int) -> list:
+    """Broadcast phrase tables of about ``block_words`` words each."""
+    spark = benchmark.sparkSession
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
+    items, _ = written(items.mapInArrow(item_words, "item_id string, words array<long>"), "decontaminate-items")
+    total = items.agg(F.sum(F.size("words"))).first()[0] or 0
+    blocks, out = max(1, math.ceil(total / block_words)), []
+    for b in range(blocks):
+        block = items.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == b).collect()
+        out.append(spark.sparkContext.broadcast(phrase_table([(r.item_id, np.array(r.words, np.int64).view(np.uint64)) for r in block], window)))
+    return out
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """One row for each row of ``docs`` (doc_id, text): row, doc_id, n_words, spans (hit words,
-    merged, end exclusive) and items (ids as strings, sorted).
+    """One row for each row of ``docs`` (doc_id, text): row (its monotonic id), doc_id, n_words, spans (hit
+    words, merged, end exclusive) and items (ids as strings, sorted).
 
     Null and empty texts have no words and no hits; null or wordless items have no windows; an
     item without an id hits but isn't listed; items with the same id count as one.  Empty tables
     give no hits or no rows; other columns don't matter.  Words are compared by 64-bit hashes.
     """
-    spark = docs.sparkSession
-    items, _ = written(benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).mapInArrow(item_words, "item_id string, words array<long>"), "decontaminate-items")
-    total = items.agg(F.sum(F.size("words"))).first()[0] or 0
-    blocks = max(1, math.ceil(total / block_words))
+    blocks = phrase_blocks(benchmark, window, block_words)
     docs = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    if blocks > 1:
+    if len(blocks) > 1:
         docs, _ = written(docs, "decontaminate-docs")
-    found = []
-    for b in range(blocks):
-        block = items.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == b).collect()  # about block_words words
-        phrases = spark.sparkContext.broadcast(phrase_table([(r.item_id, np.array(r.words, np.int64).view(np.uint64)) for r in block], window))
+    found = None
+    for phrases in blocks:
+        part = docs.mapInArrow(lambda batches, phrases=phrases: _search(batches, phrases.value, shard_bytes), _FOUND)
+        found = part if found is None else found.unionByName(part)
+    if len(blocks) == 1:
+        return found
+    every = found.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    return every.withColumn("spans", _merged(F.col("spans")))
 
-        def task(batches, phrases=phrases):
-            return _search(batches, phrases.value, shard_bytes)
 
-        found.append(docs.mapInArrow(task, _FOUND))
-    if blocks == 1:
-        return found[0]
-    every = found[0]
-    for more in found[1:]:
-        every = every.unionByName(more)
-    per = every.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    return per.withColumn("spans", _merged(F.col("spans")))
+def _hit() -> F.Column:
+    return F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["start"])
 
 
 def contaminated(n_hit, n_words) -> F.Column:
@@ -179,10 +185,17 @@ def contaminated(n_hit, n_words) -> F.Column:
 
 
 def report(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
-    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["start"])
-    found = find_contamination(docs, benchmark, **how).withColumn("n_hit", n_hit)
+    found = find_contamination(docs, benchmark, **how).withColumn("n_hit", _hit())
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
     )
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
+    """The rows of ``docs``, a stored table, that aren't contaminated; all columns as they were."""
+    bad = find_contamination(docs, benchmark, **how).where(contaminated(_hit(), F.col("n_words"))).select(F.col("row").alias("__gone"))
+    bad, _ = written(bad, "decontaminate-gone")
+    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+    return numbered.join(bad, F.col("__row") == F.col("__gone"), "left_anti").select(*docs.columns)

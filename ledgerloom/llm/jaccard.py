@@ -174,18 +174,18 @@ def crowded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def document_sets(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """One row for each row of ``docs``: doc_id, n_shingles, node and check (hashes of the set; null if empty)."""
+    """One row for each row of ``docs``: row, doc_id, n_shingles, node and check (hashes of the set; null if empty)."""
 
     def task(batches):
         for batch, sets in _pieces(batches, k):
             a, b = set_ids(sets)
             sizes = np.array([len(s) for s in sets], np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes), pa.array(a.view(np.int64), mask=sizes == 0), pa.array(b.view(np.int64), mask=sizes == 0)], ["doc_id", "n_shingles", "node", "check"]
+                [batch.column("row"), batch.column("doc_id"), pa.array(sizes), pa.array(a.view(np.int64), mask=sizes == 0), pa.array(b.view(np.int64), mask=sizes == 0)], ["row", "doc_id", "n_shingles", "node", "check"]
             )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(task, "doc_id long, n_shingles long, node long, check long")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(task, "row long, doc_id long, n_shingles long, node long, check long")
 
 
 def crowded_segments(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, partitions: int | None = None) -> DataFrame:
@@ -273,23 +273,40 @@ def node_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, c
     return labels, links
 
 
+def row_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """One row for each row of ``docs``: row (its monotonic id), doc_id, n_shingles, component_id (smallest id
+    of the component) and first_row (the row with that id; the first of several).  Rows with an empty
+    set stand alone."""
+    rows, _ = written(document_sets(docs, k), "jaccard-documents")
+    labels, _ = node_components(docs, k, percent)
+    # a set without links keeps its second hash as well, so no two sets are taken for one
+    per_set = rows.where("n_shingles > 0").groupBy("node", "check").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"))
+    per_set = per_set.join(labels.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
+    alone = F.when(F.col("component").isNull(), F.col("check")).alias("alone")
+    per_set, _ = written(per_set.select("node", "check", "first", F.coalesce("component", "node").alias("component"), alone), "jaccard-merged")
+    firsts = per_set.groupBy(F.col("component").alias("c"), F.col("alone").alias("a")).agg(F.min("first").alias("least"))
+    firsts = per_set.join(firsts, (F.col("component") == F.col("c")) & F.col("alone").eqNullSafe(F.col("a")))
+    firsts = firsts.select(F.col("node").alias("of"), F.col("check").alias("of_check"), "least")
+    out = rows.join(firsts, (F.col("node") == F.col("of")) & (F.col("check") == F.col("of_check")), "left")
+    empty = F.col("n_shingles") == 0
+    return out.select("row", "doc_id", "n_shingles", F.when(empty, F.col("doc_id")).otherwise(F.col("least.doc_id")).alias("component_id"), F.when(empty, F.col("row")).otherwise(F.col("least.row")).alias("first_row"))
+
+
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text): doc_id, n_shingles (set size) and component_id
     (smallest doc_id reachable by links, its own included).
 
     Null and blank texts have an empty set, link with nothing and keep their own id; texts of fewer
     words than ``k`` have their whole sequence as one shingle; rows with equal sets are linked;
-    rows without id take part and count as larger than any id.  An empty table gives no rows.
+    rows without id take part and count as larger than any id.  An empty table gives no rows; other
+    columns don't matter.
     """
-    rows, _ = written(document_sets(docs, k), "jaccard-documents")
-    labels, _ = node_components(docs, k, percent)
-    per_set = rows.where("n_shingles > 0").groupBy("node", "check").agg(F.min("doc_id").alias("first_id"))
-    labels = labels.withColumnRenamed("node", "of")
-    merged = per_set.join(labels, F.col("node") == F.col("of"), "left")
-    merged = merged.select("node", "check", "first_id", F.coalesce("component", "node").alias("component"), F.when(F.col("component").isNull(), F.col("check")).alias("alone"))
-    merged, _ = written(merged, "jaccard-merged")
-    least = merged.groupBy("component", "alone").agg(F.min("first_id").alias("component_id"))
-    m, c = merged.alias("m"), least.alias("c")
-    least = m.join(c, (F.col("m.component") == F.col("c.component")) & F.col("m.alone").eqNullSafe(F.col("c.alone"))).select(F.col("m.node").alias("of"), F.col("m.check").alias("of_check"), "component_id")
-    out = rows.join(least, (F.col("node") == F.col("of")) & (F.col("check") == F.col("of_check")), "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    return row_components(docs, k, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def keep_one_of_each(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs``, a stored table, without those of a component but its first; all columns as they were."""
+    gone = row_components(docs, k, percent).where("row <> first_row").select(F.col("row").alias("__gone"))
+    gone, _ = written(gone, "jaccard-gone")
+    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+    return numbered.join(gone, F.col("__row") == F.col("__gone"), "left_anti").select(*docs.columns)

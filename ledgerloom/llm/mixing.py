@@ -106,3 +106,13 @@ def mix_report(docs: DataFrame, **how) -> DataFrame:
     takes of it, repeats counted."""
     taken = F.sum(F.when(F.col("taken"), F.col("size")).otherwise(0)).alias("taken")
     return mix(docs, **how).groupBy("row", "doc_id", "source", "size", "source_size", "target").agg(taken).drop("row")
+
+
+def take_mix(docs: DataFrame, **how) -> DataFrame:
+    """The rows of ``docs``, a stored table, that the mix takes, with size, source_size, target and taken."""
+    taken = F.sum(F.when(F.col("taken"), F.col("size")).otherwise(0)).alias("taken")
+    per = mix(docs, **how).groupBy("row", "size", "source_size", "target").agg(taken).where("taken > 0")
+    new = ["size", "source_size", "target", "taken"]
+    per, _ = written(per, "mix-taken")
+    numbered = docs.select(*[c for c in docs.columns if c not in new], F.monotonically_increasing_id().alias("__row"))
+    return numbered.join(per, F.col("__row") == F.col("row")).drop("__row", "row")

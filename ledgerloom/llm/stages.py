@@ -1,5 +1,35 @@
-"""Stages of the corpus pipeline."""
+"""Stages of the corpus pipeline: each takes (spark, docs, sf_dir), docs a stored table, and returns a DataFrame."""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession
+
+from ledgerloom.llm import decontaminate, jaccard, mixing, pseudonyms, severity
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Toxic documents go; the model is fitted on the labelled ones that are left so far."""
+    return severity.keep_civil(docs, severity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the smallest id stays."""
+    return jaccard.keep_one_of_each(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold too much of the benchmark go."""
+    return decontaminate.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data become pseudonyms."""
+    return pseudonyms.pseudonymise(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the mix takes, with the words taken of each."""
+    return mixing.take_mix(docs)
+
+
+STAGES = [("toxicity", toxicity), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("pii", pii), ("mix", mix)]
