@@ -201,9 +201,10 @@ def insight(orders: DataFrame, keys: Sequence[str], months: int | None = None, n
 
 
 def oversight(orders: DataFrame, chargebacks: DataFrame, months: int = 49) -> DataFrame:
-    """Funnel per merchant, bank and month with the chargebacks of the same key (G-05)."""
+    """Funnel per merchant, bank and month with the chargebacks of the same key (G-05); keys with
+    chargebacks only are kept, with zeros."""
     keys = ["merchant_id", "card_bin", "order_month"]
     funnel = insight(orders, keys, months)
     hits = order_chargebacks(orders, chargebacks).withColumn("order_month", D.month_start(F.col("order_time").cast("date")))
     back = hits.groupBy(*keys).agg(F.count("*").alias("chargebacks"), F.sum("chargeback_cents").alias("chargeback_cents"))
-    return funnel.join(back, keys, "left").fillna(0, ["chargebacks", "chargeback_cents"])
+    return funnel.join(back, keys, "full").fillna(0, [c for c in (*funnel.columns, *back.columns) if c not in keys])

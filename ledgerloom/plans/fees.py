@@ -88,11 +88,11 @@ def direct_entry(cleared: DataFrame, accounts: DataFrame, day: dt.date, sequence
             blank(1),
             S.Slot(F.lit("50"), 2),
             S.Slot(F.col("cents"), 10, right=True, fill="0"),
-            S.Slot(F.col("title"), 32),
+            S.Slot(F.col("title"), 32, cut=True),
             S.Slot(F.concat(F.col("store_number"), F.lit(f"{day:%y%m%d}")), 18),
         ]
     )
-    header = S.fixed_width_line([S.Slot(F.lit("0"), 1), blank(17), S.Slot(F.lit("01"), 2), S.Slot(F.lit("BNK"), 3), blank(7), S.Slot(F.lit(user), 26), S.Slot(F.lit(f"{day:%d%m%y}"), 6)])
+    header = S.fixed_width_line([S.Slot(F.lit("0"), 1), blank(17), S.Slot(F.lit("01"), 2), S.Slot(F.lit("BNK"), 3), blank(7), S.Slot(F.lit(user), 26, cut=True), S.Slot(F.lit(f"{day:%d%m%y}"), 6)])
     totals = rows.agg(F.coalesce(F.sum("cents"), F.lit(0)).alias("cents"), F.count("*").alias("n"))
     trailer = S.fixed_width_line(
         [S.Slot(F.lit("7"), 1), S.Slot(F.lit("999-999"), 7), blank(12), S.Slot(F.col("cents"), 10, right=True, fill="0"), S.Slot(F.col("cents"), 10, right=True, fill="0"), S.Slot(F.lit("0"), 10, right=True, fill="0"), blank(24), S.Slot(F.col("n"), 6, right=True, fill="0")]

@@ -40,16 +40,25 @@ def file_lines(header: DataFrame, detail: DataFrame, tail: DataFrame) -> DataFra
 
 @dataclass(frozen=True)
 class Slot:
-    """One field of a fixed-width line."""
+    """One field of a fixed-width line.
+
+    A value longer than its field ends the job, so no amount loses a digit; only fields declared
+    ``cut`` (names, titles) are shortened.
+    """
 
     value: Column
     width: int
     right: bool = False
     fill: str = " "
+    cut: bool = False
 
     def text(self) -> Column:
         c = F.coalesce(self.value.cast("string"), F.lit(""))
-        return F.lpad(c, self.width, self.fill) if self.right else F.rpad(c, self.width, self.fill)
+        padded = F.lpad(c, self.width, self.fill) if self.right else F.rpad(c, self.width, self.fill)
+        if self.cut:
+            return padded
+        long = F.raise_error(F.concat(F.lit(f"a value is longer than its field of {self.width} characters: "), c))
+        return F.when(F.length(c) <= self.width, padded).otherwise(long.cast("string"))
 
 
 def fixed_width_line(slots: Sequence[Slot]) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -15,9 +16,12 @@ from ledgerloom.sources import ingest
 
 
 def arriving_lines(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
-    """L-02: text files as they land, with their names."""
-    lines = spark.readStream.option("maxFilesPerTrigger", max_files).text(path)
-    return lines.select("value", F.col("_metadata.file_name").alias("file_name"))
+    """L-02: text files as they land, in any folder below ``path``, with their path below it as the name:
+    files of one name in two folders are two files."""
+    lines = spark.readStream.option("maxFilesPerTrigger", max_files).option("recursiveFileLookup", "true").text(path)
+    root = re.sub(r"^\w+:/*", "/", path).rstrip("/")
+    below = F.regexp_replace(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), "^.*?" + re.escape(root) + "/", "")
+    return lines.select("value", below.alias("file_name"))
 
 
 def arriving_rows(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", max_files: int = 1000) -> DataFrame:

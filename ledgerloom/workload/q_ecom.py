@@ -80,14 +80,14 @@ def _by_day(t: Tables):
 
 def _orders(t: Tables):
     """Orders with two line items each, except where the feed has none or an empty list."""
-    sku = lambda n: F.concat(F.lit("SKU"), ((col("order_id") + n) % 500).cast("string"))
+    sku = lambda n: F.concat(F.lit("SKU"), (col("order_id") + n).cast("string"))
     item = lambda n, q: F.struct(sku(n).alias("ProductSKU"), F.floor(col("amount_cents") / (n + 2)).alias("Price"), F.lit(q).cast("long").alias("Quantity"))
     both = F.array(item(0, 1), item(1, 2))
     none = F.expr("cast(array() as array<struct<ProductSKU: string, Price: bigint, Quantity: bigint>>)")
     return t.ecom_order.withColumn("line_items", F.when(col("customer_id") % 17 == 0, None).when(col("customer_id") % 13 == 0, none).otherwise(both))
 
 
-_ITEMS = """ord AS (SELECT * FROM ecom_order WHERE customer_id % 17 <> 0 AND customer_id % 13 <> 0), it AS (SELECT *, 'SKU' || CAST(order_id % 500 AS VARCHAR) AS sku, amount_cents // 2 AS price, 1 AS qty FROM ord UNION ALL SELECT *, 'SKU' || CAST((order_id + 1) % 500 AS VARCHAR), amount_cents // 3, 2 FROM ord),
+_ITEMS = """ord AS (SELECT * FROM ecom_order WHERE customer_id % 17 <> 0 AND customer_id % 13 <> 0), it AS (SELECT *, 'SKU' || CAST(order_id AS VARCHAR) AS sku, amount_cents // 2 AS price, 1 AS qty FROM ord UNION ALL SELECT *, 'SKU' || CAST(order_id + 1 AS VARCHAR), amount_cents // 3, 2 FROM ord),
 lab AS (SELECT *, CASE WHEN merchant_id LIKE '%_1_online%' THEN 'One' WHEN merchant_id LIKE '%_2_online%' THEN 'Two' WHEN merchant_id LIKE '%_online%' THEN 'Rest' END AS merchant, CAST(order_time AS DATE) AS day FROM it)"""
 _MERCHANTS = {"_1_online": "One", "_2_online": "Two", "_online": "Rest"}
 
@@ -143,11 +143,11 @@ def _completeness(t: Tables):
     return P.completeness(_orders(t), _MERCHANTS)
 
 
-_ART = "art AS (SELECT DISTINCT 'SKU' || CAST(p_partkey AS VARCHAR) AS sku, nullif(p_type, 'SMALL') AS category FROM part WHERE p_partkey < 400)"
+_ART = "art AS (SELECT DISTINCT 'SKU' || CAST(p_partkey AS VARCHAR) AS sku, nullif(p_type, 'SMALL') AS category FROM part)"
 
 
 def _articles(t: Tables):
-    return t.part.where(col("p_partkey") < 400).select(F.concat(F.lit("SKU"), col("p_partkey").cast("string")).alias("sku"), F.nullif("p_type", F.lit("SMALL")).alias("category"))
+    return t.part.select(F.concat(F.lit("SKU"), col("p_partkey").cast("string")).alias("sku"), F.nullif("p_type", F.lit("SMALL")).alias("category"))
 
 
 _LINES = """SELECT l.request_id, l.merchant, CAST(l.day AS VARCHAR) AS order_date, coalesce(a.category, 'No Product Category') AS category, l.sku, CAST(sum(l.price) AS BIGINT) AS price, CAST(sum(l.qty) AS BIGINT) AS quantity, CAST(sum(l.price * l.qty) AS BIGINT) AS total_price FROM lab l LEFT JOIN art a ON a.sku = l.sku {where} GROUP BY ALL"""
@@ -159,11 +159,11 @@ def _line_items(t: Tables):
 
 
 def _order_cb(t: Tables):
-    """Chargebacks of every fifth kind of reason, keyed by order."""
-    return t.chargebacks.where(col("reason").isin("R1", "R5")).withColumn("order_id", col("id"))
+    """Chargebacks keyed by order."""
+    return t.chargebacks.withColumn("order_id", col("id"))
 
 
-_CBS = "cb AS (SELECT id AS order_id, min(received_dt) AS received, any_value(amount_cents) AS cents FROM chargebacks WHERE reason IN ('R1', 'R5') GROUP BY 1)"
+_CBS = "cb AS (SELECT id AS order_id, min(received_dt) AS received, any_value(amount_cents) AS cents FROM chargebacks GROUP BY 1)"
 
 
 @query("m_chargeback_orders", f"WITH {_CBS} SELECT o.request_id, o.merchant_id, o.amount_cents, CAST(cb.received AS VARCHAR) AS chargeback_received, cb.cents AS chargeback_cents FROM ecom_order o JOIN cb ON cb.order_id = o.order_id")
@@ -233,11 +233,14 @@ def _insight(t: Tables):
     return P.insight(t.ecom_order, ["merchant_id", "order_month"], 25)
 
 
+_COUNTS = ["total_transactions", "total_cents", "systems_accept", "systems_accept_cents", "systems_reject", "systems_reject_cents", "review", "reviewer_accept", "reviewer_reject", "prevented_cents"]
+
+
 @query(
     "m_fraud_oversight",
     f"""WITH {_funnel_sql(['merchant_id', 'card_bin', 'order_month'], 'WHERE date_trunc(' + chr(39) + 'month' + chr(39) + ', order_time) >= (SELECT date_trunc(' + chr(39) + 'month' + chr(39) + ', max(order_time)) - INTERVAL 49 MONTH FROM ecom_order)')}, {_CBS},
 b AS (SELECT o.merchant_id, o.card_bin, CAST(date_trunc('month', o.order_time) AS DATE) AS order_month, count(*) AS n, sum(cb.cents) AS c FROM ecom_order o JOIN cb ON cb.order_id = o.order_id GROUP BY ALL)
-SELECT fun.* REPLACE (CAST(fun.order_month AS VARCHAR) AS order_month), CAST(coalesce(b.n, 0) AS BIGINT) AS chargebacks, CAST(coalesce(b.c, 0) AS BIGINT) AS chargeback_cents FROM fun LEFT JOIN b ON b.merchant_id = fun.merchant_id AND b.card_bin = fun.card_bin AND b.order_month = fun.order_month""",
+SELECT coalesce(fun.merchant_id, b.merchant_id) AS merchant_id, coalesce(fun.card_bin, b.card_bin) AS card_bin, CAST(coalesce(fun.order_month, b.order_month) AS VARCHAR) AS order_month, {", ".join(f"coalesce({c}, 0) AS {c}" for c in _COUNTS)}, CAST(coalesce(b.n, 0) AS BIGINT) AS chargebacks, CAST(coalesce(b.c, 0) AS BIGINT) AS chargeback_cents FROM fun FULL JOIN b ON b.merchant_id = fun.merchant_id AND b.card_bin = fun.card_bin AND b.order_month = fun.order_month""",
 )
 def _oversight(t: Tables):
     return P.oversight(t.ecom_order, _order_cb(t))

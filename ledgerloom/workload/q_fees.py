@@ -45,7 +45,7 @@ _ACC = "acc AS (SELECT store_id AS store_number, '062-' || right(store_id, 3) AS
 
 @query(
     "m_direct_entry_file",
-    f"""WITH {_ACC}, p AS (SELECT left(terminal_id, 10) AS store_number, sum(amount_cents) // 1000 AS cents FROM wallet_txn WHERE transaction_type = 'PURCHASE' GROUP BY 1), d AS (SELECT p.*, a.* EXCLUDE (store_number) FROM p JOIN acc a USING (store_number) WHERE cents > 0)
+    f"""WITH {_ACC}, p AS (SELECT left(terminal_id, 10) AS store_number, sum(amount_cents) AS cents FROM wallet_txn WHERE transaction_type = 'PURCHASE' AND CAST(txn_time AS DATE) = DATE '2001-07-14' GROUP BY 1), d AS (SELECT p.*, a.* EXCLUDE (store_number) FROM p JOIN acc a USING (store_number) WHERE cents > 0)
 SELECT 'DE.0107141' AS file_name, 0 AS line_rank, '' AS sort_key, '0' || repeat(' ', 17) || '01' || 'BNK' || repeat(' ', 7) || rpad('LEDGERLOOM', 26, ' ') || '140701' AS line FROM (SELECT count(*) FROM d)
 UNION ALL SELECT 'DE.0107141', 1, store_number, '1' || bsb || lpad(account, 9, ' ') || ' ' || '50' || lpad(CAST(CAST(cents AS BIGINT) AS VARCHAR), 10, '0') || rpad(title, 32, ' ') || rpad(store_number || '010714', 18, ' ') FROM d
 UNION ALL SELECT 'DE.0107141', 2, '', '7' || '999-999' || repeat(' ', 12) || lpad(CAST(CAST(sum(cents) AS BIGINT) AS VARCHAR), 10, '0') || lpad(CAST(CAST(sum(cents) AS BIGINT) AS VARCHAR), 10, '0') || repeat('0', 10) || repeat(' ', 24) || lpad(CAST(count(*) AS VARCHAR), 6, '0') FROM d""",
@@ -54,9 +54,10 @@ def _direct_entry(t: Tables):
     accounts = t.store.select(
         col("store_id").alias("store_number"), F.concat(F.lit("062-"), F.right("store_id", F.lit(3))).alias("bsb"), F.right("store_id", F.lit(9)).alias("account"), F.coalesce("site_name", F.lit("")).alias("title")
     )
-    # amounts in thousands so that the ten-digit field of the layout holds them
-    sums = t.wallet_txn.where(col("transaction_type") == "PURCHASE").groupBy(F.left("terminal_id", F.lit(10)).alias("store_number")).agg(F.floor(F.sum("amount_cents") / 1000).alias("cents"))
-    return P.direct_entry(sums, accounts, RUN_DATE - dt.timedelta(days=1), 1)
+    day = RUN_DATE - dt.timedelta(days=1)
+    cleared = t.wallet_txn.where((col("transaction_type") == "PURCHASE") & (col("txn_time").cast("date") == F.lit(day)))
+    sums = cleared.groupBy(F.left("terminal_id", F.lit(10)).alias("store_number")).agg(F.sum("amount_cents").alias("cents"))
+    return P.direct_entry(sums, accounts, day, 1)
 
 
 @query(
@@ -244,26 +245,22 @@ _WA = "wa AS (SELECT order_id AS k, CAST(sum(CASE WHEN gateway = 'WEX' THEN CASE
 _PO = "po AS (SELECT reference_number AS k, CAST(sum(tender_cents) AS BIGINT) AS pos_cents, min(site_number) AS site_number FROM {p} GROUP BY 1)"
 
 
-def _cut(t: Tables):
-    return t.switch_txn.where(col("card_type") == "C"), t.wallet_txn.where(col("scheme_name") == "VISA"), t.pos_tender.where(col("tender_type") == "ACTIVATE")
-
-
 @query(
     "m_three_source_missing",
-    f"""WITH {_SW.format(s="switch_txn WHERE card_type = 'C'")}, {_WA.format(w="wallet_txn WHERE scheme_name = 'VISA'")}, {_PO.format(p="pos_tender WHERE tender_type = 'ACTIVATE'")}, ab AS (SELECT coalesce(sw.k, wa.k) AS k, switch_before, switch_after, wallet_wex, wallet_gift, wt FROM sw FULL JOIN wa ON sw.k = wa.k)
+    f"""WITH {_SW.format(s="switch_txn")}, {_WA.format(w="wallet_txn")}, {_PO.format(p="pos_tender")}, ab AS (SELECT coalesce(sw.k, wa.k) AS k, switch_before, switch_after, wallet_wex, wallet_gift, wt FROM sw FULL JOIN wa ON sw.k = wa.k)
 SELECT coalesce(ab.k, po.k) AS order_id, switch_before, switch_after, wallet_wex, wallet_gift, CAST(wt AS VARCHAR) AS wallet_time, pos_cents, site_number, CASE WHEN po.k IS NULL THEN 'Missing in POS' WHEN ab.k IS NULL THEN 'Missing in SWITCH/WALLET' ELSE 'Not Missing' END AS flag FROM ab FULL JOIN po ON ab.k = po.k""",
 )
 def _three(t: Tables):
-    return C.three_source_missing(*_cut(t))
+    return C.three_source_missing(t.switch_txn, t.wallet_txn, t.pos_tender)
 
 
 @query(
     "m_three_source_match",
-    f"""WITH {_SW.format(s="switch_txn WHERE card_type = 'C'")}, {_WA.format(w="wallet_txn WHERE scheme_name = 'VISA'")}, {_PO.format(p="pos_tender WHERE tender_type = 'ACTIVATE'")}
+    f"""WITH {_SW.format(s="switch_txn")}, {_WA.format(w="wallet_txn")}, {_PO.format(p="pos_tender")}
 SELECT po.k AS order_id, pos_cents, site_number, switch_before, switch_after, wallet_wex, wallet_gift, CASE WHEN pos_cents = coalesce(switch_before, 0) + coalesce(switch_after, 0) + coalesce(wallet_wex, 0) + coalesce(wallet_gift, 0) THEN 'Matched' ELSE 'Mismatched' END AS flag FROM po LEFT JOIN sw ON sw.k = po.k LEFT JOIN wa ON wa.k = po.k""",
 )
 def _three_match(t: Tables):
-    return C.three_source_match(*_cut(t))
+    return C.three_source_match(t.switch_txn, t.wallet_txn, t.pos_tender)
 
 
 @query(

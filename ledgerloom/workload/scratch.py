@@ -1,18 +1,18 @@
 """Folder for text the source and sink queries write and read back.
 
-On a cluster it lies under the shared folder named by ``spark.checkpoint.dir``; only where
-that is unset (tests, one machine) a temporary folder is used.
+It lies under the shared folder named by ``spark.checkpoint.dir`` or set on the session; without
+one there is no folder that all executors share, so nothing is written.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+from ledgerloom.session import ensure_checkpoint_dir
+
 
 def new_folder(spark: SparkSession, what: str) -> str:
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    base = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="ledgerloom-")
-    return f"{base}/{what}-{uuid.uuid4().hex}"
+    shared = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
+    return f"{shared.rstrip('/')}/{what}-{uuid.uuid4().hex}"

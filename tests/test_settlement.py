@@ -69,3 +69,16 @@ def test_commit_writes_lines_history_control_and_state(spark, t, detail):
     assert spark.table("settlement_control").where(col("extract_wf_complete").isNull()).count() == 2 * control.count()
     for name in ("settlement_lines", "settlement_lines_history", "settlement_control"):
         spark.sql(f"DROP TABLE {name}")
+
+
+def test_a_value_longer_than_its_field_ends_the_job(rows):
+    import pytest
+    from pyspark.errors import PySparkException
+
+    from ledgerloom.sinks import files as S
+
+    df = rows("cents long, title string", [(12345678901, "a long title")])
+    line = lambda width: df.select(S.fixed_width_line([S.Slot(F.col("cents"), width, right=True, fill="0"), S.Slot(F.col("title"), 6, cut=True)]).alias("line"))
+    assert line(12).first()[0] == "012345678901a long"
+    with pytest.raises(PySparkException, match="longer than its field"):
+        line(10).collect()

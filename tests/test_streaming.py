@@ -25,6 +25,16 @@ def test_files_are_landed_once_over_several_runs(spark, tmp_path):
     assert run() == [("a.csv", 1), ("a.csv", 2), ("b.csv", 3)]
 
 
+def test_equal_names_in_two_folders_are_two_files(spark, tmp_path):
+    src, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+    for folder, line in (("x", "1\n"), ("y y", "2\n")):
+        (src / folder).mkdir(parents=True)
+        (src / folder / "a+1.csv").write_text(line)
+        A.ingest_arrivals(A.arriving_lines(spark, str(src)), lambda b: b.select("file_name", col("value").cast("long").alias("id")), out, state)
+    got = sorted((r.file_name, r.id) for r in spark.read.parquet(out).collect())
+    assert got == [("x/a+1.csv", 1), ("y y/a+1.csv", 2)]
+
+
 def test_file_already_loaded_by_batch_is_skipped(spark, tmp_path):
     src, out = tmp_path / "in", str(tmp_path / "out")
     src.mkdir()
