@@ -146,7 +146,33 @@ def op3_nearest_neighbours(spark: SparkSession, path: str) -> DataFrame:
     return neighbours.nearest(vectors, vectors.where("vec_id % 20 = 0"))
 
 
-@query("op5_licence_scan")
+_TEMPLATES = ", ".join(f"({n}, '{label}', '{text}')" for n, (label, text) in enumerate(licences.TEMPLATES))
+
+
+@query(
+    "op5_licence_scan",
+    f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce({_WORDS}, []) AS w FROM documents),
+    t AS (SELECT template, label, string_split(notice, ' ') AS w FROM (VALUES {_TEMPLATES}) v(template, label, notice)),
+    tg AS (SELECT template, label, len(w) AS length, i - 1 AS tp, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM t, unnest(range(1, len(w) - 1)) u(i)),
+    dg AS (SELECT r, i - 1 AS p, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM d, unnest(range(1, len(w) - 1)) u(i)),
+    h AS (SELECT r, template, label, length, p, tp, p - tp AS diag FROM dg JOIN tg USING (a, b, c)),
+    dd AS (SELECT DISTINCT r, template, diag FROM h),
+    runs AS (SELECT *, sum(CASE WHEN diag - prev <= 2 THEN 0 ELSE 1 END) OVER (PARTITION BY r, template ORDER BY diag) AS run
+      FROM (SELECT *, lag(diag) OVER (PARTITION BY r, template ORDER BY diag) AS prev FROM dd)),
+    n AS (SELECT h.r, h.label, any_value(length) AS length, count(DISTINCT tp)::DOUBLE / (any_value(length) - 2)::DOUBLE AS share, min(p) AS s, max(p) + 3 AS e
+      FROM h JOIN runs USING (r, template, diag) GROUP BY h.r, h.label, h.template, runs.run),
+    more AS (SELECT r, list_distinct(list(label)) AS more, max(share) AS share FROM n WHERE share >= 0.6::DOUBLE AND e - s <= length * 1.5 + 2 GROUP BY r),
+    bp AS (SELECT r, label, i - 1 AS p FROM d, (VALUES (['cc', 'by'], 'cc-by'), (['general', 'public', 'license'], 'gpl'), (['all', 'rights', 'reserved'], 'reserved')) ph(q, label),
+      unnest(range(1, len(w) - len(q) + 2)) u(i) WHERE w[i:i + len(q) - 1] = q),
+    b AS (SELECT r, count(*) AS n_base, min(p) AS first_word, max(p) AS last_word, list_sort(list_distinct(list(label))) AS base FROM bp GROUP BY r)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+           coalesce(array_to_string(base, ','), '') AS base_labels,
+           array_to_string(list_sort(list_distinct(list_concat(coalesce(base, []), coalesce(more, [])))), ',') AS labels,
+           CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0.0)::DOUBLE END AS score
+    FROM d LEFT JOIN b USING (r) LEFT JOIN more USING (r)
+    """,
+)
 def op5_licence_scan(spark: SparkSession, path: str) -> DataFrame:
     return licences.scan(table(spark, path, "documents"))
 
