@@ -5,12 +5,15 @@ tokens, so if the token universe is cut into segments whose allocations add up t
 ``errors + spare``, some segments agree: exactly (allocation 0), or but for one token
 (allocation 1, found by one-deletion neighbourhoods).  Allocation follows cost: bands of short
 sets take long segments with deletions, since their plain segments would hold a token or two and
-meet everywhere; all others take plain segments.  Where ``spare`` segments must agree, each set
-skips its ``spare - 1`` most crowded ones, by counts over all sets; the rarest common segment
-of a linked pair is never among them.
+meet everywhere; all others take plain segments, more than errors, so that many must agree.  A set
+skips its most crowded segments, one fewer than those in which it must agree with any partner
+of its size, by counts over all sets: the rarest common segment of a linked pair is never skipped.
+
+Segments that stay crowded are cut into single tokens, the finest partition: there a set's rarest
+tokens, one more than it may lack in a partner, must meet the partner's.
 
 Equal sets are one node (128 bits of hash), so copies never meet.  Inside a crowded segment,
-pairs are tried from a few central members outwards, twice as many each round, and a pair is only tried while
+pairs are tried from a few central members outwards, ever more each round, and a pair is only tried while
 its two sets are in different components; rounds end when no segment holds two untried.
 Every link is verified on the whole sets.
 """
@@ -34,14 +37,17 @@ SHINGLE = 5
 PERCENT = 80
 BAND_RATIO = 1.5
 SHORT = 24
-SPARE_SHARE = 0.15
+SPARE_SHARE = 0.5
 CENTRES = 2
 COUNTED = 4096
+BROADCAST_NODES = 2_000_000
+#: sets in a segment from which it is cut into tokens
+CROWD = 64
 U = np.uint64
 
 
 def bands(percent: int = PERCENT) -> list[dict]:
-    """Size bands: lo, hi, segments, one (do segments take a deletion) and skip.
+    """Size bands: lo, hi, errors, segments and one (do segments take a deletion).
 
     The larger set of a pair is in the band; |x ^ y| <= (1 - t) / (1 + t) * (|x| + |y|).
     """
@@ -50,10 +56,9 @@ def bands(percent: int = PERCENT) -> list[dict]:
         hi = max(lo, math.ceil(lo * BAND_RATIO) - 1)
         errors = (100 - percent) * 2 * hi // (100 + percent)
         if hi <= SHORT:
-            out.append({"lo": lo, "hi": hi, "errors": errors, "one": True, "segments": (errors + 2) // 2, "skip": 0})
+            out.append({"lo": lo, "hi": hi, "errors": errors, "one": True, "segments": (errors + 2) // 2})
         else:
-            spare = 1 + math.ceil(SPARE_SHARE * errors)
-            out.append({"lo": lo, "hi": hi, "errors": errors, "one": False, "segments": errors + spare, "skip": spare - 1})
+            out.append({"lo": lo, "hi": hi, "errors": errors, "one": False, "segments": errors + 1 + math.ceil(SPARE_SHARE * errors)})
         lo = hi + 1
     return out
 
@@ -188,9 +193,9 @@ def document_sets(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
     return rows.mapInArrow(task, "row long, doc_id long, n_shingles long, node long, check long")
 
 
-def crowded_segments(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, partitions: int | None = None) -> DataFrame:
+def crowded_segments(docs: DataFrame, sizes: DataFrame, k: int = SHINGLE, percent: int = PERCENT, partitions: int | None = None) -> DataFrame:
     """(sig, node, weight): segments that several sets share, after each set's skips; ``weight`` tells how
-    central the set is among those it shares segments with."""
+    central the set is among those it shares segments with.  ``sizes``: node and n_shingles."""
     table = bands(percent)
 
     def sign(batches):
@@ -209,11 +214,16 @@ def crowded_segments(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT,
     met = signed.repartition(n, "sig").sortWithinPartitions("sig", "node").mapInArrow(crowded, "node long, sig long, n long")
     met, _ = written(met, "jaccard-segments")
 
-    skips = F.array(*[F.lit(t["skip"]) for t in table])
-    band = F.col("sig").bitwiseAND(F.lit(255)).cast("int")
+    # (sets of fewer than 2 ** 31 shingles) segments - skip - 1 is the most tokens in which a set can differ from a partner
+    column = lambda name: F.array(*[F.lit(int(t[name])) for t in table])
+    of_band = lambda name: F.element_at(column(name), F.col("band") + 1)
+    size = F.col("n_shingles")
+    partner = F.least(of_band("hi").cast("long"), F.floor(size * 100 / percent))
+    skip = F.when(of_band("one") == 1, 0).otherwise(of_band("segments") - F.floor((100 - percent) * (size + partner) / (100 + percent)) - 1)
     by_crowd = Window.partitionBy("node", "band").orderBy(F.col("n").desc(), "sig")
-    ranked = met.withColumn("band", band).withColumn("rank", F.row_number().over(by_crowd))
-    kept = ranked.where(F.col("rank") > F.element_at(skips, F.col("band") + 1))
+    sizes = sizes.select(F.col("node").alias("of"), "n_shingles").distinct()
+    sized = met.join(sizes, F.col("node") == F.col("of")).select("node", "sig", "n", "n_shingles", F.col("sig").bitwiseAND(F.lit(255)).cast("int").alias("band"))
+    kept = sized.withColumn("rank", F.row_number().over(by_crowd)).where(F.col("rank") > skip)
     return kept.withColumn("weight", F.sum("n").over(Window.partitionBy("node"))).select("sig", "node", "weight")
 
 
@@ -226,11 +236,11 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.withColumn("same", same).where(100 * F.col("same") >= percent * (F.size("x") + F.size("y") - F.col("same"))).select("a", "b")
 
 
-def node_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, centres: int = CENTRES) -> tuple[DataFrame, DataFrame]:
-    """(node, component) of all nodes with links, and the links (a, b) that were verified."""
+def node_components(docs: DataFrame, rows: DataFrame, k: int = SHINGLE, percent: int = PERCENT, centres: int = CENTRES) -> tuple[DataFrame, DataFrame]:
+    """(node, component) of all nodes with links, and the links (a, b) that were verified.  ``rows``: ``document_sets``."""
     spark = docs.sparkSession
     place = Window.partitionBy("sig").orderBy(F.col("weight").desc(), "node")
-    several = crowded_segments(docs, k, percent).withColumn("place", F.row_number().over(place))
+    several = crowded_segments(docs, rows, k, percent).withColumn("place", F.row_number().over(place))
     several, _ = written(several.select("sig", "node", "place"), "jaccard-places")
     nodes = several.select(F.col("node").alias("wanted")).distinct()
     nodes, _ = written(nodes, "jaccard-nodes")
@@ -242,35 +252,59 @@ def node_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, c
             yield pa.RecordBatch.from_arrays([_signed(ids[first]), pa.array([sets[i].view(np.int64) for i in first], pa.list_(pa.int64()))], ["node", "tokens"])
 
     every = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(tokens, "node long, tokens array<long>")
+    if nodes.count() <= BROADCAST_NODES:  # 8 bytes each
+        nodes = F.broadcast(nodes)
     sets = every.join(nodes, F.col("node") == F.col("wanted")).groupBy("node").agg(F.first("tokens").alias("tokens"))
     sets, _ = written(sets, "jaccard-sets")
 
-    links, labels, first = None, None, 1
+    links = labels = None
+    first, finer = 1, False
     while True:
-        state = several if labels is None else several.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        if labels is None:
-            state = state.withColumn("component", F.col("node"))
-        open_ = state.where(F.col("place") >= first)
-        torn = open_.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("sig")
-        open_ = open_.join(torn, "sig")
+        open_ = _torn(several, labels, first)
+        if labels is not None and not finer:
+            finer = True
+            crowd, _ = written(open_.groupBy("sig").count().where(F.col("count") >= CROWD).select("sig"), "jaccard-crowd")
+            if not crowd.isEmpty():
+                members = open_.join(crowd, "sig").select("node").distinct()
+                tokens_of = _token_segments(sets, members, percent).withColumn("place", F.col("place") + (first - 1))
+                several, _ = written(several.join(crowd, "sig", "left_anti").unionByName(tokens_of), "jaccard-finer")
+                open_ = _torn(several, labels, first)
+        open_, _ = written(open_, "jaccard-open")
+        if open_.isEmpty():
+            break
         heads = open_.where(F.col("place") < first + centres).select("sig", F.col("node").alias("a"), F.col("place").alias("at"), F.col("component").alias("ca"))
         pairs = heads.join(open_, "sig").where((F.col("place") > F.col("at")) & (F.col("component") != F.col("ca")))
         pairs = pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-        pairs, _ = written(pairs, "jaccard-pairs")
-        if pairs.isEmpty():
-            more_places = open_.where(F.col("place") >= first + centres)
-            if more_places.isEmpty():
-                break
         found, _ = written(linked(pairs, sets, percent), "jaccard-links")
-        links = found if links is None else links.unionByName(found)
         if not found.isEmpty():
-            labels = smallest_reachable(links)
-        first, centres = first + centres, 2 * centres
-    if links is None:
-        links = spark.createDataFrame([], "a long, b long")
+            links = found if links is None else links.unionByName(found)
+            labels, _ = written(smallest_reachable(links), "jaccard-labels")
+        elif labels is None:
+            labels = spark.createDataFrame([], "node long, component long")
+        first, centres = first + centres, 8 * centres
+    none = spark.createDataFrame([], "node long, component long")
+    return none if labels is None else labels, links
+
+
+def _torn(several: DataFrame, labels: DataFrame | None, first: int) -> DataFrame:
+    """Members from place ``first`` on of the segments in which these are of more than one component."""
     if labels is None:
-        labels = spark.createDataFrame([], "node long, component long")
-    return labels, links
+        state = several.withColumn("component", F.col("node"))
+    else:
+        state = several.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    state = state.where(F.col("place") >= first)
+    torn = state.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("sig")
+    return state.join(torn, "sig")
+
+
+def _token_segments(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """(sig, node, place) with single tokens as segments, among ``members``: of each set's tokens, rarest
+    first, as many as it may lack in a partner and one more."""
+    single = sets.join(members, "node").select("node", F.size("tokens").alias("s"), F.explode("tokens").alias("sig"))
+    counts = single.groupBy("sig").agg(F.count(F.lit(1)).alias("n"))
+    ranked = single.join(counts, "sig").withColumn("rank", F.row_number().over(Window.partitionBy("node").orderBy("n", "sig")))
+    rare = ranked.where((F.col("rank") <= F.col("s") - F.ceil(F.col("s") * percent / 100) + 1) & (F.col("n") > 1))
+    return rare.select("sig", "node", F.row_number().over(Window.partitionBy("sig").orderBy("node")).alias("place"))
 
 
 def row_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -278,7 +312,7 @@ def row_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) ->
     of the component) and first_row (the row with that id; the first of several).  Rows with an empty
     set stand alone."""
     rows, _ = written(document_sets(docs, k), "jaccard-documents")
-    labels, _ = node_components(docs, k, percent)
+    labels, _ = node_components(docs, rows, k, percent)
     # a set without links keeps its second hash as well, so no two sets are taken for one
     per_set = rows.where("n_shingles > 0").groupBy("node", "check").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"))
     per_set = per_set.join(labels.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
