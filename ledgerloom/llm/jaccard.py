@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import words as W
@@ -194,8 +194,9 @@ def document_sets(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
 
 
 def crowded_segments(docs: DataFrame, sizes: DataFrame, k: int = SHINGLE, percent: int = PERCENT, partitions: int | None = None) -> DataFrame:
-    """(sig, node, weight): segments that several sets share, after each set's skips; ``weight`` tells how
-    central the set is among those it shares segments with.  ``sizes``: node and n_shingles."""
+    """(sig, node, weight, size, rarer, token): segments that several sets share, after each set's skips;
+    ``weight`` tells how central the set is among those it shares segments with, ``rarer`` how many of its
+    segments are less crowded, ``token`` if a segment is one token.  ``sizes``: node and n_shingles."""
     table = bands(percent)
 
     def sign(batches):
@@ -224,7 +225,9 @@ def crowded_segments(docs: DataFrame, sizes: DataFrame, k: int = SHINGLE, percen
     sizes = sizes.select(F.col("node").alias("of"), "n_shingles").distinct()
     sized = met.join(sizes, F.col("node") == F.col("of")).select("node", "sig", "n", "n_shingles", F.col("sig").bitwiseAND(F.lit(255)).cast("int").alias("band"))
     kept = sized.withColumn("rank", F.row_number().over(by_crowd)).where(F.col("rank") > skip)
-    return kept.withColumn("weight", F.sum("n").over(Window.partitionBy("node"))).select("sig", "node", "weight")
+    rarer = F.when(of_band("one") == 1, 0).otherwise(of_band("segments") - F.col("rank"))
+    kept = kept.withColumn("weight", F.sum("n").over(Window.partitionBy("node")))
+    return kept.select("sig", "node", "weight", F.col("n_shingles").alias("size"), rarer.cast("long").alias("rarer"), F.lit(False).alias("token"))
 
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -241,7 +244,7 @@ def node_components(docs: DataFrame, rows: DataFrame, k: int = SHINGLE, percent:
     spark = docs.sparkSession
     place = Window.partitionBy("sig").orderBy(F.col("weight").desc(), "node")
     several = crowded_segments(docs, rows, k, percent).withColumn("place", F.row_number().over(place))
-    several, _ = written(several.select("sig", "node", "place"), "jaccard-places")
+    several, _ = written(several.drop("weight"), "jaccard-places")
     nodes = several.select(F.col("node").alias("wanted")).distinct()
     nodes, _ = written(nodes, "jaccard-nodes")
 
@@ -272,8 +275,9 @@ def node_components(docs: DataFrame, rows: DataFrame, k: int = SHINGLE, percent:
         open_, _ = written(open_, "jaccard-open")
         if open_.isEmpty():
             break
-        heads = open_.where(F.col("place") < first + centres).select("sig", F.col("node").alias("a"), F.col("place").alias("at"), F.col("component").alias("ca"))
-        pairs = heads.join(open_, "sig").where((F.col("place") > F.col("at")) & (F.col("component") != F.col("ca")))
+        heads = open_.where(F.col("place") < first + centres)
+        heads = heads.select("sig", F.col("node").alias("a"), F.col("place").alias("at"), F.col("component").alias("ca"), F.col("size").alias("size_a"), F.col("rarer").alias("rarer_a"))
+        pairs = heads.join(open_, "sig").where((F.col("place") > F.col("at")) & (F.col("component") != F.col("ca")) & _may_link(percent))
         pairs = pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
         found, _ = written(linked(pairs, sets, percent), "jaccard-links")
         if not found.isEmpty():
@@ -286,6 +290,16 @@ def node_components(docs: DataFrame, rows: DataFrame, k: int = SHINGLE, percent:
     return none if labels is None else labels, links
 
 
+def _may_link(percent: int) -> Column:
+    """Could a segment be the rarest that a pair has in common: does neither set have more segments before
+    it than it may lack in the other?"""
+    sizes = F.col("size") + F.col("size_a")
+    errors = F.floor((100 - percent) * sizes / (100 + percent))
+    common = F.ceil(percent * sizes / (100 + percent))
+    lacks = lambda size: F.when(F.col("token"), F.col(size) - common).otherwise(errors)
+    return (F.col("rarer") <= lacks("size")) & (F.col("rarer_a") <= lacks("size_a"))
+
+
 def _torn(several: DataFrame, labels: DataFrame | None, first: int) -> DataFrame:
     """Members from place ``first`` on of the segments in which these are of more than one component."""
     if labels is None:
@@ -298,13 +312,14 @@ def _torn(several: DataFrame, labels: DataFrame | None, first: int) -> DataFrame
 
 
 def _token_segments(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """(sig, node, place) with single tokens as segments, among ``members``: of each set's tokens, rarest
-    first, as many as it may lack in a partner and one more."""
+    """Single tokens as segments, among ``members``: of each set's tokens, rarest first, as many as it may
+    lack in a partner and one more."""
     single = sets.join(members, "node").select("node", F.size("tokens").alias("s"), F.explode("tokens").alias("sig"))
     counts = single.groupBy("sig").agg(F.count(F.lit(1)).alias("n"))
     ranked = single.join(counts, "sig").withColumn("rank", F.row_number().over(Window.partitionBy("node").orderBy("n", "sig")))
     rare = ranked.where((F.col("rank") <= F.col("s") - F.ceil(F.col("s") * percent / 100) + 1) & (F.col("n") > 1))
-    return rare.select("sig", "node", F.row_number().over(Window.partitionBy("sig").orderBy("node")).alias("place"))
+    place = F.row_number().over(Window.partitionBy("sig").orderBy("rank", "node"))
+    return rare.select("sig", "node", F.col("s").cast("long").alias("size"), (F.col("rank") - 1).cast("long").alias("rarer"), F.lit(True).alias("token"), place.alias("place"))
 
 
 def row_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
