@@ -46,6 +46,29 @@ def sunday_week_number(d: Column) -> Column:
     return F.floor((F.dayofyear(d) + 7 - F.dayofweek(d)) / 7).cast("int")
 
 
+def fiscal_year_start(d: Column) -> Column:
+    """Fiscal years have 52 or 53 whole weeks and begin on the last Monday up to 30 June."""
+    this = monday_week_start(F.make_date(F.year(d), F.lit(6), F.lit(30)))
+    last = monday_week_start(F.make_date(F.year(d) - 1, F.lit(6), F.lit(30)))
+    return F.when(d >= this, this).otherwise(last)
+
+
+def fiscal_week(d: Column) -> Column:
+    """1 to 53."""
+    return (F.floor(F.date_diff(d, fiscal_year_start(d)) / 7) + 1).cast("int")
+
+
+def fiscal_period(week: Column) -> Column:
+    """12 periods of 4, 4 and 5 weeks; a 53rd week belongs to the last."""
+    quarter = F.least(F.floor((week - 1) / 13), F.lit(3))
+    return (quarter * 3 + F.least(F.floor((week - 1 - quarter * 13) / 4), F.lit(2)) + 1).cast("int")
+
+
+def fiscal_period_start(year_start: Column, period: Column) -> Column:
+    quarter, inside = F.floor((period - 1) / 3), F.pmod(period - 1, F.lit(3))
+    return F.date_add(year_start, ((quarter * 13 + inside * 4) * 7).cast("int"))
+
+
 def iso_year2(d: Column) -> Column:
     """H-57: two-digit year of the ISO week."""
     return F.lpad((F.year(F.date_add(monday_week_start(d), 3)) % 100).cast("string"), 2, "0")

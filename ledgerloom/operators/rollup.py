@@ -53,22 +53,34 @@ FRAMES = {
 }
 
 
+#: frames that a fiscal calendar gives, and its columns for them
+FISCAL = {"Week": "fw_start_date", "Period": "fp_start_date", "Year": "fy_start_date"}
+
+
 def timeframes(
     df: DataFrame,
     day: str,
     dims: Sequence[str],
     sums: Mapping[str, Column],
     frames: Sequence[str] = ("Day", "Week", "Month", "Year"),
+    calendar: DataFrame | None = None,
 ) -> DataFrame:
     """D-20: daily, weekly, monthly and yearly sums in one table.
 
-    Sums per day first; the frames multiply day rows, not transactions.
+    Sums per day first; the frames multiply day rows, not transactions.  With a fiscal ``calendar``
+    (one row a day, see ``sources.tables.fiscal_calendar``) weeks and years are the fiscal ones and
+    "Period" is a frame; days outside the calendar have null periods.
     """
     daily = df.groupBy(*dims, day).agg(*[v.alias(n) for n, v in sums.items()])
-    entry = F.array(
-        *[F.struct(F.lit(f).alias("timeframe"), FRAMES[f](F.col(day)).alias("period_start")) for f in frames]
-    )
-    spread = daily.withColumn("__f", F.explode(entry)).select("*", "__f.*").drop("__f", day)
+    starts = {f: FRAMES[f](F.col(day)) for f in frames if f in FRAMES}
+    if calendar is not None:
+        starts |= {f: F.col(c) for f, c in FISCAL.items() if f in frames}
+        days = calendar.select(F.col("calendar_date").alias(day), *dict.fromkeys(FISCAL.values()))
+        daily = daily.join(days, day, "left")
+    entry = F.array(*[F.struct(F.lit(f).alias("timeframe"), starts[f].alias("period_start")) for f in frames])
+    daily = daily.select(*dims, day, *sums, entry.alias("__e"))
+    entry = F.col("__e")
+    spread = daily.withColumn("__f", F.explode(entry)).select("*", "__f.*").drop("__f", "__e", day)
     return spread.groupBy("timeframe", "period_start", *dims).agg(*[F.sum(n).alias(n) for n in sums])
 
 

@@ -106,8 +106,8 @@ def fee_statement(billing: DataFrame, store: DataFrame, months: int = 3) -> Data
     dims = ["company", "merchant_group", "invoice_group", "kind", "approval", "scheme", "scheme_card_type"]
     framed = R.timeframes(rows, "tran_date", dims, fee_sums("Approved"), ("Day", "Week", "Month"))
     start = F.col("period_start")
-    # three scalars, one per timeframe: the newest period carries the "to date" label
-    edges = {f: framed.where(F.col("timeframe") == f).agg(F.max("period_start")).scalar() for f in ("Month", "Week", "Day")}
+    # the newest day is among the rows, so its periods are the newest ones
+    edges = {f: R.FRAMES[f](newest) for f in ("Month", "Week")}
     label = (
         F.when((F.col("timeframe") == "Month") & (start == edges["Month"]), "Month to date")
         .when((F.col("timeframe") == "Week") & (start == edges["Week"]), "Week to date")
@@ -127,7 +127,7 @@ def fee_insights(billing: DataFrame, store: DataFrame, months: int = 13) -> Data
     per = rows.groupBy(*keys, D.month_start(F.col("tran_date")).alias("month")).agg(*[c.alias(n) for n, c in fee_sums().items()])
     index = D.month_index(F.col("month"))
     out = W.prior_period(per, keys, index, {f"{n}_lp": F.col(n) for n in fee_sums()}, 1)
-    return R.edge_period(out, "month", "max_month", "flag", F.lit(None).cast("string"))
+    return out.withColumn("flag", F.when(F.col("month") == D.month_start(newest), "max_month"))
 
 
 def _payment_sums() -> dict[str, Column]:

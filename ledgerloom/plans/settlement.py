@@ -347,8 +347,9 @@ def transaction_listing(switch: DataFrame, tran_type: DataFrame, response: DataF
     )
 
 
-def partner_posting(std: DataFrame, store: DataFrame, sap_map: DataFrame, run_ts: dt.datetime, frequency: str = "WEEKLY") -> DataFrame:
-    """Partner fees per store and day: net recovery and partner discount, one aggregate (G-08)."""
+def partner_posting(std: DataFrame, store: DataFrame, sap_map: DataFrame, calendar: DataFrame, run_ts: dt.datetime, frequency: str = "WEEKLY") -> DataFrame:
+    """Partner fees per store and day: net recovery and partner discount, one aggregate (G-08), due
+    after the fiscal period's end."""
     rows = J.lookup(open_rows(std, partner=True), store.where(~F.col("is_closed")), {"store_id": "store_id"}, ["site_name", "company"], "inner")
     mapped = sap_map.where(X.norm_key(F.coalesce("active_flag", F.lit(""))) != "N")
     rows = J.lookup(rows, mapped, {"store_number": "store_id"}, ["company_code", "merchant_organisation_id", "merchant_store_number", "customer_number", "currency_code"], "inner")
@@ -358,7 +359,9 @@ def partner_posting(std: DataFrame, store: DataFrame, sap_map: DataFrame, run_ts
     per = rows.groupBy(*keys, day.alias("calendar_date")).agg(
         F.sum(F.col("settlement_cents") + F.col("discount_cents")).alias("net"), F.sum("discount_cents").alias("discount"), F.count("*").alias("record_count")
     )
-    per = per.withColumn("pay_due_date", F.date_format(K.due_pay_date(D.sunday_week_start(F.col("calendar_date"))), "yyyyMMdd")).withColumn("frequency", F.lit(frequency))
+    ends = calendar.select("calendar_date", "fp_end_date")
+    per = J.lookup(per, ends, {"calendar_date": "calendar_date"}, ["fp_end_date"])
+    per = per.withColumn("pay_due_date", F.date_format(K.due_pay_date(F.col("fp_end_date")), "yyyyMMdd")).withColumn("frequency", F.lit(frequency))
     keep = [*keys, "calendar_date", "record_count", "pay_due_date", "frequency"]
     return R.lenses(per, keep, "fee_type", "fee_value", {"GCNETRECOVERY": F.col("net"), "GCPARTNERDISC": F.col("discount")})
 

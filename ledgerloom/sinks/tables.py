@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,13 +16,13 @@ def replace_table(df: DataFrame, table: str) -> None:
     """B-01, B-02, J-04: full reload.
 
     The new version is written beside the old one and swapped in by renaming, so a job may
-    read the table it replaces and a failed write leaves the old version in place.
+    read the table it replaces and a failed write leaves the old version in place.  The names in
+    between are the run's own, so two runs don't drop each other's tables.
     """
     spark = df.sparkSession
-    nxt, old = f"{table}__next", f"{table}__old"
-    spark.sql(f"DROP TABLE IF EXISTS {nxt}")
+    own = uuid.uuid4().hex
+    nxt, old = f"{table}__next_{own}", f"{table}__old_{own}"
     df.write.format("parquet").saveAsTable(nxt)
-    spark.sql(f"DROP TABLE IF EXISTS {old}")
     if spark.catalog.tableExists(table):
         spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {nxt} RENAME TO {table}")

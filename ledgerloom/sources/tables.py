@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.functions import dates as D
+
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """A-07: explicit schema, so no footer is opened for inference."""
@@ -34,6 +36,26 @@ def date_spine(spark: SparkSession, start: dt.date, end: dt.date, out: str = "da
     return spark.range(1).select(F.explode(days).alias(out))
 
 
+def fiscal_calendar(days: DataFrame, day: str = "day") -> DataFrame:
+    """One row a day: its fiscal week, period and year with their first and last days."""
+    start = D.fiscal_year_start(F.col(day))
+    rows = days.select(F.col(day).alias("calendar_date"), start.alias("fy_start_date"), D.fiscal_week(F.col(day)).alias("wofy"))
+    rows = rows.withColumn("pofy", D.fiscal_period(F.col("wofy")))
+    next_year = D.fiscal_year_start(F.date_add("fy_start_date", 380))
+    following = F.when(F.col("pofy") == 12, next_year).otherwise(D.fiscal_period_start(F.col("fy_start_date"), F.col("pofy") + 1))
+    return rows.select(
+        "calendar_date",
+        F.date_add("fy_start_date", (F.col("wofy") - 1) * 7).alias("fw_start_date"),
+        F.date_add("fy_start_date", F.col("wofy") * 7 - 1).alias("fw_end_date"),
+        "wofy",
+        D.fiscal_period_start(F.col("fy_start_date"), F.col("pofy")).alias("fp_start_date"),
+        F.date_sub(following, 1).alias("fp_end_date"),
+        "pofy",
+        F.concat(F.lit("F"), F.year(F.date_add("fy_start_date", 300)).cast("string")).alias("fy"),
+        "fy_start_date",
+    )
+
+
 def catalog_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
     """A-16: tables of a schema as rows."""
     rows = [(t.name, t.tableType, bool(t.isTemporary)) for t in spark.catalog.listTables(database)]

@@ -12,6 +12,9 @@ import datetime as dt
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerloom.sources.tables import fiscal_calendar
 
 GIVEN = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -371,6 +374,13 @@ def oracle(sql: str) -> str:
     return f"WITH {prelude}\n{body}"
 
 
+#: the oracles' calendar, by its own rule: periods by their last weeks, edges by counting days
+CALENDAR_SQL = """cd AS (SELECT CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS d FROM (SELECT CAST(min(o_orderdate) AS DATE) - 400 AS a, CAST(max(o_orderdate) AS DATE) + 400 AS b FROM orders)),
+cs AS (SELECT d, CAST(CASE WHEN d >= date_trunc('week', make_date(year(d), 6, 30)) THEN date_trunc('week', make_date(year(d), 6, 30)) ELSE date_trunc('week', make_date(year(d) - 1, 6, 30)) END AS DATE) AS fy_start_date FROM cd),
+cw AS (SELECT *, (d - fy_start_date) // 7 + 1 AS wofy FROM cs), cp AS (SELECT *, 1 + len(list_filter([4, 8, 13, 17, 21, 26, 30, 34, 39, 43, 47], lambda x: x < wofy)) AS pofy FROM cw),
+calendar AS (SELECT d AS calendar_date, CAST(date_trunc('week', d) AS DATE) AS fw_start_date, min(d) OVER p AS fp_start_date, max(d) OVER p AS fp_end_date, wofy, pofy, fy_start_date FROM cp WINDOW p AS (PARTITION BY fy_start_date, pofy))"""
+
+
 class Tables:
     """Given tables and derived feeds as lazy DataFrames: ``t.orders``, ``t.switch_txn``."""
 
@@ -391,6 +401,12 @@ class Tables:
                 raise AttributeError(name)
         return self._made[name]
 
+    @property
+    def calendar(self) -> DataFrame:
+        """Fiscal calendar over the span of the orders, with a year to spare on both sides."""
+        span = self.orders.agg(F.min("o_orderdate").cast("date").alias("a"), F.max("o_orderdate").cast("date").alias("b"))
+        return fiscal_calendar(span.select(F.explode(F.sequence(F.date_sub("a", 400), F.date_add("b", 400))).alias("day")))
+
     def _derive(self, name: str) -> DataFrame:
         text = _dialect(FEED_SQL[name], "spark")
         inputs = {w: getattr(self, w) for w in set(_WORD.findall(text)) if w in GIVEN or (w in FEED_SQL and w != name)}

@@ -10,7 +10,7 @@ from ledgerloom.operators import control as O
 from ledgerloom.operators import joins as J
 from ledgerloom.operators import recon as Q
 from ledgerloom.plans import settlement as P
-from ledgerloom.workload.feeds import RUN_DATE, RUN_TS, STORE_WIDTH, Tables
+from ledgerloom.workload.feeds import CALENDAR_SQL, RUN_DATE, RUN_TS, STORE_WIDTH, Tables
 from ledgerloom.workload.registry import query
 
 col = F.col
@@ -179,10 +179,10 @@ x AS (SELECT * EXCLUDE (net, disc), 'GCNETRECOVERY' AS fee_type, CAST(net AS BIG
 
 @query(
     "m_partner_posting",
-    f"""WITH {_POST} SELECT * REPLACE (CAST(calendar_date AS VARCHAR) AS calendar_date), strftime(calendar_date - CAST(dayofweek(calendar_date) AS INT) + 5, '%Y%m%d') AS pay_due_date, 'WEEKLY' AS frequency FROM x""",
+    f"""WITH {_POST}, {CALENDAR_SQL} SELECT x.* REPLACE (CAST(x.calendar_date AS VARCHAR) AS calendar_date), strftime(fp_end_date + 5, '%Y%m%d') AS pay_due_date, 'WEEKLY' AS frequency FROM x LEFT JOIN calendar c ON c.calendar_date = x.calendar_date""",
 )
 def _posting(t: Tables):
-    return P.partner_posting(t.settlement_std, t.store, t.sap_map, RUN_TS)
+    return P.partner_posting(t.settlement_std, t.store, t.sap_map, t.calendar, RUN_TS)
 
 
 @query(
@@ -191,7 +191,7 @@ def _posting(t: Tables):
 UNION ALL SELECT 'T', {_NAME.format(p='FEES')}, 1, CAST(coalesce((SELECT sum(fee_value) FROM x WHERE x.company_code = co.company_code), 0) AS BIGINT), (SELECT count(*) FROM x WHERE x.company_code = co.company_code) FROM co""",
 )
 def _posting_file(t: Tables):
-    out = P.partner_posting_file(P.partner_posting(t.settlement_std, t.store, t.sap_map, RUN_TS), t.sap_map, RUN_TS)
+    out = P.partner_posting_file(P.partner_posting(t.settlement_std, t.store, t.sap_map, t.calendar, RUN_TS), t.sap_map, RUN_TS)
     return out.groupBy("record_type", "file_name").agg(F.count("*").alias("rows"), F.sum("fee_value").alias("fee_value"), F.max("line_count").alias("line_count"))
 
 

@@ -119,3 +119,21 @@ def test_name_value_lookup(spark):
 def test_report_window_spans_a_year_end():
     p = RunParams(dt.date(2024, 3, 15))
     assert (p.window_start, p.window_end, p.report_start) == (dt.date(2023, 5, 1), dt.date(2024, 4, 1), dt.date(2023, 8, 1))
+
+
+def test_fiscal_calendar_has_whole_weeks_and_a_53rd(spark):
+    import datetime as dt
+
+    from ledgerloom.sources import tables as TB
+
+    rows = TB.fiscal_calendar(TB.date_spine(spark, dt.date(2018, 6, 25), dt.date(2032, 6, 27))).collect()
+    years = {}
+    for r in rows:
+        assert r["fw_start_date"] <= r["calendar_date"] <= r["fw_end_date"] and r["fw_start_date"].weekday() == 0
+        assert r["fp_start_date"] <= r["fw_start_date"] and r["fw_end_date"] <= r["fp_end_date"]
+        years.setdefault(r["fy_start_date"], set()).add((r["wofy"], r["pofy"]))
+    whole = sorted(years)[:-1]
+    assert {max(w for w, _ in years[y]) for y in whole} == {52, 53}
+    for y in whole:
+        per = [sum(p == k for _, p in years[y]) for k in range(1, 13)]
+        assert per[:11] == [4, 4, 5] * 3 + [4, 4] and per[11] in (5, 6)
