@@ -62,7 +62,8 @@ def notices(words: DataFrame, templates: list[tuple[str, str]] = TEMPLATES) -> D
     same = F.col("h") == F.col("t_h")
     for i in range(GRAM):
         same = same & (F.col(f"w{i}") == F.col(f"t_w{i}"))
-    hits = grams(words, "words", "row").join(t, same).select("row", "template", "label", "length", "place", "t_place")
+    # a few hundred rows, by the length of the templates; the texts' k-grams stay where they are
+    hits = grams(words, "words", "row").join(F.broadcast(t), same).select("row", "template", "label", "length", "place", "t_place")
     votes = hits.groupBy("row", "template", "label", "length", (F.col("place") - F.col("t_place")).alias("diagonal")).agg(
         F.min("place").alias("start"), (F.max("place") + GRAM).alias("end"), F.collect_set("t_place").alias("found")
     )
