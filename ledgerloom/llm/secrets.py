@@ -51,7 +51,9 @@ def base_spans(text: Column) -> list[Column]:
 
 def transition_table(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> list[float]:
     """ln P(b | a, random) - ln P(b | a, ordinary) at 128 a + b, both with 0.5 added to each pair."""
-    sample = docs.select(F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("doc_id").alias("h")).orderBy("h", "text").limit(sample_docs)
+    share = min(1.0, 2 * sample_docs / max(docs.count(), 1))  # about twice the sample is ordered, however many documents there are
+    hashed = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.xxhash64("doc_id").alias("h"))
+    sample = hashed.where(F.pmod("h", F.lit(1 << 30)) < int(share * (1 << 30))).orderBy("h", "text").limit(sample_docs)
     digest = F.sha2(F.col("h").cast("string"), 256)
     random = F.flatten(F.array(F.filter(found("text", ASSIGN, 2), lambda v: F.length(v) >= ASSIGN_LENGTH), found(F.col("text"), ACCESS), found(F.col("text"), HEX)))
     made = F.array(digest, F.base64(F.unhex(digest)), F.upper(F.translate(F.base64(F.unhex(digest)), "+/=", "XYZ")))
