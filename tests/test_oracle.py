@@ -7,9 +7,10 @@ from compare import check, duck
 from plan_rules import assert_scales
 
 import __spark_entry__ as entry
+from ledgerloom.workload import load
 
 PATH = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = dict(load().QUERIES), dict(load().ORACLE)
 
 
 @pytest.fixture(scope="module")
@@ -27,5 +28,9 @@ def test_every_oracle_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
 
 
+def test_entry_registers_them_all():
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
+
+
 def test_flagship(spark):
     assert entry.entry(spark).columns
