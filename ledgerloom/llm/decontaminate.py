@@ -16,12 +16,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import words as W
 from ledgerloom.llm.fmindex import FMIndex
-from ledgerloom.llm.store import written
+from ledgerloom.llm.store import numbered, written
 
 WINDOW = 13
 SHARD_BYTES = 8 << 20
@@ -153,8 +153,8 @@ def phrase_blocks(benchmark: DataFrame, window: int, block_words: int) -> list:
     return out
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """One row for each row of ``docs`` (doc_id, text): row (its monotonic id), doc_id, n_words, spans (hit
+def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS, shard_bytes: int = SHARD_BYTES, row: Column | None = None) -> DataFrame:
+    """One row for each row of ``docs`` (doc_id, text): row (its id, ``row`` or a monotonic one), doc_id, n_words, spans (hit
     words, merged, end exclusive) and items (ids as strings, sorted).
 
     Null and empty texts have no words and no hits; null or wordless items have no windows; an
@@ -162,7 +162,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     give no hits or no rows; other columns don't matter.  Words are compared by 64-bit hashes.
     """
     blocks = phrase_blocks(benchmark, window, block_words)
-    docs = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    row = F.monotonically_increasing_id() if row is None else row
+    docs = docs.select(row.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     if len(blocks) > 1:
         docs, _ = written(docs, "decontaminate-docs")
     found = None
@@ -194,8 +195,8 @@ def report(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
-    """The rows of ``docs``, a stored table, that aren't contaminated; all columns as they were."""
-    bad = find_contamination(docs, benchmark, **how).where(contaminated(_hit(), F.col("n_words"))).select(F.col("row").alias("__gone"))
+    """The rows of ``docs`` that aren't contaminated; all columns as they were."""
+    rows = numbered(docs, "decontaminate-rows")
+    bad = find_contamination(rows, benchmark, row=F.col("__row"), **how).where(contaminated(_hit(), F.col("n_words"))).select(F.col("row").alias("__gone"))
     bad, _ = written(bad, "decontaminate-gone")
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
-    return numbered.join(bad, F.col("__row") == F.col("__gone"), "left_anti").select(*docs.columns)
+    return rows.join(bad, F.col("__row") == F.col("__gone"), "left_anti").select(*docs.columns)

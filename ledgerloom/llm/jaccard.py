@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import words as W
 from ledgerloom.llm.components import smallest_reachable
-from ledgerloom.llm.store import written
+from ledgerloom.llm.store import numbered, written
 
 SHINGLE = 5
 #: links need 100 * intersection >= PERCENT * union
@@ -178,7 +178,7 @@ def crowded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows(held_sig, held_node, np.full(len(held_sig), len(held_sig)))
 
 
-def document_sets(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
+def document_sets(docs: DataFrame, k: int = SHINGLE, row: Column | None = None) -> DataFrame:
     """One row for each row of ``docs``: row, doc_id, n_shingles, node and check (hashes of the set; null if empty)."""
 
     def task(batches):
@@ -189,7 +189,8 @@ def document_sets(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
                 [batch.column("row"), batch.column("doc_id"), pa.array(sizes), pa.array(a.view(np.int64), mask=sizes == 0), pa.array(b.view(np.int64), mask=sizes == 0)], ["row", "doc_id", "n_shingles", "node", "check"]
             )
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    row = F.monotonically_increasing_id() if row is None else row
+    rows = docs.select(row.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(task, "row long, doc_id long, n_shingles long, node long, check long")
 
 
@@ -322,11 +323,11 @@ def _token_segments(sets: DataFrame, members: DataFrame, percent: int) -> DataFr
     return rare.select("sig", "node", F.col("s").cast("long").alias("size"), (F.col("rank") - 1).cast("long").alias("rarer"), F.lit(True).alias("token"), place.alias("place"))
 
 
-def row_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """One row for each row of ``docs``: row (its monotonic id), doc_id, n_shingles, component_id (smallest id
+def row_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, row: Column | None = None) -> DataFrame:
+    """One row for each row of ``docs``: row (its id, ``row`` or a monotonic one), doc_id, n_shingles, component_id (smallest id
     of the component) and first_row (the row with that id; the first of several).  Rows with an empty
     set stand alone."""
-    rows, _ = written(document_sets(docs, k), "jaccard-documents")
+    rows, _ = written(document_sets(docs, k, row), "jaccard-documents")
     labels, _ = node_components(docs, rows, k, percent)
     # a set without links keeps its second hash as well, so no two sets are taken for one
     per_set = rows.where("n_shingles > 0").groupBy("node", "check").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"))
@@ -354,8 +355,8 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
 
 
 def keep_one_of_each(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs``, a stored table, without those of a component but its first; all columns as they were."""
-    gone = row_components(docs, k, percent).where("row <> first_row").select(F.col("row").alias("__gone"))
+    """The rows of ``docs`` without those of a component but its first; all columns as they were."""
+    rows = numbered(docs, "jaccard-rows")
+    gone = row_components(rows, k, percent, F.col("__row")).where("row <> first_row").select(F.col("row").alias("__gone"))
     gone, _ = written(gone, "jaccard-gone")
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
-    return numbered.join(gone, F.col("__row") == F.col("__gone"), "left_anti").select(*docs.columns)
+    return rows.join(gone, F.col("__row") == F.col("__gone"), "left_anti").select(*docs.columns)

@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.store import written
+from ledgerloom.llm.store import numbered, written
 
 #: Weights dealt to the sources in code point order.
 WEIGHTS = (3, 1, 2)
@@ -68,8 +68,8 @@ def _running(df: DataFrame, keys: list[str], part: str, order: list[str], out: s
     return joined.withColumn(out, F.col("part_before") + F.sum("size").over(inside)).drop("part_before", part)
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, passes: int = PASSES) -> DataFrame:
-    """The mix over ``docs`` (doc_id, source, text; more columns don't matter).
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, passes: int = PASSES, row: Column | None = None) -> DataFrame:
+    """The mix over ``docs`` (doc_id, source, text; more columns don't matter); ``row``: an id of each row, else made here.
 
     One row for each document and pass, with the document's size, its source's size and target,
     ``finish`` (virtual time), ``mixed`` (tokens of the mix up to its end) and ``taken`` (is this
@@ -80,7 +80,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     gives no rows.
     """
     body = F.md5(F.coalesce(F.col("text"), F.lit("")))
-    sized, _ = written(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "source", token_count(F.col("text")).alias("size"), body.alias("body")), "mix-sizes")
+    row = F.monotonically_increasing_id() if row is None else row
+    sized, _ = written(docs.select(row.alias("row"), "doc_id", "source", token_count(F.col("text")).alias("size"), body.alias("body")), "mix-sizes")
     targets, _ = written(source_targets(sized, weights, share, passes), "mix-targets")
     parts = max(1, (targets.agg(F.sum("n_docs")).first()[0] or 0) * passes // ROWS_A_PART)
     digits = max(1, math.ceil(math.log(parts, 16)))
@@ -109,10 +110,10 @@ def mix_report(docs: DataFrame, **how) -> DataFrame:
 
 
 def take_mix(docs: DataFrame, **how) -> DataFrame:
-    """The rows of ``docs``, a stored table, that the mix takes, with size, source_size, target and taken."""
+    """The rows of ``docs`` that the mix takes, with size, source_size, target and taken."""
+    rows = numbered(docs, "mix-rows")
     taken = F.sum(F.when(F.col("taken"), F.col("size")).otherwise(0)).alias("taken")
-    per = mix(docs, **how).groupBy("row", "size", "source_size", "target").agg(taken).where("taken > 0")
+    per = mix(rows, row=F.col("__row"), **how).groupBy("row", "size", "source_size", "target").agg(taken).where("taken > 0")
     new = ["size", "source_size", "target", "taken"]
-    per, _ = written(per, "mix-taken")
-    numbered = docs.select(*[c for c in docs.columns if c not in new], F.monotonically_increasing_id().alias("__row"))
-    return numbered.join(per, F.col("__row") == F.col("row")).drop("__row", "row")
+    per, _ = written(per.withColumnRenamed("row", "__of"), "mix-taken")
+    return rows.drop(*new).join(per, F.col("__row") == F.col("__of")).drop("__row", "__of")

@@ -1,4 +1,4 @@
-"""Stages of the corpus pipeline: each takes (spark, docs, sf_dir), docs a stored table, and returns a DataFrame."""
+"""Stages of the corpus pipeline: each takes (spark, docs, sf_dir) and returns a DataFrame."""
 
 from __future__ import annotations
 

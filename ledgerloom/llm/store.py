@@ -10,6 +10,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -32,6 +33,12 @@ def written(df: DataFrame, what: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def numbered(df: DataFrame, what: str) -> DataFrame:
+    """The rows of ``df`` as a table of the shared folder with an id each, ``__row``.  Ids that are made while
+    reading follow the file splits, which may differ from one job to the next; written ones don't."""
+    return written(df.withColumn("__row", F.monotonically_increasing_id()), what)[0]
+
+
 def dropped(spark: SparkSession, path: str) -> None:
     """Delete a table that ``written`` made and nothing reads any more."""
     jvm = spark.sparkContext._jvm
