@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 SPAN = "array<struct<start:int,end:int>>"
 
 
-def found(text: Column, pattern: str, group: int = 0) -> Column:
+def found(text: Column, pattern: str | Column, group: int = 0) -> Column:
     """All leftmost non-overlapping matches (or a group of each), in order."""
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
 
 
-def gaps(text: Column, pattern: str) -> Column:
+def gaps(text: Column, pattern: str | Column) -> Column:
     """What stands before, between and after the matches."""
     return F.split(text, pattern, -1)
 

@@ -24,7 +24,14 @@ DATE = r"(?<![0-9A-Za-z-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9A-Za-z-])|(?<![0-9A-Z
 SSN = r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"
 CARD = r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:(?:-[0-9]{4}){2}-|(?: [0-9]{4}){2} )[0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9A-Za-z])"
 PHONE = r"\+[0-9](?:[ .()-]{0,2}[0-9]){7,14}(?![0-9A-Za-z])|(?<![0-9A-Za-z])\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9A-Za-z])|(?<![0-9A-Za-z.-])[0-9]{3}(?:-[0-9]{3}-|\.[0-9]{3}\.)[0-9]{4}(?![0-9A-Za-z.-])"
-ANY = "|".join((EMAIL, IBAN, IPV4, DATE, SSN, CARD, PHONE))
+AFTER_IBAN = "|".join((IPV4, DATE, SSN, CARD, PHONE))
+ANY = "|".join((EMAIL, IBAN, AFTER_IBAN))
+#: characters of an account number in each country
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH CR HR LI LV", 22: "BG BH DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+NATIONAL = "^(?:" + "|".join(f"(?:{codes.replace(' ', '|')})(?: ?[A-Z0-9]){{{n - 2}}}" for n, codes in IBAN_LENGTHS.items()) + ")$"
 # what a match of ANY looks like, and the span of days that dates are permuted in
 KINDS = {
     "email": r"^[^@]+@[^@]+$", "iban": r"^[A-Z]{2}[0-9]{2}[A-Z0-9 ]+$", "ip": r"^[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}$",
@@ -105,13 +112,45 @@ def _card(s: Column, key: str) -> Column:
     return F.when(luhn_sum(plain, False) % 10 == 0, refilled(s, F.concat(body, check.cast("string")))).otherwise(s)
 
 
+def _valid_iban(s: Column) -> Column:
+    plain = F.regexp_replace(s, " ", "")
+    return F.length(plain).between(15, 34) & (_mod97(F.concat(F.substring(plain, F.lit(5), F.length(plain)), F.substring(plain, 1, 4))) == 1)
+
+
+def _accounts(text: Column) -> Column:
+    """For each place where an account number may begin, the valid one; null if there is none.
+
+    The form takes in words that follow, so all cuts at a space are tried: first the country's length, then the longest.
+    """
+
+    def one(c: Column) -> Column:
+        words = F.split(c, " ")
+        cuts = F.filter(F.transform(F.sequence(F.size(words), F.lit(1), F.lit(-1)), lambda k: F.array_join(F.slice(words, 1, k), " ")), _valid_iban)
+        return F.coalesce(F.get(F.filter(cuts, lambda x: x.rlike(NATIONAL)), F.lit(0)), F.get(cuts, F.lit(0)))
+
+    places = F.regexp_extract_all(text, F.lit(f"(?<![A-Za-z0-9])(?=({IBAN}))"), F.lit(1))
+    return F.when(text.rlike(IBAN), F.transform(places, one)).otherwise(F.array().cast("array<string>"))
+
+
+def _forms(accounts: Column) -> Column:
+    """The pattern for one text: ANY with its valid account numbers, the longest first, in place of their form,
+    so what only looks like one doesn't hide the other forms in it."""
+    valid = F.array_sort(F.array_distinct(F.filter(accounts, lambda x: x.isNotNull())), lambda a, b: F.length(b) - F.length(a))
+    known = F.concat(F.lit(f"{EMAIL}|(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:"), F.array_join(valid, "|"), F.lit(f")(?![A-Za-z0-9])|{AFTER_IBAN}"))
+    return F.when(F.size(valid) > 0, known).otherwise(F.lit(f"{EMAIL}|{AFTER_IBAN}"))
+
+
+def _bound(value: Column, then) -> Column:
+    """``then(value)`` with the value made once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def _iban(s: Column, key: str) -> Column:
     plain = F.regexp_replace(s, " ", "")
     country, account = F.substring(plain, 1, 2), F.substring(plain, F.lit(5), F.length(plain))
     body = permuted(account, key, "iban")
     check = 98 - _mod97(F.concat(body, country, F.lit("00")))
-    valid = (_mod97(F.concat(account, F.substring(plain, 1, 4))) == 1) & F.length(plain).between(15, 34)
-    return F.when(valid, refilled(s, F.concat(country, F.lpad(check.cast("string"), 2, "0"), body))).otherwise(s)
+    return F.when(_valid_iban(s), refilled(s, F.concat(country, F.lpad(check.cast("string"), 2, "0"), body))).otherwise(s)
 
 
 def _ip(s: Column, key: str) -> Column:
@@ -162,9 +201,11 @@ def pseudonym(match: Column, key: str) -> Column:
 
 
 def replaced(text: Column, key: str = KEY) -> Column:
-    new = F.transform(found(text, ANY), lambda m: pseudonym(m, key))
-    whole = F.array_join(F.zip_with(gaps(text, ANY), new, lambda g, m: F.concat(g, F.coalesce(m, F.lit("")))), "")
-    return F.when(_any(text), whole).otherwise(text)
+    def whole(forms: Column) -> Column:
+        new = F.transform(found(text, forms), lambda m: pseudonym(m, key))
+        return F.array_join(F.zip_with(gaps(text, forms), new, lambda g, m: F.concat(g, F.coalesce(m, F.lit("")))), "")
+
+    return F.when(_any(text), _bound(_bound(_accounts(text), _forms), whole)).otherwise(text)
 
 
 def _any(text: Column) -> Column:
@@ -188,7 +229,8 @@ def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
 def report(docs: DataFrame, key: str = KEY) -> DataFrame:
     """doc_id, the text with pseudonyms, and n_found (values looked at, valid or not)."""
     text = F.col("text")
+    looked_at = _bound(_accounts(text), lambda a: F.size(found(text, _forms(a))) + F.size(F.filter(a, lambda x: x.isNull())))
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), replaced(text, key).alias("text"),
-        F.when(_any(text), F.size(found(text, ANY))).otherwise(0).cast("long").alias("n_found"),
+        F.when(_any(text), looked_at).otherwise(0).cast("long").alias("n_found"),
     )
