@@ -3,9 +3,10 @@
 A page is read once into a tree of open elements.  Every text block passes points for its length
 and commas to its ancestors, whole to the parent and less further up, discounted by the share of
 link text.  The container with the most points wins; siblings of enough points, or that are plain
-paragraphs of prose, are kept beside it.  Menus, headers, footers, sidebars, notices, adverts,
-forms, reader comments, scripts and styles are cut while reading, by element or by the words in
-class, id and role.
+paragraphs of prose, are kept beside it.  Menus, headers, footers, sidebars, adverts, forms, reader
+comments, scripts and styles are cut while reading, by element or by the words in class, id and
+role.  Elements whose names only hint at that ("widget", "hidden", "sidebar-right") are judged when
+the page has been read, by their links and their share of its text; articles never go by such names.
 """
 
 from __future__ import annotations
@@ -34,12 +35,21 @@ IMPLIED = {
     "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "tbody": ({"tbody", "thead", "tr", "td", "th"}, {"table"}),
     "tfoot": ({"tbody", "thead", "tr", "td", "th"}, {"table"}), "option": ({"option"}, {"select"}),
 }
+#: words of elements that may be long and hold prose but are never the main text
 CUT_WORDS = {
-    "ad", "ads", "advert", "advertisement", "advertising", "adsense", "banner", "sponsor", "sponsored", "promo", "promotion", "sidebar", "aside", "nav", "navbar", "navigation",
-    "menu", "breadcrumb", "breadcrumbs", "footer", "foot", "masthead", "comment", "comments", "commentlist", "disqus", "respond", "reply", "replies", "cookie", "cookies",
-    "consent", "gdpr", "notice", "popup", "modal", "overlay", "newsletter", "subscribe", "signup", "login", "share", "sharing", "social", "related", "recommended",
-    "widget", "pagination", "pager", "toolbar", "skip", "hidden", "alert", "disclaimer", "copyright", "topbar", "search", "outbrain", "taboola",
+    "ad", "ads", "advert", "advertisement", "advertising", "adsense", "sidebar", "aside", "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "footer", "foot", "masthead",
+    "comment", "comments", "commentlist", "disqus", "respond", "reply", "replies", "pagination", "pager", "outbrain", "taboola",
 }
+#: words that as often name a part of the layout as something beside the main text
+SOFT_WORDS = {
+    "banner", "sponsor", "sponsored", "promo", "promotion", "cookie", "cookies", "consent", "gdpr", "notice", "popup", "modal", "overlay", "newsletter", "subscribe", "signup", "login",
+    "share", "sharing", "social", "related", "recommended", "widget", "toolbar", "skip", "hidden", "alert", "disclaimer", "copyright", "topbar", "search",
+}
+#: a doubtful element goes if this share of it is links, or its words stand on less than this share of the page's text; else it loses points
+LINKED_SHARE, SMALL_SHARE, DOUBTFUL_POINTS = 0.4, 0.3, 0.75
+#: the same for a name made of a cut word and others ("sidebar-right"), unless it holds an article or heading
+LARGE_SHARE = 0.6
+IN_HEAD = {"base", "basefont", "bgsound", "head", "html", "link", "meta", "noscript", "script", "style", "template", "title"}
 CUT_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "menu", "menubar", "form", "toolbar"}
 #: a name with one of these tells what stands beside the element: "has-sidebar"
 BESIDE_WORDS = {"has", "with", "without", "no", "js"}
@@ -52,39 +62,48 @@ _WORD = re.compile(r"[a-z0-9]+")
 
 
 class Node:
-    __slots__ = ("name", "parent", "points", "chars", "linked", "cut", "order", "main")
+    __slots__ = ("name", "parent", "points", "chars", "linked", "cut", "order", "words", "hard", "doubt", "size", "links", "holds", "gone")
 
-    def __init__(self, name: str, parent: Node | None, cut: bool, order: int):
+    def __init__(self, name: str, parent: Node | None, cut: bool, order: int, words: tuple[set, bool] | None = None):
         self.name, self.parent, self.cut, self.order = name, parent, cut, order
-        self.points, self.chars, self.linked, self.main = 0.0, 0, 0, False
+        self.points, self.chars, self.linked = 0.0, 0, 0
+        # doubtful elements: their words (and are these of the cut ones), text and linked text, and the nearest one around
+        self.words, self.hard = words if words else (None, False)
+        self.doubt = self if words else parent and parent.doubt
+        self.size, self.links, self.holds, self.gone = 0, 0, False, False
 
 
-def is_cut(name: str, attributes: str, parent: Node) -> bool:
-    """Is an element one of those that never hold main text?"""
+def judged(name: str, attributes: str, parent: Node) -> tuple[bool, tuple[set, bool] | None]:
+    """Does an element never hold main text?  If that is in doubt: the words that say so, and if they are cut words."""
     if name in CUT:
-        return True
+        return True, None
     if name == "header":  # a page header, unless it opens the article itself
         up = parent
         while up is not None:
             if up.name in ("article", "main"):
-                return False
+                return False, None
             up = up.parent
-        return True
+        return True, None
     if not attributes.strip() or name in ("body", "html", "main"):
-        return False
+        return False, None
+    soft, hard = set(), set()
     for m in _ATTR.finditer(attributes):
         key = m.group(1).lower()
         value = (m.group(2) or m.group(3) or m.group(4) or "").lower()
         if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and "display:none" in value.replace(" ", "")):
-            return True
+            return True, None
         if key == "role" and value.strip() in CUT_ROLES:
-            return True
+            return True, None
         if key in ("class", "id"):
             for one in value.split():
                 words = _WORD.findall(one)
-                if words and (words[0] in CUT_WORDS or words[-1] in CUT_WORDS) and not BESIDE_WORDS.intersection(words):
-                    return True
-    return False
+                if not words or BESIDE_WORDS.intersection(words):
+                    continue
+                if len(words) == 1 and words[0] in CUT_WORDS:
+                    return True, None
+                soft |= {words[0], words[-1]} & SOFT_WORDS
+                hard |= {words[0], words[-1]} & CUT_WORDS
+    return False, (hard or soft, bool(hard)) if soft or hard else None
 
 
 class Page:
@@ -92,21 +111,22 @@ class Page:
 
     def __init__(self, source: str):
         self.root = self.at = Node("", None, False, 0)
-        self.n_nodes, self.blocks = 1, []  # (container, text, linked characters)
-        self.text, self.linked, self.links, self.dirty = [], 0, 0, False
+        self.n_nodes, self.blocks = 1, []  # (container, texts with their linked characters and doubtful element)
+        self.text, self.links, self.doubtful = [], 0, []
         self.where = self.root
         self.read(source)
         self.flush()
+        self.settle()
 
     def flush(self) -> None:
         """End the current block."""
         if self.text:
-            text = _SPACE.sub(" ", "".join(self.text)).strip()
-            if text:
-                self.blocks.append((self.where, text, self.linked))
-        self.text, self.linked = [], 0
+            self.blocks.append((self.where, self.text))
+        self.text = []
 
     def add(self, raw: str, decode: bool = True) -> None:
+        if self.at.name == "head" and not raw.isspace():
+            self.end_head()
         if self.at.cut or not raw:
             return
         text = entities.unescape(raw) if decode and "&" in raw else raw
@@ -115,19 +135,70 @@ class Page:
             while up.parent is not None and up.name not in BLOCK:
                 up = up.parent
             self.where = up
-        self.text.append(text)
-        if self.links:
-            self.linked += len(text.strip())
+        self.text.append((text, len(text.strip()) if self.links else 0, self.at.doubt))
+
+    def end_head(self) -> None:
+        while self.at.name == "head":
+            self.leave(self.at)
+
+    def settle(self) -> None:
+        """Decide on the doubtful elements, and join the texts of each block that stay: (container, text, linked characters)."""
+        if self.doubtful:
+            self.decide()
+        blocks, self.blocks = self.blocks, []
+        for where, parts in blocks:
+            kept = [x for x in parts if x[2] is None or not x[2].gone]
+            text = _SPACE.sub(" ", "".join(x[0] for x in kept)).strip()
+            if text:
+                self.blocks.append((where, text, sum(x[1] for x in kept)))
+
+    def decide(self) -> None:
+        total = 0
+        for _, parts in self.blocks:
+            for text, linked, doubt in parts:
+                n = len(text.strip())
+                total += n
+                if doubt is not None:
+                    doubt.size += n
+                    doubt.links += linked
+        held: dict[str, int] = {}  # text in elements of each word, outermost ones
+        for node in reversed(self.doubtful):
+            around = node.parent.doubt
+            if around is not None:
+                around.size += node.size
+                around.links += node.links
+                around.holds |= node.holds
+        for node in self.doubtful:
+            around, fresh = node.parent.doubt, set(node.words)
+            while around is not None and fresh:
+                fresh -= around.words
+                around = around.parent.doubt
+            for word in fresh:
+                held[word] = held.get(word, 0) + node.size
+
+        def go(node: Node, small: bool) -> bool:
+            if node.holds and (node.hard or node.size >= SMALL_SHARE * total):
+                return False
+            if node.links >= LINKED_SHARE * max(1, node.size):
+                return True
+            return small and min(held[w] for w in node.words) < (LARGE_SHARE if node.hard else SMALL_SHARE) * total
+
+        for small in (True, False):  # where nothing would stay, only links and cut words decide
+            for node in self.doubtful:
+                around = node.parent.doubt
+                node.gone = go(node, small or node.hard) or around is not None and around.gone
+            if any(text.strip() and (doubt is None or not doubt.gone) for _, parts in self.blocks for text, _, doubt in parts):
+                return
 
     def open(self, name: str, attributes: str) -> None:
+        if name not in IN_HEAD:
+            self.end_head()
         if name in VOID:
             if name == "hr":
                 self.flush()
             elif name == "br":
                 self.add(" ")
             return
-        if name == "body" and "head" in self.open_names():
-            self.close("head")
         if name in CLOSES_P:
             self.close_upto({"p"}, {"table", "td", "th", "button", "caption", "object"})
         if name in IMPLIED:
@@ -137,8 +208,15 @@ class Page:
         if name == "a":
             self.close_upto({"a"}, BLOCK)
             self.links += 1
-        self.at = Node(name, self.at, self.at.cut or is_cut(name, attributes, self.at), self.n_nodes)
+        cut, words = (True, None) if self.at.cut else judged(name, attributes, self.at)
+        if name in ("article", "main", "h1") and not cut:
+            if self.at.doubt is not None and not (words and words[1]):
+                self.at.doubt.holds = True
+            words = None
+        self.at = Node(name, self.at, cut, self.n_nodes, words)
         self.n_nodes += 1
+        if words:
+            self.doubtful.append(self.at)
 
     def close_upto(self, names: set[str], stop: set[str]) -> None:
         """End the outermost open element of ``names`` that isn't beyond one of ``stop``."""
@@ -241,6 +319,8 @@ def main_blocks(source: str) -> list[str]:
 
     def final(node: Node) -> float:
         bonus = 1.5 if node.name in ("article", "main") else 1.0
+        if node.words:
+            bonus *= DOUBTFUL_POINTS
         return node.points * bonus * (1 - min(1.0, node.linked / max(1, node.chars)))
 
     best = max(inner.values(), key=lambda v: (final(v), -v.order))
