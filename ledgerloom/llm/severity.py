@@ -95,13 +95,18 @@ def fit_ordinal(x: np.ndarray, y: np.ndarray, grades: int, l2: float = 1e-4, rou
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """(labelled_id, toxic, text) of at most ``rows`` labelled ids of each class, lowest hash first."""
+    """(labelled_id, toxic, text) of at most ``rows`` labelled ids of each class, lowest hash first.
+
+    One row an id: of several rows of a document the text with the lowest hash.
+    """
     per = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     per = per.select(F.col("doc_id").cast("long").alias("labelled_id"), (F.col("toxic") > 0).cast("int").alias("toxic"))
     order = [F.xxhash64("labelled_id"), "labelled_id"]
     ids = per.where("toxic = 1").orderBy(*order).limit(rows).unionByName(per.where("toxic = 0").orderBy(*order).limit(rows))
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return texts.join(ids, F.col("doc_id") == F.col("labelled_id")).select("labelled_id", "toxic", "text")
+    labelled = texts.join(ids, F.col("doc_id") == F.col("labelled_id"))
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one")
+    return labelled.groupBy("labelled_id", "toxic").agg(one).select("labelled_id", "toxic", F.col("one.text").alias("text"))
 
 
 def best_cut(scores: np.ndarray, toxic: np.ndarray) -> float:
@@ -133,7 +138,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Severity
 
     known = F.array(*map(F.lit, features.tolist())).cast("array<long>")
     sample = data.select("labelled_id", "toxic", held.alias("held"), F.array_intersect("features", known).alias("f")).collect()
-    sample.sort(key=lambda r: (r["labelled_id"], r["f"]))  # at most 2 * rows short rows, unless ids repeat in docs
+    sample.sort(key=lambda r: (r["labelled_id"], r["f"]))  # at most 2 * rows short rows
     x = np.zeros((len(sample), len(features)))
     for i, r in enumerate(sample):
         x[i, np.searchsorted(features, r["f"])] = 1
