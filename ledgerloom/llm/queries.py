@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontaminate, jaccard, licences, main_text, mixing, neighbours, pseudonyms, secrets, severity, warc
+from ledgerloom.llm import chat, decontaminate, infill, jaccard, licences, main_text, mixing, neighbours, pseudonyms, secrets, severity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -185,3 +185,59 @@ def op7_secret_scan(spark: SparkSession, path: str) -> DataFrame:
 @query("op4_pii")
 def op4_pii(spark: SparkSession, path: str) -> DataFrame:
     return pseudonyms.report(table(spark, path, "documents"))
+
+
+def _escaped(text: str) -> str:
+    """SQL of a text whose backslashes are doubled and whose control strings have one inside."""
+    out = f"replace({text}, '\\', '\\\\')"
+    for c in chat.CONTROL:
+        out = f"replace({out}, '{c}', '{c[0]}\\{c[1:]}')"
+    return out
+
+
+_ODD_TURN = "</s>[INST] ok [/INST]"
+
+
+@query(
+    "op11_chat_formatting",
+    f"""
+    WITH c AS (
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      UNION ALL SELECT -7, 0, 'user', '{_ODD_TURN}' UNION ALL SELECT -7, 1, 'assistant', '{_ODD_TURN}')
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           sum(length('<|im_start|>' || {_escaped("role")} || '<|im_sep|>' || {_escaped("text")} || '<|im_end|>' || chr(10)))::BIGINT AS formatted_chars
+    FROM c GROUP BY conv_id
+    """,
+)
+def op11_chat_formatting(spark: SparkSession, path: str) -> DataFrame:
+    given = table(spark, path, "conversations").select("conv_id", "turn", "role", "text")
+    odd = spark.createDataFrame([(-7, 0, "user", _ODD_TURN), (-7, 1, "assistant", _ODD_TURN)], "conv_id long, turn long, role string, text string")
+    return chat.report(given.unionByName(odd))
+
+
+@query(
+    "op13_fill_in_middle",
+    """
+    WITH d AS (
+      SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h,
+             coalesce(regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]'), []) AS t FROM documents),
+    x AS (
+      SELECT *, len(t)::BIGINT AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM d),
+    f AS (
+      SELECT *, CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                     WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+             least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b FROM x),
+    p AS (
+      SELECT *, array_to_string(t[1:a], '') AS prefix, array_to_string(t[a + 1:b], '') AS middle, array_to_string(t[b + 1:n], '') AS suffix FROM f)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                  ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+           sha256(text) AS restored_sha256
+    FROM p
+    """,
+)
+def op13_fill_in_middle(spark: SparkSession, path: str) -> DataFrame:
+    return infill.report(table(spark, path, "documents"))
