@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, decontaminate, infill, jaccard, licences, main_text, mixing, neighbours, pseudonyms, secrets, severity, warc
+from ledgerloom.llm import chat, decontaminate, infill, jaccard, lexical, licences, main_text, mixing, neighbours, pseudonyms, secrets, severity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -218,6 +218,30 @@ def op11_chat_formatting(spark: SparkSession, path: str) -> DataFrame:
     return chat.report(given.unionByName(odd))
 
 
+_TERMS = """regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"""
+
+
+@query(
+    "op12_lexical_search",
+    f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
+    totals AS (SELECT count(*)::BIGINT AS big_n, sum(len(w))::BIGINT AS big_l FROM d WHERE len(w) > 0),
+    sized AS (SELECT r, doc_id, 25 + (75 * len(w)::BIGINT * big_n) // big_l AS m FROM d, totals WHERE len(w) > 0),
+    tf AS (SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY ALL),
+    weights AS (SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, totals GROUP BY term, big_n),
+    items AS (SELECT row_number() OVER () AS i, item_id, {_TERMS} AS w FROM benchmark),
+    asked AS (SELECT i, item_id, term, count(*)::BIGINT AS times FROM (SELECT i, item_id, unnest(w) AS term FROM items) GROUP BY ALL),
+    scored AS (
+      SELECT i, item_id, r, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+      FROM asked JOIN weights USING (term) JOIN tf USING (term) JOIN sized USING (r) GROUP BY ALL)
+    SELECT item_id, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+    FROM scored WHERE score > 0 QUALIFY rank <= 10
+    """,
+)
+def op12_lexical_search(spark: SparkSession, path: str) -> DataFrame:
+    return lexical.rank(table(spark, path, "documents"), table(spark, path, "benchmark"))
+
+
 @query(
     "op13_fill_in_middle",
     """
