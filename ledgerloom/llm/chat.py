@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.store import dropped, written
+from ledgerloom.llm.store import scratch, written
 from ledgerloom.operators.windows import sequence_in_group
 
 # fixed values: control strings of common chat templates
@@ -71,18 +71,16 @@ def _same(left: str, right: str) -> Column:
     return F.col(left).eqNullSafe(F.col(right))
 
 
-def reply_links(messages: DataFrame) -> tuple[DataFrame, list[DataFrame], list[str]]:
+def reply_links(messages: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     """Totals of each message's path (tree, node, depth, score, chars; from the root to it), and the links 1, 2, 4 …
-    replies up (tree, node, up), each a table of the shared folder; and the folders.
+    replies up (tree, node, up), each a table of the shared folder.
 
     ``messages`` has tree, node, parent, score and chars.  A parent that isn't there counts as none.
     Messages whose parents run in a circle have no root and no totals.
     """
-    spark = messages.sparkSession
     known = messages.select(F.col("tree").alias("p_tree"), F.col("node").alias("p_node"))
     first = messages.join(known, _same("tree", "p_tree") & (F.col("parent") == F.col("p_node")), "left").select("tree", "node", F.col("p_node").alias("up"), F.lit(1).cast("long").alias("depth"), "score", "chars")
-    table, path = written(first, "chat-links")
-    links, folders, waiting = [table], [path], None
+    links, waiting = [written(first, "chat-links")[0]], None
     while True:
         left = links[-1].where(F.col("up").isNotNull()).count()
         if left == 0 or left == waiting:  # none, or those that never reach a root
@@ -92,11 +90,9 @@ def reply_links(messages: DataFrame) -> tuple[DataFrame, list[DataFrame], list[s
         there = here.select(F.col("tree").alias("o_tree"), F.col("node").alias("o_node"), F.col("up").alias("o_up"), F.col("depth").alias("o_depth"), F.col("score").alias("o_score"), F.col("chars").alias("o_chars"))
         further = here.where(F.col("up").isNotNull()).join(there, _same("tree", "o_tree") & (F.col("up") == F.col("o_node")))
         moved = further.select("tree", "node", F.col("o_up").alias("up"), *[(F.col(c) + F.col(f"o_{c}")).alias(c) for c in ("depth", "score", "chars")])
-        table, path = written(moved.unionByName(here.where(F.col("up").isNull())), "chat-links")
-        links.append(table)
-        folders.append(path)
+        links.append(written(moved.unionByName(here.where(F.col("up").isNull())), "chat-links")[0])
     totals = links[-1].where(F.col("up").isNull()).drop("up")
-    return totals, [x.select("tree", "node", "up").where(F.col("up").isNotNull()) for x in links[:-1]], folders
+    return totals, [x.select("tree", "node", "up").where(F.col("up").isNotNull()) for x in links[:-1]]
 
 
 def best_leaves(messages: DataFrame, totals: DataFrame, best: int | None) -> DataFrame:
@@ -144,10 +140,16 @@ def format_trees(messages: DataFrame, template: ChatTemplate | None = None, best
     loss = F.col("role").isin(*template.loss_roles)
     turns = once.select("tree", "node", "parent", "score", head.alias("head"), body.alias("body"), loss.alias("loss"))
     turns = turns.withColumn("chars", (F.length("head") + F.length("body") + len(template.after)).cast("long"))
-    turns, turns_at = written(turns, "chat-turns")
-    totals, links, folders = reply_links(turns.select("tree", "node", "parent", "score", "chars"))
-    chosen = members(best_leaves(turns, totals, best), links)
+    with scratch(messages.sparkSession) as keep:
+        turns, _ = written(turns, "chat-turns")
+        out, path = written(_assembled(turns, template, best), "chat-formatted")
+        keep(path)
+    return out
+
 
+def _assembled(turns: DataFrame, template: ChatTemplate, best: int | None) -> DataFrame:
+    totals, links = reply_links(turns.select("tree", "node", "parent", "score", "chars"))
+    chosen = members(best_leaves(turns, totals, best), links)
     ends = totals.select(F.col("tree").alias("e_tree"), F.col("node").alias("e_node"), "depth", F.col("chars").alias("until"))
     said = turns.join(ends, _same("tree", "e_tree") & (F.col("node") == F.col("e_node"))).select(F.col("tree").alias("t_tree"), F.col("node").alias("t_node"), "depth", "until", "head", "body", "loss")
     rows = chosen.join(said, _same("tree", "t_tree") & (F.col("node") == F.col("t_node")))
@@ -157,10 +159,7 @@ def format_trees(messages: DataFrame, template: ChatTemplate | None = None, best
     blocks = rows.groupBy("tree", "leaf", "branch", F.floor((F.col("depth") - 1) / BLOCK).alias("block")).agg(F.array_sort(F.collect_list("turn")).alias("turns"))
     blocks = blocks.select("tree", "leaf", "branch", F.struct("block", F.array_join("turns.piece", "").alias("text"), F.col("turns.span").alias("spans")).alias("part"))
     whole = blocks.groupBy("tree", "leaf", "branch").agg(F.array_sort(F.collect_list("part")).alias("parts"))
-    out, _ = written(whole.select("tree", "leaf", "branch", F.array_join("parts.text", "").alias("text"), F.flatten("parts.spans").alias("spans")), "chat-formatted")
-    for path in [turns_at, *folders]:
-        dropped(messages.sparkSession, path)
-    return out
+    return whole.select("tree", "leaf", "branch", F.array_join("parts.text", "").alias("text"), F.flatten("parts.spans").alias("spans"))
 
 
 def as_replies(conversations: DataFrame) -> DataFrame:

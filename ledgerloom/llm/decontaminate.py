@@ -21,12 +21,12 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import words as W
 from ledgerloom.llm.fmindex import FMIndex
-from ledgerloom.llm.store import numbered, written
+from ledgerloom.llm.store import ROW, fresh_id, numbered, scratch, written
 
 WINDOW = 13
 SHARD_BYTES = 8 << 20
 BLOCK_WORDS = 200_000
-_FOUND = "row long, doc_id long, n_words long, spans array<struct<start:long,end:long>>, items array<string>"
+_FOUND = f"row {ROW}, doc_id long, n_words long, spans array<struct<start:long,end:long>>, items array<string>"
 
 
 def item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,7 +154,7 @@ def phrase_blocks(benchmark: DataFrame, window: int, block_words: int) -> list:
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS, shard_bytes: int = SHARD_BYTES, row: Column | None = None) -> DataFrame:
-    """One row for each row of ``docs`` (doc_id, text): row (its id, ``row`` or a monotonic one), doc_id, n_words, spans (hit
+    """One row for each row of ``docs`` (doc_id, text): row (its id, ``row`` or one made here), doc_id, n_words, spans (hit
     words, merged, end exclusive) and items (ids as strings, sorted).
 
     Null and empty texts have no words and no hits; null or wordless items have no windows; an
@@ -162,7 +162,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     give no hits or no rows; other columns don't matter.  Words are compared by 64-bit hashes.
     """
     blocks = phrase_blocks(benchmark, window, block_words)
-    row = F.monotonically_increasing_id() if row is None else row
+    row = fresh_id() if row is None else row
     docs = docs.select(row.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     if len(blocks) > 1:
         docs, _ = written(docs, "decontaminate-docs")
@@ -196,7 +196,9 @@ def report(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """The rows of ``docs`` that aren't contaminated; all columns as they were."""
-    rows = numbered(docs, "decontaminate-rows")
-    bad = find_contamination(rows, benchmark, row=F.col("__row"), **how).where(contaminated(_hit(), F.col("n_words"))).select(F.col("row").alias("__gone"))
-    bad, _ = written(bad, "decontaminate-gone")
-    return rows.join(bad, F.col("__row") == F.col("__gone"), "left_anti").select(*docs.columns)
+    rows, row = numbered(docs, "decontaminate-rows")
+    with scratch(docs.sparkSession) as keep:
+        bad = find_contamination(rows, benchmark, row=F.col(row), **how).where(contaminated(_hit(), F.col("n_words"))).select("row")
+        bad, path = written(bad, "decontaminate-gone")
+        keep(path)
+    return rows.join(bad, rows[row] == bad["row"], "left_anti").select(*docs.columns)

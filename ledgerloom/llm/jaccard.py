@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import words as W
 from ledgerloom.llm.components import smallest_reachable
-from ledgerloom.llm.store import numbered, written
+from ledgerloom.llm.store import ROW, fresh_id, numbered, scratch, written
 
 SHINGLE = 5
 #: links need 100 * intersection >= PERCENT * union
@@ -189,9 +189,9 @@ def document_sets(docs: DataFrame, k: int = SHINGLE, row: Column | None = None)
                 [batch.column("row"), batch.column("doc_id"), pa.array(sizes), pa.array(a.view(np.int64), mask=sizes == 0), pa.array(b.view(np.int64), mask=sizes == 0)], ["row", "doc_id", "n_shingles", "node", "check"]
             )
 
-    row = F.monotonically_increasing_id() if row is None else row
+    row = fresh_id() if row is None else row
     rows = docs.select(row.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(task, "row long, doc_id long, n_shingles long, node long, check long")
+    return rows.mapInArrow(task, f"row {ROW}, doc_id long, n_shingles long, node long, check long")
 
 
 def crowded_segments(docs: DataFrame, sizes: DataFrame, k: int = SHINGLE, percent: int = PERCENT, partitions: int | None = None) -> DataFrame:
@@ -324,16 +324,19 @@ def _token_segments(sets: DataFrame, members: DataFrame, percent: int) -> DataFr
 
 
 def row_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, row: Column | None = None) -> DataFrame:
-    """One row for each row of ``docs``: row (its id, ``row`` or a monotonic one), doc_id, n_shingles, component_id (smallest id
+    """One row for each row of ``docs``: row (its id, ``row`` or one made here), doc_id, n_shingles, component_id (smallest id
     of the component) and first_row (the row with that id; the first of several).  Rows with an empty
     set stand alone."""
-    rows, _ = written(document_sets(docs, k, row), "jaccard-documents")
-    labels, _ = node_components(docs, rows, k, percent)
-    # a set without links keeps its second hash as well, so no two sets are taken for one
-    per_set = rows.where("n_shingles > 0").groupBy("node", "check").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"))
-    per_set = per_set.join(labels.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
-    alone = F.when(F.col("component").isNull(), F.col("check")).alias("alone")
-    per_set, _ = written(per_set.select("node", "check", "first", F.coalesce("component", "node").alias("component"), alone), "jaccard-merged")
+    with scratch(docs.sparkSession) as keep:
+        rows, rows_at = written(document_sets(docs, k, row), "jaccard-documents")
+        labels, _ = node_components(docs, rows, k, percent)
+        # a set without links keeps its second hash as well, so no two sets are taken for one
+        per_set = rows.where("n_shingles > 0").groupBy("node", "check").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"))
+        per_set = per_set.join(labels.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
+        alone = F.when(F.col("component").isNull(), F.col("check")).alias("alone")
+        per_set, sets_at = written(per_set.select("node", "check", "first", F.coalesce("component", "node").alias("component"), alone), "jaccard-merged")
+        keep(rows_at)
+        keep(sets_at)
     firsts = per_set.groupBy(F.col("component").alias("c"), F.col("alone").alias("a")).agg(F.min("first").alias("least"))
     firsts = per_set.join(firsts, (F.col("component") == F.col("c")) & F.col("alone").eqNullSafe(F.col("a")))
     firsts = firsts.select(F.col("node").alias("of"), F.col("check").alias("of_check"), "least")
@@ -356,7 +359,9 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
 
 def keep_one_of_each(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` without those of a component but its first; all columns as they were."""
-    rows = numbered(docs, "jaccard-rows")
-    gone = row_components(rows, k, percent, F.col("__row")).where("row <> first_row").select(F.col("row").alias("__gone"))
-    gone, _ = written(gone, "jaccard-gone")
-    return rows.join(gone, F.col("__row") == F.col("__gone"), "left_anti").select(*docs.columns)
+    rows, row = numbered(docs, "jaccard-rows")
+    with scratch(docs.sparkSession) as keep:
+        gone = row_components(rows, k, percent, F.col(row)).where("row <> first_row").select("row")
+        gone, path = written(gone, "jaccard-gone")
+        keep(path)
+    return rows.join(gone, rows[row] == gone["row"], "left_anti").select(*docs.columns)

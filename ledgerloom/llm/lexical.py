@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import words as W
 from ledgerloom.llm.balltree import Balls, arrange, depth_of, row_sums, spread_runs
-from ledgerloom.llm.store import dropped, written
+from ledgerloom.llm.store import dropped, scratch, written
 
 SHARD_DOCS = 8192
 SHARD_ENTRIES = 1 << 20
@@ -32,6 +32,7 @@ BLOCK_TERMS = 32_768
 LEAN = 0.5
 
 _ARRAYS = {"terms": np.uint64, "held": np.int64, "ids": np.int64, "known": np.bool_, "sizes": np.int64, "starts": np.int64, "cols": np.int32, "counts": np.int32}
+_FOUND = "key string, doc_id long, score long"
 _INDEX = "documents long, words long, " + ", ".join(f"{name} binary" for name in _ARRAYS)
 
 
@@ -229,27 +230,26 @@ def search(index: DataFrame, items: DataFrame, k: int = 10, block_terms: int = B
     """
     spark = index.sparkSession
     totals = index.agg(F.sum("documents").alias("documents"), F.sum("words").alias("words")).first()
-    asked, asked_at = written(items.select("item_id", F.col("text").cast("string").alias("text")).mapInArrow(_queries, f"item_id {items.schema['item_id'].dataType.simpleString()}, key string, terms array<long>, counts array<long>"), "lexical-items")
-    distinct, distinct_at = written(asked.dropDuplicates(["key"]).drop("item_id"), "lexical-queries")
-    n_terms = distinct.agg(F.sum(F.size("terms"))).first()[0] or 0
-    blocks = max(1, math.ceil(n_terms / block_terms))
-    found, folders = None, [distinct_at]
-    for b in range(blocks):  # copies are one query, so a block is about block_terms, or one long item
-        queries = distinct.where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == b).collect()
-        if not queries or not totals["documents"]:
-            continue
-        block = spark.sparkContext.broadcast(_block(queries, index, totals["documents"], totals["words"]))
-        part, path = written(index.mapInArrow(lambda batches, block=block: _search(batches, block.value, k), "key string, doc_id long, score long"), "lexical-found")
-        block.destroy()
-        folders.append(path)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        found = spark.createDataFrame([], "key string, doc_id long, score long")
-    order = Window.partitionBy("key").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
-    best = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    out, _ = written(asked.select("item_id", "key").join(best, "key").select("item_id", "rank", "doc_id", "score"), "lexical-ranked")
-    for path in [asked_at, *folders]:
-        dropped(spark, path)
+    kind = items.schema["item_id"].dataType.simpleString()
+    with scratch(spark) as keep:
+        asked = items.select("item_id", F.col("text").cast("string").alias("text"))
+        asked, _ = written(asked.mapInArrow(_queries, f"item_id {kind}, key string, terms array<long>, counts array<long>"), "lexical-items")
+        distinct, _ = written(asked.dropDuplicates(["key"]).drop("item_id"), "lexical-queries")
+        n_terms = distinct.agg(F.sum(F.size("terms"))).first()[0] or 0
+        blocks = max(1, math.ceil(n_terms / block_terms))
+        found = spark.createDataFrame([], _FOUND)
+        for b in range(blocks):  # copies are one query, so a block is about block_terms, or one long item
+            queries = distinct.where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == b).collect()
+            if not queries or not totals["documents"]:
+                continue
+            block = spark.sparkContext.broadcast(_block(queries, index, totals["documents"], totals["words"]))
+            part, _ = written(index.mapInArrow(lambda batches, block=block: _search(batches, block.value, k), _FOUND), "lexical-found")
+            block.destroy()
+            found = found.unionByName(part)
+        order = Window.partitionBy("key").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
+        best = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        out, path = written(asked.select("item_id", "key").join(best, "key").select("item_id", "rank", "doc_id", "score"), "lexical-ranked")
+        keep(path)
     return out
 
 

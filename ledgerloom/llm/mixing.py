@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.store import numbered, written
+from ledgerloom.llm.store import fresh_id, numbered, scratch, written
 
 #: Weights dealt to the sources in code point order.
 WEIGHTS = (3, 1, 2)
@@ -80,7 +80,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     gives no rows.
     """
     body = F.md5(F.coalesce(F.col("text"), F.lit("")))
-    row = F.monotonically_increasing_id() if row is None else row
+    row = fresh_id() if row is None else row
     sized, _ = written(docs.select(row.alias("row"), "doc_id", "source", token_count(F.col("text")).alias("size"), body.alias("body")), "mix-sizes")
     targets, _ = written(source_targets(sized, weights, share, passes), "mix-targets")
     parts = max(1, (targets.agg(F.sum("n_docs")).first()[0] or 0) * passes // ROWS_A_PART)
@@ -110,10 +110,13 @@ def mix_report(docs: DataFrame, **how) -> DataFrame:
 
 
 def take_mix(docs: DataFrame, **how) -> DataFrame:
-    """The rows of ``docs`` that the mix takes, with size, source_size, target and taken."""
-    rows = numbered(docs, "mix-rows")
+    """The rows of ``docs`` that the mix takes, with size, source_size, target and taken, which replace columns of these names."""
+    rows, row = numbered(docs, "mix-rows")
     taken = F.sum(F.when(F.col("taken"), F.col("size")).otherwise(0)).alias("taken")
-    per = mix(rows, row=F.col("__row"), **how).groupBy("row", "size", "source_size", "target").agg(taken).where("taken > 0")
     new = ["size", "source_size", "target", "taken"]
-    per, _ = written(per.withColumnRenamed("row", "__of"), "mix-taken")
-    return rows.drop(*new).join(per, F.col("__row") == F.col("__of")).drop("__row", "__of")
+    with scratch(docs.sparkSession) as keep:
+        per = mix(rows, row=F.col(row), **how).groupBy("row", "size", "source_size", "target").agg(taken).where("taken > 0")
+        per, path = written(per.withColumnRenamed("row", row), "mix-taken")
+        keep(path)
+    kept = [c for c in docs.columns if c not in new]
+    return rows.select(row, *kept).join(per, row).select(*kept, *new)

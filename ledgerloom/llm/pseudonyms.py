@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.matching import found, gaps
+from ledgerloom.llm.store import free_name
 
 KEY = "ledgerloom"
 ROUNDS = 8
@@ -219,11 +220,12 @@ def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
     Null and empty texts stay; values that fail their check stay; repeated rows change alike; other
     columns pass through; an empty table gives no rows.
     """
-    new = docs.withColumn("__text", replaced(F.col("text"), key))
+    name = free_name(docs, "__text")
+    new = docs.withColumn(name, replaced(F.col("text"), key))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        new = new.withColumn("n_chars", F.when(F.col("__text") != F.col("text"), F.length("__text").cast(kind)).otherwise(F.col("n_chars")))
-    return new.withColumn("text", F.col("__text")).drop("__text").select(*docs.columns)
+        new = new.withColumn("n_chars", F.when(F.col(name) != F.col("text"), F.length(name).cast(kind)).otherwise(F.col("n_chars")))
+    return new.withColumn("text", F.col(name)).select(*docs.columns)
 
 
 def report(docs: DataFrame, key: str = KEY) -> DataFrame:

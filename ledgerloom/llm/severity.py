@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.llm import words as W
-from ledgerloom.llm.store import written
+from ledgerloom.llm.store import scratch, written
 
 PREFIXES = (4, 6)
 OFTEN = 3
@@ -122,6 +122,11 @@ def best_cut(scores: np.ndarray, toxic: np.ndarray) -> float:
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> SeverityModel:
     """Without labelled rows of both classes, or features that tell them apart, everything is grade 0."""
     nothing = SeverityModel(np.empty(0, np.int64), np.empty(0), np.array([20.0, 30.0]), np.inf)
+    with scratch(docs.sparkSession):
+        return _fitted(docs, labels, rows, nothing)
+
+
+def _fitted(docs: DataFrame, labels: DataFrame, rows: int, nothing: SeverityModel) -> SeverityModel:
     data, _ = written(labelled_sample(docs, labels, rows).mapInArrow(_features_task, "labelled_id long, toxic int, features array<long>"), "toxicity-sample")
     held = F.pmod(F.xxhash64(F.col("labelled_id") + 1), F.lit(4)) == 0
     sizes = {(r["held"], r["toxic"]): r["n"] for r in data.groupBy(held.alias("held"), "toxic").agg(F.count(F.lit(1)).alias("n")).collect()}

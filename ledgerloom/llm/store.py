@@ -1,24 +1,28 @@
 """Intermediate tables in the folder all executors share.
 
 A written table cuts the lineage and outlives any executor.  The folder is the one named in
-``spark.checkpoint.dir``; only where that is unset (tests, one machine) a temporary one is made.
+``spark.checkpoint.dir``, or set on the session; without one nothing is written.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.session import ensure_checkpoint_dir
+
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
 
 def shared_folder(spark: SparkSession) -> str:
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not named:
-        named = tempfile.mkdtemp(prefix="ledgerloom-llm-")
-        spark.sparkContext.setCheckpointDir(named)
-    return named.rstrip("/")
+    """Fails where the cluster names no folder: a machine-local one would lose tables with its machine."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)).rstrip("/")
 
 
 def new_path(spark: SparkSession, what: str) -> str:
@@ -29,14 +33,73 @@ def written(df: DataFrame, what: str) -> tuple[DataFrame, str]:
     """The rows of ``df`` as a table of the shared folder, and its path."""
     spark = df.sparkSession
     path = new_path(spark, what)
+    made = _MADE.get()
+    if made is not None:
+        made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
-def numbered(df: DataFrame, what: str) -> DataFrame:
-    """The rows of ``df`` as a table of the shared folder with an id each, ``__row``.  Ids that are made while
-    reading follow the file splits, which may differ from one job to the next; written ones don't."""
-    return written(df.withColumn("__row", F.monotonically_increasing_id()), what)[0]
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[str], None]]:
+    """Tables written inside are deleted at the end, but for those kept by calling what this yields with their paths.
+
+    Kept ones belong to the scratch around this one, if there is one.
+    """
+    outer, made, kept = _MADE.get(), [], []
+    token = _MADE.set(made)
+    try:
+        yield kept.append
+    except BaseException:
+        kept.clear()
+        raise
+    finally:
+        _MADE.reset(token)
+        for path in made:
+            if path not in kept:
+                dropped(spark, path)
+        if outer is not None:
+            outer.extend(p for p in made if p in kept)
+
+
+#: type of a row's id
+ROW = "struct<file:long,place:long>"
+
+
+def fresh_id() -> Column:
+    """An id of each row that holds within one job."""
+    return F.struct(F.lit(0).cast("long").alias("file"), F.monotonically_increasing_id().alias("place"))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores more as make it no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def _one_file_scan(df: DataFrame) -> bool:
+    """Is ``df`` a read of files with nothing but column choices and filters on top?"""
+    node = df._jdf.queryExecution().analyzed()
+    while node.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        node = node.children().head()
+    return node.children().isEmpty() and "_metadata" not in df.columns
+
+
+def numbered(df: DataFrame, what: str) -> tuple[DataFrame, str]:
+    """The rows of ``df`` with an id each that is the same in every job, and the id's column.
+
+    Rows read straight from files are known by file and place in it.  Other rows are written to
+    the shared folder with an id: ids made while reading follow the splits of that job.
+    """
+    name = free_name(df, "__row")
+    if _one_file_scan(df):
+        try:
+            return df.withColumn(name, F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"))), name
+        except AnalysisException:  # files whose reader doesn't count rows
+            pass
+    return written(df.withColumn(name, fresh_id()), what)[0], name
 
 
 def dropped(spark: SparkSession, path: str) -> None:
