@@ -1,19 +1,21 @@
 """Hierarchical navigable small-world graphs in flat numpy arrays.
 
 Nearness is the largest inner product.  For building, a vector gets one more component that
-brings all to the same length, so that "nearest" is symmetric; queries get 0 there.  Nodes are
-inserted, and queries answered, in batches that walk the graph in step.
+brings all to the same length, so that "nearest" is symmetric; queries get 0 there.  A node's
+links are spread over its nearest members of the layer; queries are answered in batches that walk
+the graph in step.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-LINKS = 16
-BUILD_BEAM = 64
-SEARCH_BEAM = 200
+LINKS = 32
+BUILD_BEAM = 96
+SEARCH_BEAM = 256
 BATCH = 512
-STRIDE = 4
+STRIDE = 16
+ENTRIES = 32
 
 
 def levels_of(ids: np.ndarray, links: int = LINKS) -> np.ndarray:
@@ -30,48 +32,43 @@ def walk(vectors: np.ndarray, graph: np.ndarray, queries: np.ndarray, entry: np.
     ``entry`` has one or more starting nodes a query; each step opens the ``STRIDE`` best closed
     nodes of every beam at once.
     """
-    b, n, links = len(queries), len(vectors), graph.shape[1]
-    row = np.arange(b)[:, None]
-    seen = np.zeros((b, n + 1), bool)
-    seen[:, n] = True  # node -1
-    width = beam + STRIDE * links
-    nodes, score = np.full((b, width), -1, np.int64), np.full((b, width), -np.inf, np.float32)
-    start = np.where(seen[row, entry], -1, entry)
-    seen[row, start] = True
-    nodes[:, : start.shape[1]] = start
-    score[:, : start.shape[1]] = np.where(start >= 0, np.einsum("bed,bd->be", vectors[start], queries), -np.inf)
-    opened = np.zeros((b, width), bool)
-    stride = min(STRIDE, beam)
-    live = np.arange(b)
-    while len(live):
-        closed = np.where(opened[live, :beam] | (nodes[live, :beam] < 0), -np.inf, score[live, :beam])
-        pick = np.argpartition(-closed, stride - 1, axis=1)[:, :stride] if beam > stride else np.arange(beam)[None, :].repeat(len(live), 0)
-        good = np.take_along_axis(closed, pick, 1) > -np.inf
-        going = good.any(axis=1)
-        live, pick, good = live[going], pick[going], good[going]
-        if not len(live):
-            break
-        at = live[:, None]
-        opened[at, pick] |= good
-        near = np.where(good[:, :, None], graph[nodes[at, pick]], -1).reshape(len(live), -1)
-        near = np.where(seen[at, near], -1, near)
-        seen[at, near] = True
-        if stride > 1:  # a node reached twice in one step counts once
-            order = np.argsort(near, axis=1)
-            ranked = np.take_along_axis(near, order, 1)
-            twice = np.zeros_like(ranked, bool)
-            twice[:, 1:] = ranked[:, 1:] == ranked[:, :-1]
-            near = np.where(twice, -1, ranked)
-        fresh = np.where(near >= 0, np.einsum("bed,bd->be", vectors[near], queries[live]), -np.inf)
-        all_nodes = np.concatenate([nodes[live, :beam], near], axis=1)
-        all_score = np.concatenate([score[live, :beam], fresh], axis=1)
-        all_open = np.concatenate([opened[live, :beam], np.zeros_like(near, bool)], axis=1)
-        best = np.argpartition(-all_score, beam - 1, axis=1)[:, :beam]
-        nodes[live, :beam] = np.take_along_axis(all_nodes, best, 1)
-        score[live, :beam] = np.take_along_axis(all_score, best, 1)
-        opened[live, :beam] = np.take_along_axis(all_open, best, 1)
-    order = np.argsort(-score[:, :beam], axis=1, kind="stable")
-    return np.take_along_axis(nodes[:, :beam], order, 1), np.take_along_axis(score[:, :beam], order, 1)
+    b, n = len(queries), len(vectors)
+    reached = np.zeros((b, n + 1), np.int32)  # when a query reached a node; node -1 counts as reached
+    reached[:, n] = -1
+    nodes, score, opened = np.full((b, beam), -1, np.int64), np.full((b, beam), -np.inf, np.float32), np.zeros((b, beam), bool)
+    stride, clock = min(STRIDE, beam), 0
+    row, near = np.repeat(np.arange(b), entry.shape[1]), entry.ravel()
+    while True:
+        fresh = reached[row, near] == 0
+        row, near = row[fresh], near[fresh]
+        turn = np.arange(clock + 1, clock + 1 + len(near), dtype=np.int32)
+        clock += len(near)
+        reached[row, near] = turn
+        once = reached[row, near] == turn  # a node reached twice in one step counts once
+        row, near = row[once], near[once]
+        found = np.einsum("ed,ed->e", vectors[near], queries[row])
+        better = found > score[:, -1][row] if clock > len(turn) else np.ones(len(near), bool)
+        row, near, found = row[better], near[better], found[better]
+        if len(row):
+            some, first, counts = np.unique(row, return_index=True, return_counts=True)
+            width = int(counts.max())
+            line, place = np.repeat(np.arange(len(some)), counts), np.arange(len(row)) - np.repeat(first, counts)
+            more = lambda kept, new: np.concatenate([kept[some], new], axis=1)
+            new_nodes, new_score = np.full((len(some), width), -1, np.int64), np.full((len(some), width), -np.inf, np.float32)
+            new_nodes[line, place], new_score[line, place] = near, found
+            all_score = more(score, new_score)
+            best = np.argsort(-all_score, axis=1, kind="stable")[:, :beam]
+            score[some] = np.take_along_axis(all_score, best, 1)
+            nodes[some] = np.take_along_axis(more(nodes, new_nodes), best, 1)
+            opened[some] = np.take_along_axis(more(opened, np.zeros((len(some), width), bool)), best, 1)
+        closed = ~opened & (nodes >= 0)
+        order = np.cumsum(closed, axis=1)
+        row, place = np.nonzero(closed & (order <= stride))
+        if not len(row):
+            return nodes, score
+        opened[row, place] = True
+        links = graph[nodes[row, place]]
+        row, near = np.repeat(row, links.shape[1]), links.ravel()
 
 
 def spread(vectors: np.ndarray, cands: np.ndarray, score: np.ndarray, links: int) -> np.ndarray:
@@ -93,77 +90,107 @@ def spread(vectors: np.ndarray, cands: np.ndarray, score: np.ndarray, links: int
     return np.pad(out, ((0, 0), (0, links - out.shape[1])), constant_values=-1)
 
 
-def add_back(vectors: np.ndarray, graph: np.ndarray, nodes: np.ndarray, chosen: np.ndarray) -> None:
-    """Link each chosen node back to the new one; a full node keeps its nearest."""
-    links = graph.shape[1]
-    to, new = chosen.ravel(), np.repeat(nodes, chosen.shape[1])
-    ok = to >= 0
-    to, new = to[ok], new[ok]
+def nearest_members(vectors: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``beam`` nearest others of each row, nearest first, and their inner products."""
+    n = len(vectors)
+    beam = min(beam, n - 1)
+    cands, score = np.empty((n, beam), np.int64), np.empty((n, beam), np.float32)
+    for a in range(0, n, BATCH):
+        near = vectors[a : a + BATCH] @ vectors.T
+        near[np.arange(len(near)), np.arange(a, a + len(near))] = -np.inf
+        best = np.argpartition(near, n - beam, axis=1)[:, n - beam :] if beam else np.empty((len(near), 0), np.int64)
+        near = np.take_along_axis(near, best, 1)
+        order = np.argsort(-near, axis=1, kind="stable")
+        cands[a : a + BATCH], score[a : a + BATCH] = np.take_along_axis(best, order, 1), np.take_along_axis(near, order, 1)
+    return cands, score
+
+
+def unreached(graph: np.ndarray, reached: np.ndarray) -> np.ndarray:
+    """Nodes from which, and from those ``reached`` (a mask), every node is reached."""
+    rows, at = np.nonzero(graph >= 0)
+    to = graph[rows, at]
+    known, ahead = reached.copy(), reached
+    while ahead.any():
+        found = np.zeros(len(graph), bool)
+        found[to[ahead[rows]]] = True
+        ahead = found & ~known
+        known |= ahead
+    inside = ~known[rows] & ~known[to]
+    rows, to, least = rows[inside], to[inside], np.arange(len(graph))
+    while True:
+        before = least.copy()
+        np.minimum.at(least, to, least[rows])
+        if (least == before).all():
+            return ~known & (least == np.arange(len(graph)))
+
+
+def with_links_back(vectors: np.ndarray, graph: np.ndarray) -> np.ndarray:
+    """Each link both ways; a node that gets too many is linked by ``spread`` anew, from its own links and
+    the nearest of those that link to it."""
+    n, links = graph.shape
+    new, to = np.repeat(np.arange(n), links), graph.ravel()
+    new, to = new[to >= 0], to[to >= 0]
+    back = ~np.isin(to * n + new, new * n + to, assume_unique=True)  # not linked already
+    new, to = new[back], to[back]
     near = np.einsum("ed,ed->e", vectors[to], vectors[new])
     order = np.lexsort((-near, to))
-    to, new = to[order], new[order]
-    targets, first, counts = np.unique(to, return_index=True, return_counts=True)
-    place = np.arange(len(to)) - np.repeat(first, counts)
-    width = min(int(counts.max(initial=0)), links)
-    extra = np.full((len(targets), width), -1, np.int64)
-    some = place < width
-    extra[np.repeat(np.arange(len(targets)), counts)[some], place[some]] = new[some]
-    cands = np.concatenate([graph[targets], extra], axis=1)
-    over = (cands >= 0).sum(axis=1) > links
-    easy = np.argsort(cands[~over] < 0, axis=1, kind="stable")[:, :links]
-    graph[targets[~over]] = np.take_along_axis(cands[~over], easy, 1)
-    if over.any():
-        c = cands[over]
-        score = np.where(c >= 0, np.einsum("bed,bd->be", vectors[c], vectors[targets[over]]), -np.inf)
-        order = np.argsort(-score, axis=1)
-        c, score = np.take_along_axis(c, order, 1), np.take_along_axis(score, order, 1)
-        graph[targets[over]] = spread(vectors, c, score, links)
+    new, to = new[order], to[order]
+    place = np.arange(len(to)) - np.searchsorted(to, to)
+    extra = np.full((n, links), -1, np.int64)
+    some = place < links
+    extra[to[some], place[some]] = new[some]
+    out = np.empty_like(graph)
+    for a in range(0, n, BATCH):
+        c = np.concatenate([graph[a : a + BATCH], extra[a : a + BATCH]], axis=1)
+        near = np.where(c >= 0, np.einsum("bed,bd->be", vectors[c], vectors[a : a + BATCH]), -np.inf)
+        order = np.argsort(-near, axis=1, kind="stable")
+        c, near = np.take_along_axis(c, order, 1), np.take_along_axis(near, order, 1)
+        over = (c >= 0).sum(axis=1) > links
+        out[a : a + BATCH] = c[:, :links]
+        if over.any():
+            out[a : a + BATCH][over] = spread(vectors, c[over], near[over], links)
+    return out
 
 
 def build(vectors: np.ndarray, ids: np.ndarray, links: int = LINKS, beam: int = BUILD_BEAM) -> list[tuple[np.ndarray, np.ndarray]]:
     """Layers from top to bottom: (members, neighbours), both flat arrays of node numbers.
 
-    A layer starts with the members of the one above it, which are the entries to it.
+    A layer starts with the members of the one above it, which are the entries to it.  A node's links
+    are chosen among its nearest members of the layer, which a shard's bounded size lets be found
+    exactly.  Members of the layer above are drawn by hash; a group of nodes that no link from
+    outside leads to sends one more.
     """
     v = vectors.astype(np.float32)
     length = np.einsum("nd,nd->n", v, v)
     v = np.concatenate([v, np.sqrt(np.maximum(length.max(initial=0) - length, 0))[:, None]], axis=1)
     level = levels_of(ids, links)
-    layers: list[tuple[np.ndarray, np.ndarray]] = []
-    for layer in range(int(level.max(initial=0)), -1, -1):
-        above = layers[-1][0] if layers else np.empty(0, np.int64)
-        members = np.concatenate([above, np.flatnonzero(level == layer)])
-        most = links * 2 if layer == 0 else links
+    layers, members = [], np.arange(len(v))
+    while True:
+        most = links if layers else links * 2
         local = v[members]
-        graph = np.full((len(members), most), -1, np.int64)
-        for a in range(0, len(members), BATCH):
-            batch = np.arange(a, min(a + BATCH, len(members)))
-            mates = local[batch] @ local[batch].T
-            np.fill_diagonal(mates, -np.inf)
-            if a <= 4 * BATCH or not layers:
-                cands, score = np.broadcast_to(np.arange(a), (len(batch), a)), local[batch] @ local[:a].T
-            else:
-                entry = descend(v, layers, local[batch])
-                cands, score = walk(local, graph, local[batch], entry, beam)
-            cands, score = np.concatenate([cands, np.broadcast_to(batch, mates.shape)], axis=1), np.concatenate([score, mates], axis=1)
-            keep = min(beam, cands.shape[1])
-            best = np.argpartition(-score, keep - 1, axis=1)[:, :keep]
-            score = np.take_along_axis(score, best, 1)
-            order = np.argsort(-score, axis=1)
-            cands, score = np.take_along_axis(np.take_along_axis(cands, best, 1), order, 1), np.take_along_axis(score, order, 1)
-            cands = np.where(score > -np.inf, cands, -1)
-            graph[batch] = spread(local, cands, score, most)
-            add_back(local, graph, batch, graph[batch][:, :links])
-        layers.append((members, graph))
-    return layers
+        cands, score = nearest_members(local, beam)
+        graph = np.concatenate([spread(local, cands[a : a + BATCH], score[a : a + BATCH], most) for a in range(0, len(members), BATCH)])
+        layers.append((members, with_links_back(local, graph)))
+        above = level[members] >= len(layers)
+        above |= unreached(layers[-1][1], above)
+        if len(members) <= ENTRIES or above.all():
+            break
+        members = members[above]
+    out, order = [], np.empty(0, np.int64)
+    for members, graph in reversed(layers):
+        order = np.concatenate([order, members[~np.isin(members, order)]])
+        row, place = np.empty(len(v), np.int64), np.empty(len(v), np.int64)
+        row[members], place[order] = np.arange(len(members)), np.arange(len(order))
+        graph = graph[row[order]]
+        out.append((order, np.where(graph >= 0, place[members[graph]], -1)))
+    return out
 
 
 def descend(v: np.ndarray, layers: list[tuple[np.ndarray, np.ndarray]], queries: np.ndarray) -> np.ndarray:
-    """Entries to the layer below ``layers``: each layer's members are the first of the next one."""
-    entry = np.zeros((len(queries), 1), np.int64)
-    for members, graph in layers:
-        entry, _ = walk(v[members], graph, queries, entry, min(8, max(1, len(members))))
-        entry = entry[:, :4]
+    """Entries to the lowest of ``layers``: each layer's members are the first of the next one."""
+    entry = np.tile(np.arange(min(ENTRIES, len(layers[0][0]))), (len(queries), 1))
+    for members, graph in layers[:-1]:
+        entry, _ = walk(v[members], graph, queries, entry, min(ENTRIES, len(members)))
     return np.where(entry < 0, entry[:, :1], entry)
 
 
@@ -175,7 +202,7 @@ def search(vectors: np.ndarray, layers: list[tuple[np.ndarray, np.ndarray]], que
     local = v[members]
     for a in range(0, len(queries), BATCH):
         q = queries[a : a + BATCH].astype(np.float32)
-        entry = descend(v, layers[:-1], q)
+        entry = descend(v, layers, q)
         found, _ = walk(local, graph, q, entry, beam)
         out[a : a + BATCH] = np.where(found >= 0, members[found], -1)
     return out

@@ -1,10 +1,10 @@
 """Approximate nearest neighbours: one navigable small-world graph a shard, shard results merged.
 
-Vectors are dealt to shards of about ``SHARD_ROWS`` by a hash of their id.  A shard's index is one
+Vectors are dealt to shards of about ``SHARD_BYTES`` by a hash of their id.  A shard's index is one
 row (ids and vectors, neighbour arrays and members of each layer) in the shared folder.  Queries
-go to every shard in blocks of about ``BLOCK_ROWS``; a task reads an index once and streams its
-queries past it.  Equal vectors are one node of a graph, so thousands of copies don't fill a
-neighbourhood; their ids come back at the end.
+are broadcast in blocks of about ``BLOCK_BYTES``; for each block the tasks read the index where it
+lies, and send on the best of their shards only.  Equal vectors are one node of a graph, so
+thousands of copies don't fill a neighbourhood; their ids come back at the end.
 """
 
 from __future__ import annotations
@@ -19,11 +19,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import hnsw
-from ledgerloom.llm.store import written
+from ledgerloom.llm.store import scratch, written
 
-SHARD_ROWS = 16384
-BLOCK_ROWS = 50_000
-_ROWS = "shard long, block long, kind int, id long, vector array<double>, index binary"
+SHARD_BYTES = 8 << 20
+SHARD_ROWS = 32_768  # short vectors: links are found by comparing all of a shard
+BLOCK_BYTES = 16 << 20
+_FOUND = "query_id long, vec_id long, score double"
 
 
 def usable(embedding: Column) -> Column:
@@ -75,47 +76,67 @@ def search_shard(index: dict, ids: np.ndarray, queries: np.ndarray, k: int, beam
     return pa.RecordBatch.from_arrays([pa.array(ids[q[top]]), pa.array(near[top]), pa.array(score[top])], ["query_id", "vec_id", "score"])
 
 
-def _search(batches: Iterator[pa.RecordBatch], k: int, beam: int) -> Iterator[pa.RecordBatch]:
-    """Rows come by (shard, block), the index row of each first."""
-    index, at = None, None
+def _search(batches: Iterator[pa.RecordBatch], ids: np.ndarray, queries: np.ndarray, k: int, beam: int) -> Iterator[pa.RecordBatch]:
+    """The best ``k`` of each query in all shards of the task."""
+    best = None
     for batch in batches:
-        kinds, shards, blocks = (np.asarray(batch.column(c)) for c in ("kind", "shard", "block"))
-        edges = np.flatnonzero(np.concatenate([[True], (shards[1:] != shards[:-1]) | (blocks[1:] != blocks[:-1]) | (kinds[1:] != kinds[:-1])]))
-        for a, b in zip(edges, np.append(edges[1:], len(kinds))):
-            if kinds[a] == 0:
-                index, at = pickle.loads(batch.column("index")[int(a)].as_py()), (shards[a], blocks[a])
-            elif at == (shards[a], blocks[a]):
-                part = batch.slice(a, b - a)
-                yield search_shard(index, np.asarray(part.column("id")), _matrix(part.column("vector")), k, beam)
+        for blob in batch.column("index"):
+            found = search_shard(pickle.loads(blob.as_buffer()), ids, queries, k, beam)
+            best = found if best is None else _merged(best, found, k)
+    if best is not None:
+        yield best
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, beam: int = hnsw.SEARCH_BEAM, shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def _merged(one: pa.RecordBatch, other: pa.RecordBatch, k: int) -> pa.RecordBatch:
+    """The best ``k`` of each query among both."""
+    both = pa.Table.from_batches([one, other]).sort_by([("query_id", "ascending"), ("score", "descending"), ("vec_id", "ascending")])
+    query = np.asarray(both.column("query_id"))
+    top = np.arange(len(query)) - np.searchsorted(query, query) < k
+    return both.filter(pa.array(top)).combine_chunks().to_batches()[0] if len(query) else one
+
+
+def _one_each(rows: DataFrame) -> DataFrame:
+    """One row an id, with its least vector."""
+    return rows.groupBy("id").agg(F.min("vector").alias("vector"))
+
+
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, beam: int = hnsw.SEARCH_BEAM, shard_bytes: int = SHARD_BYTES, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The ``k`` nearest of ``vectors`` found for each row of ``queries`` (both vec_id, embedding), by the
     largest inner product, ties to the smaller id: query_id, rank, vec_id, score.
 
     Rows without id, and vectors that are null, empty, zero or hold null or non-finite components,
-    take no part; an id that repeats counts once, with its least vector; a query is never its own
-    neighbour; vectors are compared with queries of their own length; where there are fewer than
-    ``k`` others, all come.  Empty tables give no rows; other columns don't matter.
+    take no part; an id that repeats counts once, with its least vector, among vectors and queries
+    alike; a query is never its own neighbour; vectors are compared with queries of their own
+    length; where there are fewer than ``k`` others, all come.  Empty tables give no rows; other
+    columns don't matter.
     """
+    spark = vectors.sparkSession
     plain = lambda df: df.select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").cast("array<double>").alias("vector")).where(F.col("id").isNotNull() & usable(F.col("vector")))
-    rows, asked = plain(vectors), plain(queries)
-    sizes = {r["d"]: r["n"] for r in rows.groupBy(F.size("vector").alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    n_asked = asked.count()
-    blocks = max(1, math.ceil(n_asked / block_rows))
-    found = None
-    for dim, n in sorted(sizes.items()):  # one length, as a rule
-        shards = max(1, math.ceil(n / shard_rows))
-        of = rows.where(F.size("vector") == dim).withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("long"))
-        index, _ = written(of.groupBy("shard").applyInArrow(build_shard, "shard long, index binary"), "neighbours-index")
-        each = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
-        head = index.select("shard", each.alias("block"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("id"), F.lit(None).cast("array<double>").alias("vector"), "index")
-        every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))
-        tail = asked.where(F.size("vector") == dim).dropDuplicates(["id"]).select(every.alias("shard"), F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("long").alias("block"), F.lit(1).alias("kind"), "id", "vector", F.lit(None).cast("binary").alias("index"))
-        work = head.unionByName(tail).repartition(shards * blocks, "shard", "block").sortWithinPartitions("shard", "block", "kind")
-        part = work.mapInArrow(lambda batches: _search(batches, k, beam), "query_id long, vec_id long, score double")
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        found = vectors.sparkSession.createDataFrame([], "query_id long, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    with scratch(spark) as keep:
+        rows = plain(vectors)
+        asked, _ = written(_one_each(plain(queries)), "neighbours-queries")
+        size = F.size("vector").alias("d")
+        sizes = {r["d"]: r["n"] for r in rows.groupBy(size).agg(F.count(F.lit(1)).alias("n")).collect()}
+        n_asked = {r["d"]: r["n"] for r in asked.groupBy(size).agg(F.count(F.lit(1)).alias("n")).collect()}
+        parts = []
+        for dim, n in sorted(sizes.items()):  # one length, as a rule
+            shards = max(1, math.ceil(8 * dim * n / shard_bytes), math.ceil(n / SHARD_ROWS))
+            of = rows.where(F.size("vector") == dim).withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("long"))
+            index, _ = written(of.groupBy("shard").applyInArrow(build_shard, "shard long, index binary"), "neighbours-index")
+            blocks = math.ceil(8 * dim * n_asked.get(dim, 0) / block_bytes)
+            for b in range(blocks):
+                block = asked.where((F.size("vector") == dim) & (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)) == b)).toArrow()
+                if not len(block):
+                    continue
+                sent = spark.sparkContext.broadcast((np.asarray(block.column("id").combine_chunks()), _matrix(block.column("vector"))))
+                task = lambda batches, sent=sent: _search(batches, *sent.value, k, beam)
+                parts.append(written(index.select("index").mapInArrow(task, _FOUND), "neighbours-found")[0])
+                sent.destroy()
+        found = parts[0] if parts else spark.createDataFrame([], _FOUND)
+        for part in parts[1:]:
+            found = found.unionByName(part)
+        rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
+        best = found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        out, path = written(best, "neighbours-nearest")
+        keep(path)
+    return out

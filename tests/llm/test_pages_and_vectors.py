@@ -6,9 +6,10 @@ import gzip
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from ledgerloom.llm import main_text, neighbours, warc
+from ledgerloom.llm import hnsw, main_text, neighbours, warc
 from ledgerloom.llm.components import smallest_reachable
 
 # main text
@@ -93,7 +94,7 @@ def test_recall_and_order(spark):
     v[1000:1400] = v[1000]  # many copies
     rows = [(i, [float(x) for x in v[i]], "x") for i in range(3000)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, shard string")
-    got = neighbours.nearest(df, df.where("vec_id % 20 = 0"), shard_rows=800, block_rows=60).collect()
+    got = neighbours.nearest(df, df.where("vec_id % 20 = 0"), shard_bytes=800 * 24 * 8, block_bytes=60 * 24 * 8).collect()
     want, found = exact(np.arange(3000), v, range(0, 3000, 20), 20), {}
     for r in sorted(got, key=lambda r: (r["query_id"], r["rank"])):
         found.setdefault(r["query_id"], []).append(r["vec_id"])
@@ -112,6 +113,50 @@ def test_odd_vectors(spark):
     assert neighbours.nearest(df.limit(0), df.limit(0)).collect() == []
 
 
+def clustered(rng, n, dim):
+    centres = rng.normal(size=(100, dim)) * 2
+    return centres[rng.integers(0, 100, n)] + rng.normal(size=(n, dim)) * 0.5
+
+
+@pytest.mark.parametrize("kind, dim", [("normal", 64), ("normal", 16), ("normal", 100), ("clustered", 64)])
+def test_recall_of_whole_shards(kind, dim):
+    """Shards as large as the default settings make them, over 10,000 vectors each; best of their results."""
+    n = neighbours.SHARD_BYTES // (8 * dim)
+    assert n > 10_000
+    rng = np.random.default_rng(dim)
+    v = rng.normal(size=(n, dim)) if kind == "normal" else clustered(rng, n, dim)
+    layers = hnsw.build(v, np.arange(n))
+    asked = np.arange(0, n, n // 150)
+    found = hnsw.search(v, layers, v[asked])
+    score = v[asked] @ v.T
+    score[np.arange(len(asked)), asked] = -np.inf
+    best = np.argsort(-score, axis=1)[:, :20]
+    recall = [len(set(a) & set(b)) / 20 for a, b in zip(best.tolist(), found.tolist())]
+    assert np.mean(recall) >= 0.95 and np.min(recall) >= 0.6
+
+
+def test_recall_of_several_shards(spark):
+    """50,000 random vectors through Spark at default settings: four shards, found by graph only."""
+    rng = np.random.default_rng(9)
+    v = rng.normal(size=(50_000, 64))
+    table = pa.table({"vec_id": pa.array(range(len(v))), "embedding": pa.array(list(v))})
+    df = spark.createDataFrame(table)
+    got = neighbours.nearest(df, df.where("vec_id % 500 = 0")).toArrow()
+    query, near = np.asarray(got.column("query_id")), np.asarray(got.column("vec_id"))
+    score = v[::500] @ v.T
+    score[np.arange(100), np.arange(0, 50_000, 500)] = -np.inf
+    best = np.argsort(-score, axis=1)[:, :20]
+    recall = [len(set(best[i]) & set(near[query == 500 * i])) / 20 for i in range(100)]
+    assert np.mean(recall) >= 0.95
+
+
+def test_a_repeated_query_asks_with_its_least_vector(spark):
+    rows = [(20, [2.0, 0.0]), (20, [1.0, 5.0]), (20, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in neighbours.nearest(df, df.where("vec_id = 20")).collect())
+    assert got == [(20, 1, 2, 1.0), (20, 2, 1, 0.0)]
+
+
 # components
 
 
