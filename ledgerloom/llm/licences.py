@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.store import numbered
+
 GRAM = 3
 #: diagonals this near belong to one notice
 NEAR = 2
@@ -101,7 +103,8 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES) -> DataF
     else 0.  Null and empty texts have no words and no labels; repeated rows give the same; other
     columns don't matter; an empty table gives no rows.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), words_of(F.col("text")).alias("words"))
+    docs, row = numbered(docs.select("doc_id", "text"), "licences-rows")
+    rows = docs.select(F.col(row).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), words_of(F.col("text")).alias("words"))
     found = notices(rows.select("row", "words"), templates)
     found = found.groupBy("row").agg(F.collect_set("label").alias("more"), F.max("share").alias("share")).withColumnRenamed("row", "of")
     at = {p: phrase_places(F.col("words"), p) for p in PHRASES}
