@@ -1,13 +1,13 @@
 """Settlement pipelines: eligibility, ledger file, partner and wallet rows, listings, payouts.
 
 Amounts arrive in minor units (``*_cents``) and stay exact.  Every function takes its run time
-as an argument and returns DataFrames; ``commit`` writes them in order.
+as an argument and returns DataFrames; ``settlement_run`` commits them together.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +20,6 @@ from ledgerloom.operators import joins as J
 from ledgerloom.operators import rollup as R
 from ledgerloom.operators import windows as W
 from ledgerloom.sinks import files as S
-from ledgerloom.sinks import tables as T
 
 UNIFIED = ["tran_uid", "transaction_time", "file_name", "store_id", "kind", "qualifier", "amount_cents", "discount_cents", "issuer"]
 
@@ -205,11 +204,11 @@ def pre_settlement_file(rows: DataFrame, windows: DataFrame, run_date: dt.date)
     return S.file_lines(header, detail, tail)
 
 
-def _merchant_name(prefix: str, company: Column) -> Column:
+def merchant_name(prefix: str, company: Column) -> Column:
     return F.concat(F.lit(prefix), K.code_map(company, COMPANY_SUFFIX, F.lit("oth")), company)
 
 
-def _companies(sap_map: DataFrame, prefix: str, run_ts: dt.datetime) -> DataFrame:
+def company_files(sap_map: DataFrame, prefix: str, run_ts: dt.datetime) -> DataFrame:
     """J-19: company codes with their stable sequence and file name."""
     seq = S.entity_sequence(sap_map.where(X.norm_key(F.coalesce("active_flag", F.lit("N"))) != "N"), "company_code")
     return seq.withColumn("file_name", S.stamped_name(prefix, run_ts, F.col("entity_seq")))
@@ -229,7 +228,7 @@ def ledger_detail(std: DataFrame, store: DataFrame, windows: DataFrame, sap_map:
     keys = {"company_code": "company_code", "merchant_organisation_id": "org", "merchant_store_number": "store_no", "customer_number": "customer", "currency_code": "currency"}
     rows = J.lookup(rows, mapped, {"store_number": "store_id"}, {**keys, "commission_percent": "pct", "commission_fixed": "fix"}, "inner")
     rows = J.lookup(rows, mapped, {"store_number": "commission_store"}, {k: v + "_c" for k, v in keys.items()})
-    rows = J.lookup(rows, _companies(sap_map, prefix, run_ts), {"company_code": "company_code"}, ["file_name"], "inner")
+    rows = J.lookup(rows, company_files(sap_map, prefix, run_ts), {"company_code": "company_code"}, ["file_name"], "inner")
     amount = M.minor_to_major(F.coalesce("settlement_cents", F.lit(0)) + F.coalesce("discount_cents", F.lit(0)))
     fee = M.service_fee(M.commission_flag(F.col("commission_store"), F.col("transaction_type")), amount, F.col("pct"), F.col("fix"))
     order = F.when(X.non_blank(F.col("order_number")) & (F.col("division_type") == "INTERNAL"), F.col("order_number"))
@@ -253,7 +252,7 @@ def ledger_lines(detail: DataFrame) -> DataFrame:
 
 def ledger_file(lines: DataFrame, sap_map: DataFrame, run_ts: dt.datetime, prefix: str = "LEDGER") -> DataFrame:
     """B-09, D-16: header, detail and trailer of every company; the trailer counts details."""
-    companies = _companies(sap_map, prefix, run_ts).withColumn("merchant", _merchant_name("ledgersettlement", F.col("company_code")))
+    companies = company_files(sap_map, prefix, run_ts).withColumn("merchant", merchant_name("ledgersettlement", F.col("company_code")))
     detail = J.lookup(lines, companies, {"company_code": "company_code"}, ["merchant"], "inner")
     header = companies.select("file_name", "merchant", "company_code")
     tail = S.trailer(lines, ["file_name"], F.col("amount_cents"), "line_count", "amount_cents")
@@ -353,7 +352,7 @@ def partner_posting(std: DataFrame, store: DataFrame, sap_map: DataFrame, calend
     rows = J.lookup(open_rows(std, partner=True), store.where(~F.col("is_closed")), {"store_id": "store_id"}, ["site_name", "company"], "inner")
     mapped = sap_map.where(X.norm_key(F.coalesce("active_flag", F.lit(""))) != "N")
     rows = J.lookup(rows, mapped, {"store_number": "store_id"}, ["company_code", "merchant_organisation_id", "merchant_store_number", "customer_number", "currency_code"], "inner")
-    rows = J.lookup(rows, _companies(sap_map, "FEES", run_ts), {"company_code": "company_code"}, ["file_name"], "inner")
+    rows = J.lookup(rows, company_files(sap_map, "FEES", run_ts), {"company_code": "company_code"}, ["file_name"], "inner")
     day = F.col("transaction_timestamp").cast("date")
     keys = ["file_name", "company_code", "merchant_organisation_id", "merchant_store_number", "site_name", "customer_number", "store_id", "currency_code"]
     per = rows.groupBy(*keys, day.alias("calendar_date")).agg(
@@ -367,7 +366,7 @@ def partner_posting(std: DataFrame, store: DataFrame, sap_map: DataFrame, calend
 
 
 def partner_posting_file(detail: DataFrame, sap_map: DataFrame, run_ts: dt.datetime) -> DataFrame:
-    companies = _companies(sap_map, "FEES", run_ts).withColumn("merchant", _merchant_name("partnerfeeposting", F.col("company_code"))).select("file_name", "merchant", "company_code")
+    companies = company_files(sap_map, "FEES", run_ts).withColumn("merchant", merchant_name("partnerfeeposting", F.col("company_code"))).select("file_name", "merchant", "company_code")
     tail = S.trailer(detail, ["file_name"], F.col("fee_value"), "line_count", "fee_value")
     tail = companies.join(tail, "file_name", "left").withColumn("line_count", F.coalesce("line_count", F.lit(0))).withColumn("fee_value", F.coalesce("fee_value", F.lit(0)))
     return S.file_lines(companies, J.lookup(detail, companies, {"company_code": "company_code"}, ["merchant"], "inner"), tail)
@@ -404,20 +403,3 @@ def payout_instructions(lines: DataFrame, store: DataFrame, windows: DataFrame,
         D.at(run_ts).alias("batch_datetime"),
         (start if run_ts.weekday() >= 5 else F.lit(None).cast("timestamp_ntz")).alias("payment_initiated_at"),
     )
-
-
-def commit(outputs: Mapping[str, DataFrame], run_ts: dt.datetime) -> None:
-    """Write a run in order: file lines, history, audit and control, then the updated state.
-
-    Lines are replaced first and the state last, so a run that fails midway is repeated
-    without double posting.
-    """
-    for name in ("lines", "audit", "control"):
-        if name in outputs:
-            (T.replace_table if name == "lines" else T.append)(outputs[name], f"settlement_{name}")
-    if "lines" in outputs:
-        spark = outputs["lines"].sparkSession
-        T.history_append(spark.table("settlement_lines"), "settlement_lines_history", run_ts)
-    for name in ("windows", "settlement"):
-        if name in outputs:
-            T.replace_table(outputs[name], f"settlement_{name}_state")

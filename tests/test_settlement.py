@@ -58,19 +58,6 @@ def test_repeated_ids_are_rejected_in_every_copy(t):
     assert kept.count() == W.reject_all_copies(P.combined([one]), ["tran_uid"]).count() - 5
 
 
-def test_commit_writes_lines_history_control_and_state(spark, t, detail):
-    lines = P.ledger_file(P.ledger_lines(detail), t.sap_map, RUN_TS)
-    control = O.control_rows(lines.where(col("record_type") == "D").select(col("merchant").alias("m"), col("day").cast("timestamp_ntz").alias("ts")), lines.select(col("merchant").alias("m")), "m", "ts", "B1", RUN_TS)
-    P.commit({"lines": lines, "control": control}, RUN_TS)
-    P.commit({"lines": lines, "control": control}, RUN_TS + dt.timedelta(days=1))
-    n = lines.count()
-    assert spark.table("settlement_lines").count() == n
-    assert spark.table("settlement_lines_history").count() == 2 * n
-    assert spark.table("settlement_control").where(col("extract_wf_complete").isNull()).count() == 2 * control.count()
-    for name in ("settlement_lines", "settlement_lines_history", "settlement_control"):
-        spark.sql(f"DROP TABLE {name}")
-
-
 def test_a_value_longer_than_its_field_ends_the_job(rows):
     import pytest
     from pyspark.errors import PySparkException
