@@ -24,7 +24,7 @@ from ledgerloom.llm.fmindex import FMIndex
 from ledgerloom.llm.store import ROW, fresh_id, numbered, scratch, written
 
 WINDOW = 13
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 BLOCK_WORDS = 200_000
 _FOUND = f"row {ROW}, doc_id long, n_words long, spans array<struct<start:long,end:long>>, items array<string>"
 
