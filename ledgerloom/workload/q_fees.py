@@ -48,7 +48,7 @@ _ACC = "acc AS (SELECT store_id AS store_number, '062-' || right(store_id, 3) AS
     f"""WITH {_ACC}, p AS (SELECT left(terminal_id, 10) AS store_number, sum(amount_cents) AS cents FROM wallet_txn WHERE transaction_type = 'PURCHASE' AND CAST(txn_time AS DATE) = DATE '2001-07-14' GROUP BY 1), d AS (SELECT p.*, a.* EXCLUDE (store_number) FROM p JOIN acc a USING (store_number) WHERE cents > 0)
 SELECT 'DE.0107141' AS file_name, 0 AS line_rank, '' AS sort_key, '0' || repeat(' ', 17) || '01' || 'BNK' || repeat(' ', 7) || rpad('LEDGERLOOM', 26, ' ') || '140701' AS line FROM (SELECT count(*) FROM d)
 UNION ALL SELECT 'DE.0107141', 1, store_number, '1' || bsb || lpad(account, 9, ' ') || ' ' || '50' || lpad(CAST(CAST(cents AS BIGINT) AS VARCHAR), 10, '0') || rpad(title, 32, ' ') || rpad(store_number || '010714', 18, ' ') FROM d
-UNION ALL SELECT 'DE.0107141', 2, '', '7' || '999-999' || repeat(' ', 12) || lpad(CAST(CAST(sum(cents) AS BIGINT) AS VARCHAR), 10, '0') || lpad(CAST(CAST(sum(cents) AS BIGINT) AS VARCHAR), 10, '0') || repeat('0', 10) || repeat(' ', 24) || lpad(CAST(count(*) AS VARCHAR), 6, '0') FROM d""",
+UNION ALL SELECT 'DE.0107141', 2, '', '7' || '999-999' || repeat(' ', 12) || lpad(CAST(CAST(coalesce(sum(cents), 0) AS BIGINT) AS VARCHAR), 10, '0') || lpad(CAST(CAST(coalesce(sum(cents), 0) AS BIGINT) AS VARCHAR), 10, '0') || repeat('0', 10) || repeat(' ', 24) || lpad(CAST(count(*) AS VARCHAR), 6, '0') FROM d""",
 )
 def _direct_entry(t: Tables):
     accounts = t.store.select(
