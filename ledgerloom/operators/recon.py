@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.functions import dates as D
 from ledgerloom.operators import joins as J
 from ledgerloom.operators import windows as W
 from ledgerloom.sources.tables import local_table
@@ -114,6 +116,52 @@ def load_reconciliation(
     )
 
 
+def catalog_scan(spark: SparkSession, databases: Sequence[str]) -> DataFrame:
+    """A-16: columns of all tables of some databases, views left out: database, table_name, ordinal_position, column_name, data_type."""
+    found = []
+    for database in databases:
+        for table in sorted(spark.catalog.listTables(database), key=lambda t: t.name):
+            if table.isTemporary or table.tableType == "VIEW":
+                continue
+            for i, c in enumerate(spark.catalog.listColumns(f"`{database}`.`{table.name}`"), 1):
+                found.append((database, table.name, i, c.name, c.dataType))
+    return local_table(spark, "database string, table_name string, ordinal_position int, column_name string, data_type string", found)
+
+
+def catalog_reconciliation(spark: SparkSession, databases: Sequence[str], run_date: dt.date, days: int = 7, load_time: str = "load_time") -> DataFrame:
+    """I-10: files and rows of every table of the catalog on each of the last ``days`` days before the run.
+
+    One plan: tables with ``file_date`` are counted by date, file and load time, those that know only
+    ``load_dttm`` by its date, under a blank file name; each reads these columns of the last days and
+    aggregates before the union.  Every table meets every day; one without a file has no name and 0 rows.
+    Tables with neither column are left out, as views are.
+    """
+    columns: dict[tuple[str, str], set[str]] = {}
+    for r in catalog_scan(spark, databases).collect():
+        columns.setdefault((r["database"], r["table_name"]), set()).add(r["column_name"])
+    first, last = run_date - dt.timedelta(days=days), run_date - dt.timedelta(days=1)
+    parts, tables = None, []
+    for (database, table), have in sorted(columns.items()):
+        rows = spark.table(f"`{database}`.`{table}`")
+        if "file_date" in have:
+            on, name, loaded = F.col("file_date").cast("date"), F.col("file_name") if "file_name" in have else F.lit(" "), F.col(load_time) if load_time in have else F.lit(None)
+        elif "load_dttm" in have:
+            on, name, loaded = F.col("load_dttm").cast("date"), F.lit(" "), F.lit(None)
+            # the bound on the column itself reaches the scan
+            rows = rows.where((F.col("load_dttm") >= D.at(dt.datetime.combine(first, dt.time()))) & (F.col("load_dttm") < D.at(dt.datetime.combine(run_date, dt.time()))))
+        else:
+            continue
+        tables.append((database, table))
+        kept = rows.select(on.alias("file_date"), name.cast("string").alias("file_name"), loaded.cast("timestamp_ntz").alias("load_time")).where(F.col("file_date").between(F.lit(first), F.lit(last)))
+        counted = kept.groupBy("file_date", "file_name", "load_time").agg(F.count("*").alias("rows"))
+        part = counted.select(F.lit(database).alias("database"), F.lit(table).alias("table_name"), "file_date", "file_name", "load_time", "rows")
+        parts = part if parts is None else parts.unionByName(part)
+    every = local_table(spark, "database string, table_name string", tables).withColumn("file_date", F.explode(F.sequence(F.lit(first), F.lit(last))))
+    if parts is None:
+        return every.select("*", F.lit(None).cast("string").alias("file_name"), F.lit(None).cast("timestamp_ntz").alias("load_time"), F.lit(0).cast("long").alias("rows"))
+    return every.join(parts, ["database", "table_name", "file_date"], "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
+
+
 def alert_level(metric: Column, baseline: Column, low: Column, high: Column) -> Column:
     """I-24: how far a month lies above its baseline."""
     share = F.when(baseline != 0, metric.cast("double") / baseline.cast("double"))
