@@ -6,6 +6,7 @@ State lives in ``VersionedTables``: listing (the last run's), history (by day) a
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,21 +44,24 @@ def listing_names(config: DataFrame) -> DataFrame:
 
 
 def view_name(prefix: str, version: str) -> str:
-    return f"vw_{prefix}_fee_listing_{version}".lower()
+    return re.sub(r"\W", "_", f"vw_{prefix}_fee_listing_{version}".lower())
 
 
 def create_listing_views(listing: DataFrame, config: DataFrame, layouts: Mapping[str, Sequence[str]] | None = None, replace: bool = False) -> list[str]:
     """B-11: one view for each prefix and version found in ``config``, with the columns of its layout.
 
-    Views that exist stay as they are, unless ``replace``.  An unknown version fails.  The names of
-    the views made.
+    Views that exist stay as they are, unless ``replace``.  An unknown version fails, and so do
+    prefixes whose views would have one name.  The names of the views made.
     """
     layouts = LISTING_LAYOUTS if layouts is None else layouts
-    spark, made = listing.sparkSession, []
+    spark, made, seen = listing.sparkSession, [], set()
     for r in listing_names(config).orderBy("seq").collect():  # a view is metadata: one row of the config each
         if r["version"] not in layouts:
             raise ValueError(f"{r['name']}: no layout {r['version']}")
         name = view_name(r["prefix"], r["version"])
+        if name in seen:
+            raise ValueError(f"two prefixes give one view {name}")
+        seen.add(name)
         if replace or not spark.catalog.tableExists(name):
             T.create_view(listing.where(F.col("file_prefix") == r["prefix"]), name, layouts[r["version"]])
             made.append(name)
