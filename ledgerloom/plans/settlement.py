@@ -125,6 +125,50 @@ def switch_source(switch: DataFrame, tran_type: DataFrame, response: DataFrame,
     )
 
 
+def edp_source(edp: DataFrame, tran_type: DataFrame, response: DataFrame, type_code: DataFrame, width: int = 5) -> DataFrame:
+    """Rows of the wallet's own activity feed with a known response and a settling kind; the kind gives the sign."""
+    kept = edp.where((F.col("txn_disposition") == 1) & F.col("local_timestamp").isNotNull() & (F.coalesce("amount_txn", F.lit(0)) != 0))
+    known = response.select(F.col("action_code").try_cast("int").alias("code")).distinct()
+    kept = kept.withColumn("code", F.col("action_code").try_cast("int")).join(known, "code", "left_semi")
+    kinds = tran_type.select(F.col("dn_tran_code").try_cast("int").alias("c"), "abbr")
+    kept = J.lookup(kept, kinds, {"c": F.col("txn_type_indicator").try_cast("int")}, ["abbr"], "inner")
+    settling = type_code.where((F.col("settlement_amount_flag") != 0) & (F.col("spend_factor") != 0))
+    settling = settling.select(X.norm_key(F.col("tran_type_desc")).alias("k"), (F.col("settlement_amount_flag") * F.col("spend_factor")).alias("sign"))
+    kind = K.calc_tran_type(F.lit(""), F.col("abbr"), F.col("mti"))
+    kept = J.lookup(kept, settling, {"k": kind}, ["sign"], "inner")
+    return _unified(
+        kept,
+        tran_uid=K.tran_uid("ED", F.col("retrieval_ref_num"), F.col("pan"), D.compact_stamp(F.col("local_timestamp"))),
+        transaction_time=F.date_trunc("second", "local_timestamp").cast("timestamp_ntz"),
+        file_name=F.lit("edp"),
+        store_id=K.store_of_terminal(F.col("card_acceptor_terminal_id"), width),
+        kind=kind,
+        qualifier=F.lit("EDP"),
+        amount_cents=F.abs("amount_txn") * F.col("sign"),
+    )
+
+
+def partner_source(partner: DataFrame) -> DataFrame:
+    """Gift-card activations and cancellations that partners report."""
+    kept = partner.where(X.norm_key(F.col("transaction_type")).isin("ACTIVATION", "CANCELLATION") & X.non_blank(F.col("merchant")))
+    kept = kept.where((F.coalesce("amount_cents", F.lit(0)) != 0) | (F.coalesce("discount_cents", F.lit(0)) != 0))
+    return _unified(
+        kept,
+        tran_uid=K.partner_uid(F.col("invoice_number"), F.col("card_number"), F.col("transaction_type"), F.col("transaction_date")),
+        transaction_time=F.coalesce("transaction_date", F.lit("1900-01-01").cast("timestamp_ntz")),
+        file_name=F.lit("partner"),
+        store_id=X.norm_key(F.col("store_id")),
+        kind=X.norm_key(F.col("transaction_type")),
+        qualifier=F.lit("QP"),
+        discount_cents=F.coalesce("discount_cents", F.lit(0)),
+        amount_cents=F.coalesce("amount_cents", F.lit(0)),
+    )
+
+
+#: sources whose kinds carry the sign, so that no factor is needed
+OWN_SIGN = ("TC", "ED")
+
+
 def combined(sources: Sequence[DataFrame]) -> DataFrame:
     """All sources on one shape, rows with a store only."""
     out = sources[0]
@@ -158,7 +202,7 @@ def pre_settlement(
     source = F.left("tran_uid", F.lit(2))
     qualifier = F.when(source == "QC", F.col("division_type")).otherwise(F.col("qualifier"))
     rows = J.lookup(rows, factors.where(F.col("settlement_factor") != 0), {"transaction_type": "kind", "tran_qualifier": qualifier}, ["settlement_factor", "record_type"])
-    rows = rows.where((source == "TC") | F.col("settlement_factor").isNotNull())
+    rows = rows.where(source.isin(*OWN_SIGN) | F.col("settlement_factor").isNotNull())
     rows = rows.where(~X.list_has_text(F.col("exclude_issuers"), F.col("issuer")))
     rows = J.left_anti(rows, settled, ["tran_uid"])
     stores = by_store.where(F.col("is_active") == "Y")
@@ -169,7 +213,7 @@ def pre_settlement(
     at = F.col("transaction_time")
     rows = rows.where((at > floor) & (at >= first))
     rows = W.without_repeats(rows, ["tran_uid"], everything)
-    own_sign = source == "TC"
+    own_sign = source.isin(*OWN_SIGN)
     area = F.concat(
         F.upper(F.trim(F.coalesce("site_name", F.lit("")))),
         F.when(X.non_blank(F.col("site_name")) & X.non_blank(F.col("suburb")), ",").otherwise(""),

@@ -129,6 +129,28 @@ SELECT concat('MERCH', cast(l_suppkey % 11 as string)) AS merchant,
        cast(round(l_extendedprice * 100) as bigint) AS amount_cents,
        cast(round(l_extendedprice * l_discount * 100) as bigint) AS discount_cents
 FROM lineitem""",
+    # the wallet's own activity: one row per line item
+    "edp_txn": f"""
+SELECT concat('R', cast(l_orderkey as string), '-', cast(l_linenumber as string)) AS retrieval_ref_num,
+       concat('4', lpad(cast(l_partkey as string), 14, '5')) AS pan,
+       concat({_store('l_suppkey')}, lpad(cast(l_linenumber as string), 3, '0')) AS card_acceptor_terminal_id,
+       CASE WHEN l_partkey % 211 = 0 THEN NULL ELSE l_shipdate + {{{{secs:{_LINE_SECS}}}}} END AS local_timestamp,
+       CASE l_linenumber WHEN 2 THEN '09' WHEN 3 THEN '20' WHEN 4 THEN '01' WHEN 5 THEN '31' WHEN 6 THEN '77' ELSE '00' END AS txn_type_indicator,
+       CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN '1440' ELSE '1240' END AS mti,
+       CASE cast(l_quantity as bigint) % 11 WHEN 0 THEN '51' WHEN 1 THEN '999' ELSE '0' END AS action_code,
+       CASE WHEN l_returnflag = 'A' THEN 2 ELSE 1 END AS txn_disposition,
+       cast(round(l_extendedprice * l_tax * 100) as bigint) AS amount_txn
+FROM lineitem""",
+    # which sources are logged for which division
+    "log_flags": " UNION ALL ".join(
+        f"SELECT division, '{source}' AS data_source FROM settlement_window WHERE {where}"
+        for source, where in {"QC": "true", "DP": "true", "LK": "division_type <> 'ISO'", "ED": "true", "CY": "true", "TC": "true", "QP": "division_type = 'PARTNER'"}.items()
+    ),
+    # chargebacks of sales: the first line of the chargeback's order; some amounts differ by a cent
+    "sale_chargebacks": f"""
+SELECT c.id AS id, c.file_date AS file_date, {_store('l.l_suppkey')} AS store_id, cast(l.l_shipdate as date) AS txn_day,
+       cast(round(l.l_extendedprice * 100) as bigint) + CASE WHEN c.id % 7 = 0 THEN 1 ELSE 0 END AS amount_cents
+FROM chargebacks c JOIN lineitem l ON l.l_orderkey = c.id AND l.l_linenumber = 1""",
     "wallet_txn": f"""
 SELECT CASE o_custkey % 3 WHEN 0 THEN cast(o_orderkey as string)
             WHEN 1 THEN concat(cast(o_orderkey as string), '.1')

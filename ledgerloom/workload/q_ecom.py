@@ -30,9 +30,9 @@ def _report(t: Tables):
     return B.report(t.chargebacks, t.store)
 
 
-@query("m_chargeback_portal_copy", f"SELECT m.division, {_FINAL} AS final_status, count(*) AS n FROM chargebacks c JOIN store m ON m.store_id = c.store_id GROUP BY ALL")
+@query("m_chargeback_portal_copy", f"SELECT c.id, c.bank_ref_no, c.store_id, m.division, {_FINAL} AS final_status FROM chargebacks c JOIN store m ON m.store_id = c.store_id")
 def _portal(t: Tables):
-    return B.report(t.chargebacks, t.store).groupBy("division", "final_status").agg(F.count("*").alias("n"))
+    return B.report(t.chargebacks, t.store).select("id", "bank_ref_no", "store_id", "division", "final_status")
 
 
 @query(

@@ -62,7 +62,7 @@ def _direct_entry(t: Tables):
 
 @query(
     "m_reply_file_parse",
-    """SELECT kind, count(*) AS n, min(ref) AS first_ref FROM (SELECT 'detail' AS kind, 'REF' || CAST(o_orderkey AS VARCHAR) AS ref FROM orders WHERE o_orderkey % 3 = 2 AND o_custkey % 10 <> 0 UNION ALL SELECT 'header_1', CAST(o_custkey AS VARCHAR) FROM orders WHERE o_orderkey % 3 = 0 UNION ALL SELECT 'header_2', lpad(CAST(o_custkey AS VARCHAR), 6, '0') FROM orders WHERE o_orderkey % 3 = 1) GROUP BY 1""",
+    """SELECT 'detail' AS kind, 'REF' || CAST(o_orderkey AS VARCHAR) AS ref FROM orders WHERE o_orderkey % 3 = 2 AND o_custkey % 10 <> 0 UNION ALL SELECT 'header_1', CAST(o_custkey AS VARCHAR) FROM orders WHERE o_orderkey % 3 = 0 UNION ALL SELECT 'header_2', lpad(CAST(o_custkey AS VARCHAR), 6, '0') FROM orders WHERE o_orderkey % 3 = 1""",
 )
 def _reply(t: Tables):
     key = col("o_orderkey") % 3
@@ -77,7 +77,7 @@ def _reply(t: Tables):
     refs = {"header_1": "payment_reference", "header_2": "valid_items", "detail": "lodgement_reference"}
     out = None
     for kind, df in parts.items():
-        one = df.agg(F.count("*").alias("n"), F.min(refs[kind]).alias("first_ref")).select(F.lit(kind).alias("kind"), "n", "first_ref")
+        one = df.select(F.lit(kind).alias("kind"), col(refs[kind]).alias("ref"))
         out = one if out is None else out.unionByName(one)
     return out
 

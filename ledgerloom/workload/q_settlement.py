@@ -33,31 +33,38 @@ UNION ALL SELECT 'CY_' || CAST(a.tran_uid AS VARCHAR) || '_' || a.transaction_ty
  WHERE coalesce(a.transaction_approval_status, 0) = 0 AND a.transaction_amount <> 0
 UNION ALL SELECT 'TC_' || t.tran_uid, date_trunc('second', t.tstamp_trans), 'switch', left(t.net_term_id, 10), upper(y.abbr), 'TC', t.transaction_total * c.settlement_amount_flag * c.spend_factor, coalesce({_SCHEME}, 'NONE')
  FROM switch_txn t JOIN tran_type y ON CAST(y.dn_tran_code AS INT) = CAST(t.tran_type_id AS INT) JOIN response_code r ON r.action_code = t.act_code AND r.approval_flag = 'Y'
- JOIN type_code c ON c.tran_type_desc = {_KIND} AND c.settlement_amount_flag <> 0 AND c.spend_factor <> 0 WHERE t.transaction_total <> 0 OR t.surcharge_amount <> 0),
+ JOIN type_code c ON c.tran_type_desc = {_KIND} AND c.settlement_amount_flag <> 0 AND c.spend_factor <> 0 WHERE t.transaction_total <> 0 OR t.surcharge_amount <> 0
+UNION ALL SELECT 'ED_' || t.retrieval_ref_num || '_' || t.pan || '_' || strftime(t.local_timestamp, '%Y%m%dT%H%M%S'), date_trunc('second', t.local_timestamp), 'edp', left(t.card_acceptor_terminal_id, 10), c.tran_type_desc, 'EDP', abs(t.amount_txn) * c.settlement_amount_flag * c.spend_factor, 'NONE'
+ FROM edp_txn t JOIN tran_type y ON CAST(y.dn_tran_code AS INT) = CAST(t.txn_type_indicator AS INT) JOIN type_code c ON c.tran_type_desc = upper(y.abbr) || CASE WHEN t.mti = '1440' THEN ' REVERSAL' ELSE '' END AND c.settlement_amount_flag <> 0 AND c.spend_factor <> 0
+ WHERE CAST(t.action_code AS INT) IN (SELECT CAST(action_code AS INT) FROM response_code) AND t.txn_disposition = 1 AND t.local_timestamp IS NOT NULL AND t.amount_txn <> 0),
 live AS (SELECT * FROM src WHERE coalesce(store_id, '') <> ''), one AS (SELECT * FROM live WHERE uid NOT IN (SELECT uid FROM live GROUP BY uid HAVING count(*) > 1))"""
 _PRE = f"""{_SOURCES},
 pre AS (SELECT o.uid, upper(m.state) AS state, upper(coalesce(m.site_name, '')) || CASE WHEN coalesce(m.site_name, '') = '' OR coalesce(m.suburb, '') = '' THEN '' ELSE ',' END || upper(m.suburb) AS area, m.division, w.file_prefix, o.store_id, f.record_type, o.fn, o.ts,
- CASE WHEN upper(m.is_online) = 'ONLINE' THEN 'Y' ELSE 'N' END AS eft, CASE WHEN left(o.uid, 2) = 'TC' THEN o.a ELSE abs(o.a) * f.settlement_factor END AS a
+ CASE WHEN upper(m.is_online) = 'ONLINE' THEN 'Y' ELSE 'N' END AS eft, CASE WHEN left(o.uid, 2) IN ('TC', 'ED') THEN o.a ELSE abs(o.a) * f.settlement_factor END AS a
 FROM one o JOIN store m ON m.store_id = o.store_id AND NOT m.is_closed JOIN settlement_window w ON w.division = m.division AND w.is_active = 'Y'
 JOIN sap_map s ON s.store_number = o.store_id AND s.active_flag <> 'N' AND coalesce(s.company_code, '') <> ''
 LEFT JOIN factor f ON f.settlement_factor <> 0 AND f.transaction_type = o.kind AND f.tran_qualifier = CASE WHEN left(o.uid, 2) = 'QC' THEN w.division_type ELSE o.q END
 LEFT JOIN window_by_store b ON b.store_id = o.store_id LEFT JOIN settlement_std d ON d.tran_uid = o.uid
-WHERE (left(o.uid, 2) = 'TC' OR f.settlement_factor IS NOT NULL) AND strpos(coalesce(s.exclude_issuers, ''), o.issuer) = 0 AND d.tran_uid IS NULL AND (w.settle_by_store <> 'Y' OR b.store_id IS NOT NULL)
+WHERE (left(o.uid, 2) IN ('TC', 'ED') OR f.settlement_factor IS NOT NULL) AND strpos(coalesce(s.exclude_issuers, ''), o.issuer) = 0 AND d.tran_uid IS NULL AND (w.settle_by_store <> 'Y' OR b.store_id IS NOT NULL)
 AND o.ts > CASE WHEN b.store_id IS NULL OR w.settle_by_store = 'N' THEN CASE WHEN w.last_execution_time IS NULL THEN TIMESTAMP '1900-01-01' ELSE CAST(CAST(w.last_execution_time AS DATE) + w.days_lookback AS TIMESTAMP) END
  ELSE CAST(CAST(b.last_execution_time AS DATE) + b.days_lookback AS TIMESTAMP) END
 AND o.ts >= CASE WHEN b.store_id IS NULL OR w.settle_by_store = 'N' THEN CAST(w.earliest_date AS TIMESTAMP) ELSE CAST(b.earliest_date AS TIMESTAMP) END AND o.ts < TIMESTAMP '2001-07-15')"""
 
 
-def _pre(t: Tables):
+def _sources(t: Tables):
     w = STORE_WIDTH
-    sources = [
+    return [
         P.gift_source(t.gift_txn, t.settlement_window, w),
         P.wallet_source(t.wallet_txn, w),
         P.apm_source(t.apm_txn),
         P.acquirer_source(t.acquirer_txn, t.key_value, w),
         P.switch_source(t.switch_txn, t.tran_type, t.response_code, t.type_code, w),
+        P.edp_source(t.edp_txn, t.tran_type, t.response_code, t.type_code, w),
     ]
-    return P.pre_settlement(P.combined(sources), t.store, t.settlement_window, t.window_by_store, t.sap_map, t.factor, t.settlement_std, RUN_DATE)
+
+
+def _pre(t: Tables):
+    return P.pre_settlement(P.combined(_sources(t)), t.store, t.settlement_window, t.window_by_store, t.sap_map, t.factor, t.settlement_std, RUN_DATE)
 
 
 @query(
@@ -106,16 +113,18 @@ def _ledger_lines(t: Tables):
     return _lines(t)
 
 
+_FILE_COLUMNS = ["kind", "line", "org", "store_no", "customer", "location", "currency", "day", "order_ref"]
+
+
 @query(
     "m_ledger_settlement_file",
     f"""WITH {_LEDGER}, c2 AS (SELECT co.company_code, {_NAME.format(p='LEDGER')} AS file_name, 'ledgersettlement' || CASE co.company_code WHEN '1410' THEN 'aus' WHEN '2025' THEN 'nzl' ELSE 'oth' END || co.company_code AS merchant FROM co)
-SELECT record_type, file_name, merchant, company_code, count(*) AS rows, CAST(sum(a) AS BIGINT) AS amount_cents, CAST(max(n) AS BIGINT) AS line_count FROM (SELECT 'H' AS record_type, file_name, merchant, company_code, NULL AS a, NULL AS n FROM c2
- UNION ALL SELECT 'D', l.file_name, c2.merchant, l.company_code, l.cents, NULL FROM lines l JOIN c2 ON c2.company_code = l.company_code
- UNION ALL SELECT 'T', c2.file_name, c2.merchant, c2.company_code, coalesce(sum(l.cents), 0), count(l.file_name) FROM c2 LEFT JOIN lines l ON l.file_name = c2.file_name GROUP BY ALL) GROUP BY ALL""",
+SELECT 'D' AS record_type, 1 AS line_rank, l.file_name, c2.merchant, l.company_code, kind, line, org, store_no, customer, location, currency, CAST(day AS VARCHAR) AS day, order_ref, l.cents AS amount_cents, CAST(NULL AS BIGINT) AS line_count FROM lines l JOIN c2 ON c2.company_code = l.company_code
+ UNION ALL BY NAME SELECT 'H' AS record_type, 0 AS line_rank, file_name, merchant, company_code FROM c2
+ UNION ALL BY NAME SELECT 'T' AS record_type, 2 AS line_rank, c2.file_name, c2.merchant, c2.company_code, CAST(coalesce(sum(l.cents), 0) AS BIGINT) AS amount_cents, count(l.file_name) AS line_count FROM c2 LEFT JOIN lines l ON l.file_name = c2.file_name GROUP BY ALL""",
 )
 def _ledger_file(t: Tables):
-    out = P.ledger_file(_lines(t), t.sap_map, RUN_TS)
-    return out.groupBy("record_type", "file_name", "merchant", "company_code").agg(F.count("*").alias("rows"), F.sum("amount_cents").alias("amount_cents"), F.max("line_count").alias("line_count"))
+    return P.ledger_file(_lines(t), t.sap_map, RUN_TS)
 
 
 @query(
@@ -187,12 +196,13 @@ def _posting(t: Tables):
 
 @query(
     "m_partner_posting_file",
-    f"""WITH {_POST} SELECT 'D' AS record_type, file_name, count(*) AS rows, CAST(sum(fee_value) AS BIGINT) AS fee_value, CAST(NULL AS BIGINT) AS line_count FROM x GROUP BY file_name UNION ALL SELECT 'H', {_NAME.format(p='FEES')}, 1, NULL, NULL FROM co
-UNION ALL SELECT 'T', {_NAME.format(p='FEES')}, 1, CAST(coalesce((SELECT sum(fee_value) FROM x WHERE x.company_code = co.company_code), 0) AS BIGINT), (SELECT count(*) FROM x WHERE x.company_code = co.company_code) FROM co""",
+    f"""WITH {_POST}, {CALENDAR_SQL}, c2 AS (SELECT company_code, {_NAME.format(p='FEES')} AS file_name, 'partnerfeeposting' || CASE company_code WHEN '1410' THEN 'aus' WHEN '2025' THEN 'nzl' ELSE 'oth' END || company_code AS merchant FROM co)
+SELECT 'D' AS record_type, 1 AS line_rank, x.* REPLACE (CAST(x.calendar_date AS VARCHAR) AS calendar_date), c2.merchant, strftime(fp_end_date + 5, '%Y%m%d') AS pay_due_date, 'WEEKLY' AS frequency, CAST(NULL AS BIGINT) AS line_count FROM x JOIN c2 ON c2.company_code = x.company_code LEFT JOIN calendar c ON c.calendar_date = x.calendar_date
+ UNION ALL BY NAME SELECT 'H' AS record_type, 0 AS line_rank, file_name, merchant, company_code FROM c2
+ UNION ALL BY NAME SELECT 'T' AS record_type, 2 AS line_rank, file_name, merchant, company_code, CAST(coalesce((SELECT sum(fee_value) FROM x WHERE x.company_code = c2.company_code), 0) AS BIGINT) AS fee_value, (SELECT count(*) FROM x WHERE x.company_code = c2.company_code) AS line_count FROM c2""",
 )
 def _posting_file(t: Tables):
-    out = P.partner_posting_file(P.partner_posting(t.settlement_std, t.store, t.sap_map, t.calendar, RUN_TS), t.sap_map, RUN_TS)
-    return out.groupBy("record_type", "file_name").agg(F.count("*").alias("rows"), F.sum("fee_value").alias("fee_value"), F.max("line_count").alias("line_count"))
+    return P.partner_posting_file(P.partner_posting(t.settlement_std, t.store, t.sap_map, t.calendar, RUN_TS), t.sap_map, RUN_TS)
 
 
 @query(
@@ -214,17 +224,29 @@ def _payouts(t: Tables):
     return P.payout_instructions(_lines(t), t.store, t.settlement_window, RUN_TS)
 
 
+_LOGGED = f"""{_SOURCES}, every AS (SELECT uid, ts, store_id, kind, q, a FROM live
+ UNION ALL SELECT {_UID_QP}, coalesce(transaction_date, TIMESTAMP '1900-01-01'), store_id, transaction_type, 'QP', amount_cents FROM partner_txn WHERE amount_cents <> 0 OR discount_cents <> 0),
+due AS (SELECT o.*, left(o.uid, 2) AS ds, m.division, s.store_number, s.active_flag, s.company_code, w.division_type, w.settle_by_store, b.store_id AS own, f.settlement_factor,
+ CASE WHEN b.store_id IS NULL OR w.settle_by_store = 'N' THEN {{w}} ELSE {{b}} END AS inside
+ FROM every o JOIN store m ON m.store_id = o.store_id AND NOT m.is_closed JOIN settlement_window w ON w.division = m.division AND w.is_active = 'Y' LEFT JOIN window_by_store b ON b.store_id = o.store_id AND b.is_active = 'Y'
+ JOIN log_flags g ON g.division = m.division AND g.data_source = left(o.uid, 2) LEFT JOIN sap_map s ON s.store_number = o.store_id
+ LEFT JOIN factor f ON f.settlement_factor <> 0 AND f.transaction_type = o.kind AND f.tran_qualifier = CASE WHEN left(o.uid, 2) = 'QC' THEN w.division_type ELSE o.q END
+ WHERE o.uid NOT IN (SELECT tran_uid FROM settlement_std)),
+kept AS (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY ts, store_id, kind, a) AS copy FROM due WHERE inside AND (ds IN ('TC', 'ED') OR settlement_factor IS NOT NULL) AND (ds NOT IN ('QC', 'TC') OR division_type <> 'PARTNER')
+ AND (ds <> 'TC' OR settle_by_store = 'N' OR own IS NOT NULL) AND (ds <> 'QC' OR (active_flag <> 'N' AND coalesce(trim(company_code), '') <> '')))"""
+_INSIDE = """(o.ts > coalesce(CAST(CAST({t}.last_execution_time AS DATE) + {t}.days_lookback AS TIMESTAMP), TIMESTAMP '1900-01-01') AND o.ts >= CAST({t}.earliest_date AS TIMESTAMP)
+ AND o.ts <= CAST(DATE '2001-07-15' + {t}.day_lag AS TIMESTAMP) + to_minutes(CAST({t}.settlement_cutoff // 100 * 60 + {t}.settlement_cutoff % 100 AS INT)))"""
+
+
 @query(
     "m_missing_store_report",
-    """WITH n AS (SELECT tran_uid, count(*) AS copies FROM settlement_std WHERE setlmnt_result_file IS NULL GROUP BY 1)
-SELECT d.division, message, count(*) AS rows FROM (SELECT s.*, CASE WHEN d.site_name IS NULL THEN 'Store not found in store details' WHEN m.active_flag IS NULL THEN 'Store has no customer mapping' WHEN m.active_flag = 'N' THEN 'Customer mapping is inactive'
- WHEN coalesce(trim(m.company_code), '') = '' THEN 'Company code is blank' WHEN n.copies > 1 THEN 'Duplicate transaction' END AS message FROM settlement_std s LEFT JOIN store d ON d.store_id = s.store_id LEFT JOIN sap_map m ON m.store_number = s.store_id
- JOIN n ON n.tran_uid = s.tran_uid WHERE s.setlmnt_result_file IS NULL) s LEFT JOIN store d ON d.store_id = s.store_id WHERE message IS NOT NULL GROUP BY ALL""",
+    f"""WITH {_LOGGED.format(w=_INSIDE.format(t='w'), b=_INSIDE.format(t='b'))}
+SELECT DISTINCT 'B9' AS batch_number, store_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS tran_date, message, ds AS data_source, division, CAST(ts AS VARCHAR) AS transaction_time, '2001-07-15 06:30:00' AS created
+FROM (SELECT *, CASE WHEN copy > 1 THEN 'Duplicate transaction ' || uid || ' ' ELSE '' END || CASE WHEN store_number IS NULL THEN 'Store is missing in settlement mapping' WHEN coalesce(active_flag, 'N') = 'N' THEN 'Store not active in settlement mapping'
+ WHEN coalesce(trim(company_code), '') = '' THEN 'Company code is missing in settlement mapping' ELSE '' END AS message FROM kept) WHERE message <> ''""",
 )
 def _missing(t: Tables):
-    rows = t.settlement_std.where(col("setlmnt_result_file").isNull())
-    copies = rows.groupBy("tran_uid").agg(F.count("*").alias("copies"))
-    rows = J.lookup(rows, t.store, {"store_id": "store_id"}, ["site_name", "division"])
-    rows = J.lookup(rows, t.sap_map, {"store_number": "store_id"}, {"active_flag": "map_active", "company_code": "company_code"})
-    found = Q.missing_reference(rows.join(copies, "tran_uid"), O.missing_store_checks())
-    return found.groupBy("division", "message").agg(F.count("*").alias("rows"))
+    from ledgerloom.plans import missing_store as N
+
+    trans = P.combined([*_sources(t), P.partner_source(t.partner_txn)])
+    return N.report(trans, t.store, t.settlement_window, t.window_by_store, t.sap_map, t.factor, t.log_flags, t.settlement_std, "B9", RUN_TS)

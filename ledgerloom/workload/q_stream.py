@@ -17,12 +17,12 @@ NOW = dt.datetime(2024, 1, 28, 12, 0, 0)
 
 @query(
     "l01_nrt_tail",
-    """WITH b AS (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-20' AND user_id % 10 <> 9 AND event_type <> 'error'), h AS (SELECT user_id, max(ts) AS m FROM b GROUP BY 1)
+    """WITH b AS (SELECT * REPLACE (CASE WHEN user_id % 10 = 9 THEN -user_id ELSE user_id END AS user_id) FROM events WHERE ts < TIMESTAMP '2024-01-20'), h AS (SELECT user_id, max(ts) AS m FROM b GROUP BY 1)
 SELECT event_id, 'BATCH' AS src_type FROM b UNION ALL SELECT e.event_id, 'NRT' FROM events e LEFT JOIN h ON h.user_id = e.user_id WHERE (h.m IS NULL OR e.ts > h.m) AND e.ts <= TIMESTAMP '2024-01-28 12:00:00' AND e.ts >= TIMESTAMP '2024-01-14 12:00:00'""",
 )
 def _l01(t: Tables):
-    # the batch side lags and misses some users and kinds
-    batch = t.events.where((col("ts") < "2024-01-20") & (col("user_id") % 10 != 9) & (col("event_type") != "error"))
+    # the batch side lags; it knows some users by another key, so their live rows are all new
+    batch = t.events.where(col("ts") < "2024-01-20").withColumn("user_id", F.when(col("user_id") % 10 == 9, -col("user_id")).otherwise(col("user_id")))
     return A.nrt_tail(batch, t.events, "user_id", "ts", NOW, floor_days=14).select("event_id", "src_type")
 
 
