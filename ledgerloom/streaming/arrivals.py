@@ -97,3 +97,17 @@ def windowed_totals(stream: DataFrame, ts: str, dims: Sequence[str], value: Colu
         .agg(F.count("*").alias("rows"), F.sum(value).alias("total"))
         .select(F.col("window.start").alias("period_start"), *dims, "rows", "total")
     )
+
+
+def calendar_totals(stream: DataFrame, ts: str, calendar: DataFrame, period: Sequence[str], ends: str, dims: Sequence[str], value: Column, late: str) -> DataFrame:
+    """L-05 for periods of a calendar: fiscal weeks, periods and years have no fixed length.
+
+    Each row gets its day's ``period`` columns from ``calendar`` (one row a ``calendar_date``); ``ends``
+    is the period's last day.  The end of that day is the event time, so the state of a period is
+    kept until a row of a period that ends ``late`` after it arrives.  A day that the calendar lacks fails.
+    """
+    days = calendar.select(F.col("calendar_date").alias("__day"), *period, F.date_add(ends, 1).cast("timestamp").alias("period_end"))
+    dated = stream.withColumn("__day", F.col(ts).cast("date")).join(days, "__day", "left")
+    end = F.coalesce("period_end", F.raise_error(F.concat(F.lit("no calendar day "), F.col("__day").cast("string"))).cast("timestamp"))
+    dated = dated.withColumn("period_end", end).withWatermark("period_end", late)
+    return dated.groupBy("period_end", *period, *dims).agg(F.count("*").alias("rows"), F.sum(value).alias("total"))
