@@ -28,14 +28,16 @@ def levels(
     sets: Sequence[Sequence[str]],
     sums: Mapping[str, Column],
     label: str = "All",
+    grouped: bool = False,
 ) -> DataFrame:
     """D-19: the same sums at several grains, rolled-up keys shown as ``label``.
 
     The facts are summed once at the finest grain and only that small result is expanded to
     the grouping sets.  ``grouping`` tells a rolled-up key from a real null.  A key that is in
-    every set keeps its type, the others become text.
+    every set keeps its type, the others become text.  ``grouped``: ``df`` has one row for each
+    combination of keys already, with columns named as the sums.
     """
-    fine = df.groupBy(*keys).agg(*[v.alias(n) for n, v in sums.items()])
+    fine = df.select(*keys, *sums) if grouped else df.groupBy(*keys).agg(*[v.alias(n) for n, v in sums.items()])
     out = fine.groupingSets([[F.col(k) for k in s] for s in sets], *keys).agg(
         *[F.sum(n).alias(n) for n in sums], *[F.grouping(k).alias(f"__g_{k}") for k in keys]
     )

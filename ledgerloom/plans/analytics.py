@@ -34,18 +34,24 @@ def _frame_index() -> Column:
     p = F.col("period_start")
     return (
         F.when(F.col("timeframe") == "Month", D.month_index(p))
-        .when(F.col("timeframe") == "Year", F.year(p))
+        .when(F.col("timeframe") == "Year", F.year(p))  # fiscal years begin in June of the year before, all of them
+        .when(F.col("timeframe") == "Period", F.year(D.fiscal_year_start(p)) * 12 + D.fiscal_period(D.fiscal_week(p)))
         .when(F.col("timeframe") == "Week", F.floor(F.datediff(p, F.lit(dt.date(1970, 1, 5))) / 7).cast("int"))
         .otherwise(F.datediff(p, F.lit(dt.date(1970, 1, 1))))
     )
 
 
-def auth_rates(billing: DataFrame, store: DataFrame, frames: Sequence[str] = ("Month", "Week", "Year")) -> DataFrame:
+# fixed values: lenses of the authorisation rates, beside the store and all stores
+AUTH_LENSES = ((), ("scheme",), ("declined_reason",), ("scheme", "declined_reason"))
+
+
+def auth_rates(billing: DataFrame, store: DataFrame, frames: Sequence[str] = ("Month", "Week", "Year"), calendar: DataFrame | None = None, lenses: Sequence[Sequence[str]] = AUTH_LENSES) -> DataFrame:
     """D-07, D-09, D-19, D-20, E-11: approval and decline rates by timeframe and lens.
 
-    Lenses: all, by scheme and by declined reason, per store and over all stores.  The facts
-    are summed once per day; timeframes and lenses only multiply that result, and last
-    period's rate is a one-period window.
+    Lenses: all, by scheme, by declined reason and by both, per store and over all stores.  The
+    facts are summed once per day; timeframes and lenses only multiply that result, and last
+    period's rate is a one-period window.  With a fiscal ``calendar`` weeks and years are fiscal
+    and "Period" is a frame.
     """
     approved, declined = F.col("approval") == "A", F.col("approval") == "D"
     sums = {
@@ -56,10 +62,9 @@ def auth_rates(billing: DataFrame, store: DataFrame, frames: Sequence[str] = ("M
         "cents_declined": R.net(_kind(), K.PURCHASE_PLUS, K.AMOUNT_MINUS, _cents(), when=declined),
     }
     dims = ["store_id", "scheme", "declined_reason"]
-    framed = R.timeframes(billing, "tran_date", dims, sums, frames)
-    sets = [["timeframe", "period_start", *place, *lens] for place in (["store_id"], []) for lens in ([], ["scheme"], ["declined_reason"])]
-    again = {n: F.sum(n) for n in sums}
-    out = R.levels(framed, ["timeframe", "period_start", *dims], sets, again)
+    framed = R.timeframes(billing, "tran_date", dims, sums, frames, calendar)
+    sets = [["timeframe", "period_start", *place, *lens] for place in (["store_id"], []) for lens in lenses]
+    out = R.levels(framed, ["timeframe", "period_start", *dims], sets, sums, grouped=True)
     out = J.lookup(out, store, {"store_id": "store_id"}, ["brand", "merchant_group"])
     out = out.withColumn("auth_rate", M.ratio(F.col("n_approved"), F.col("n"))).withColumn("declined_rate", M.ratio(F.col("n_declined"), F.col("n")))
     out = W.prior_period(out, ["timeframe", *dims], _frame_index(), {"__prev": F.col("auth_rate")}, 1)
@@ -96,20 +101,26 @@ def fee_sums(approved: str = "A") -> dict[str, Column]:
     }
 
 
-def fee_statement(billing: DataFrame, store: DataFrame, months: int = 3) -> DataFrame:
-    """D-20, D-21: monthly, weekly and daily statement, the running period named to date."""
+def fee_statement(billing: DataFrame, store: DataFrame, months: int = 3, calendar: DataFrame | None = None) -> DataFrame:
+    """D-20, D-21: monthly, weekly and daily statement, the running period named to date; with a fiscal
+    ``calendar`` also by fiscal period, named by its days."""
     newest = billing.agg(F.max("tran_date")).scalar()
     rows = billing.where(F.col("tran_date") >= F.trunc(F.add_months(newest, -months), "month"))
     rows = J.lookup(rows, store, {"store_id": "store_id"}, ["company", "merchant_group", "invoice_group"])
     rows = rows.withColumn("approval", F.when(F.col("approval") == "A", "Approved").when(F.col("approval") == "D", "Declined").otherwise(F.col("approval")))
     rows = rows.withColumn("scheme_card_type", K.scheme_card_type(F.col("scheme"), F.col("card_type")))
     dims = ["company", "merchant_group", "invoice_group", "kind", "approval", "scheme", "scheme_card_type"]
-    framed = R.timeframes(rows, "tran_date", dims, fee_sums("Approved"), ("Day", "Week", "Month"))
+    frames = ("Day", "Week", "Month") if calendar is None else ("Day", "Week", "Month", "Period")
+    framed = R.timeframes(rows, "tran_date", dims, fee_sums("Approved"), frames, calendar)
     start = F.col("period_start")
     # the newest day is among the rows, so its periods are the newest ones
     edges = {f: R.FRAMES[f](newest) for f in ("Month", "Week")}
+    year, period = D.fiscal_year_start(start), D.fiscal_period(D.fiscal_week(start))
+    last = F.date_sub(F.when(period == 12, D.fiscal_year_start(F.date_add(year, 380))).otherwise(D.fiscal_period_start(year, period + 1)), 1)
     label = (
-        F.when((F.col("timeframe") == "Month") & (start == edges["Month"]), "Month to date")
+        F.when((F.col("timeframe") == "Period") & (newest <= last), "Period to date")
+        .when(F.col("timeframe") == "Period", F.concat(F.lit("P"), period.cast("string"), F.lit(" "), F.date_format(start, "dd MMM"), F.lit(" to "), F.date_format(last, "dd MMM")))
+        .when((F.col("timeframe") == "Month") & (start == edges["Month"]), "Month to date")
         .when((F.col("timeframe") == "Week") & (start == edges["Week"]), "Week to date")
         .when(F.col("timeframe") == "Month", D.month_text(start))
         .when(F.col("timeframe") == "Week", F.concat(F.lit("Wk- "), F.date_format(start, "dd MMM"), F.lit(" to "), F.date_format(F.date_add(start, 6), "dd MMM")))
@@ -147,22 +158,22 @@ def _sales(billing: DataFrame, store: DataFrame) -> DataFrame:
     return rows.withColumn("channel", channel)
 
 
-def payments_and_refunds(billing: DataFrame, store: DataFrame) -> DataFrame:
-    """D-07, D-20, E-11: purchases and refunds by timeframe with the previous period."""
+def payments_and_refunds(billing: DataFrame, store: DataFrame, frames: Sequence[str] = ("Day", "Week", "Month"), calendar: DataFrame | None = None) -> DataFrame:
+    """D-07, D-20, E-11: purchases and refunds by timeframe with the previous period; fiscal ones with a ``calendar``."""
     dims = ["store_id", "company", "brand", "channel", "scheme", "card_type"]
-    framed = R.timeframes(_sales(billing, store), "tran_date", dims, _payment_sums(), ("Day", "Week", "Month"))
+    framed = R.timeframes(_sales(billing, store), "tran_date", dims, _payment_sums(), frames, calendar)
     return W.prior_period(framed, ["timeframe", *dims], _frame_index(), {f"pre_{n}": F.col(n) for n in _payment_sums()}, 1)
 
 
-def payments_snapshot(billing: DataFrame, chargebacks: DataFrame, store: DataFrame, links: DataFrame) -> DataFrame:
-    """D-20, D-21, F-04, G-05: payments and disputes on one shape, the oldest period flagged."""
+def payments_snapshot(billing: DataFrame, chargebacks: DataFrame, store: DataFrame, links: DataFrame, frames: Sequence[str] = ("Day", "Week", "Month"), calendar: DataFrame | None = None) -> DataFrame:
+    """D-20, D-21, F-04, G-05: payments and disputes on one shape, the oldest period flagged; fiscal periods with a ``calendar``."""
     dims = ["store_id", "company", "brand", "channel", "scheme", "card_type"]
-    pay = R.timeframes(_sales(billing, store), "tran_date", dims, _payment_sums(), ("Day", "Week", "Month"))
+    pay = R.timeframes(_sales(billing, store), "tran_date", dims, _payment_sums(), frames, calendar)
     one = W.keep_first(chargebacks, ["id"], [F.col("file_date").desc(), F.col("amount_cents")])
     cases = J.lookup(one, store, {"store_id": F.upper("store_id")}, ["company", "brand", "is_online"])
     cases = cases.withColumn("channel", F.when(F.col("is_online") == "Online", "Online").when(F.col("is_online") == "Not Online", "In store"))
     cases = cases.join(links, "id", "left").withColumn("day", F.col("received_dt").cast("date"))
-    disputes = R.timeframes(cases, "day", dims, {"dispute_count": F.count("*"), "dispute_cents": F.sum("amount_cents")}, ("Day", "Week", "Month"))
+    disputes = R.timeframes(cases, "day", dims, {"dispute_count": F.count("*"), "dispute_cents": F.sum("amount_cents")}, frames, calendar)
     both = pay.unionByName(disputes, allowMissingColumns=True)
     oldest = pay.groupBy("timeframe").agg(F.min("period_start").alias("__o"))
     flag = F.when(F.col("period_start") == F.col("__o"), F.concat(F.lit("min_"), F.lower("timeframe")))

@@ -10,7 +10,7 @@ from ledgerloom.functions import cards as K
 from ledgerloom.plans import analytics as P
 from ledgerloom.plans import benchmark as B
 from ledgerloom.plans import identity as I
-from ledgerloom.workload.feeds import RUN_DATE, Tables
+from ledgerloom.workload.feeds import CALENDAR_SQL, RUN_DATE, Tables
 from ledgerloom.workload.registry import query
 
 col = F.col
@@ -27,32 +27,41 @@ def _net(plus: list[str], minus: list[str], value: str = "1", cond: str = "true"
 _PP, _PM, _AM, _OP, _OM = K.PURCHASE_PLUS, K.PURCHASE_MINUS, K.AMOUNT_MINUS, K.PAYOUT_PLUS, K.PAYOUT_MINUS
 _BUY = P.BUY
 _FRAMES = {"Day": "tran_date", "Week": "CAST(date_trunc('week', tran_date) AS DATE)", "Month": "CAST(date_trunc('month', tran_date) AS DATE)", "Year": "CAST(date_trunc('year', tran_date) AS DATE)"}
+_FISCAL = _FRAMES | {"Week": "fw_start_date", "Period": "fp_start_date", "Year": "fy_start_date"}
+# fiscal periods and years, each with the start of the one before it
+_STARTS = "sp AS (SELECT 'Period' AS frame, fp_start_date AS s, lag(fp_start_date) OVER (ORDER BY fp_start_date) AS before FROM (SELECT DISTINCT fp_start_date FROM calendar) UNION ALL SELECT 'Year', fy_start_date, lag(fy_start_date) OVER (ORDER BY fy_start_date) FROM (SELECT DISTINCT fy_start_date FROM calendar))"
 _BACK = {"Day": "INTERVAL 1 DAY", "Week": "INTERVAL 7 DAY", "Month": "INTERVAL 1 MONTH", "Year": "INTERVAL 1 YEAR"}
 
 
-def _framed(frames: list[str], dims: str, sums: str, src: str, where: str = "") -> str:
-    return "\nUNION ALL ".join(f"SELECT '{f}' AS timeframe, {_FRAMES[f]} AS period_start, {dims}, {sums} FROM {src} {where} GROUP BY ALL" for f in frames)
+def _framed(frames: list[str], dims: str, sums: str, src: str, starts: dict[str, str] = _FRAMES) -> str:
+    return "\nUNION ALL ".join(f"SELECT '{f}' AS timeframe, {starts[f]} AS period_start, {dims}, {sums} FROM {src} GROUP BY ALL" for f in frames)
 
 
-_PREV = "CASE c.timeframe " + " ".join(f"WHEN '{f}' THEN CAST(c.period_start - {b} AS DATE)" for f, b in _BACK.items()) + " END"
 _AUTH_SUMS = ", ".join(
     [f"{_net(_PP, _PM)} AS n", f"{_net(_PP, _PM, cond=chr(39) + 'A' + chr(39) + ' = approval')} AS na", f"{_net(_PP, _PM, cond=chr(39) + 'D' + chr(39) + ' = approval')} AS nd",
      f"{_net(_PP, _AM, 'amount_cents', chr(39) + 'A' + chr(39) + ' = approval')} AS ca", f"{_net(_PP, _AM, 'amount_cents', chr(39) + 'D' + chr(39) + ' = approval')} AS cd"]
 )
-_LENS = [(s, k, r) for s in ("store_id", "'All' AS store_id") for k, r in (("'All' AS scheme", "'All' AS declined_reason"), ("scheme", "'All' AS declined_reason"), ("'All' AS scheme", "declined_reason"))]
+_AUTH_SETS = ", ".join("(" + ", ".join(["timeframe", "period_start", *place, *lens]) + ")" for place in (["store_id"], []) for lens in P.AUTH_LENSES)
+_AGAIN = ", ".join(f"CAST(sum({n}) AS BIGINT) AS {n}" for n in ("n", "na", "nd", "ca", "cd"))
+# the previous period: a fiscal one by the calendar, another by the day
+_FISCAL_PREV = "CASE WHEN c.timeframe IN ('Period', 'Year') THEN sp.before " + " ".join(f"WHEN c.timeframe = '{f}' THEN CAST(c.period_start - {_BACK[f]} AS DATE)" for f in ("Day", "Week", "Month")) + " END"
+_WITH_PREV = "LEFT JOIN sp ON sp.frame = c.timeframe AND sp.s = c.period_start"
 
 
 @query(
     "m_auth_rates",
-    "WITH lv AS ("
-    + "\nUNION ALL ".join(_framed(["Month", "Week", "Year"], f"{s}, {k}, {r}", _AUTH_SUMS, "billing") for s, k, r in _LENS)
-    + f"""), rt AS (SELECT *, coalesce(CAST(na AS DOUBLE) / nullif(n, 0), 0) AS auth_rate FROM lv)
+    f"""WITH {CALENDAR_SQL}, {_STARTS},
+dd AS MATERIALIZED (SELECT tran_date, store_id, scheme, declined_reason, {_AUTH_SUMS} FROM billing GROUP BY ALL), dc AS MATERIALIZED (SELECT dd.*, fw_start_date, fp_start_date, fy_start_date FROM dd LEFT JOIN calendar ON calendar_date = tran_date),
+fr AS MATERIALIZED ({_framed(['Month', 'Week', 'Period', 'Year'], 'store_id, scheme, declined_reason', _AGAIN, 'dc', _FISCAL)}),
+lv AS MATERIALIZED (SELECT timeframe, period_start, CASE WHEN grouping(store_id) = 1 THEN 'All' ELSE store_id END AS store_id, CASE WHEN grouping(scheme) = 1 THEN 'All' ELSE scheme END AS scheme, CASE WHEN grouping(declined_reason) = 1 THEN 'All' ELSE declined_reason END AS declined_reason, {_AGAIN} FROM fr GROUP BY GROUPING SETS ({_AUTH_SETS})),
+rt AS MATERIALIZED (SELECT *, coalesce(CAST(na AS DOUBLE) / nullif(n, 0), 0) AS auth_rate FROM lv),
+cprev AS MATERIALIZED (SELECT c.*, {_FISCAL_PREV} AS before FROM rt c {_WITH_PREV} WHERE c.auth_rate > 0)
 SELECT c.timeframe, CAST(c.period_start AS VARCHAR) AS period_start, c.store_id, c.scheme, c.declined_reason, m.brand, m.merchant_group, c.na AS trans_count_approved, c.nd AS trans_count_declined, c.auth_rate, coalesce(CAST(c.nd AS DOUBLE) / nullif(c.n, 0), 0) AS declined_rate,
  coalesce((CAST(c.ca AS DOUBLE) / 100) / nullif(c.na, 0), 0) AS avg_value_approved, coalesce((CAST(c.cd AS DOUBLE) / 100) / nullif(c.nd, 0), 0) AS avg_value_declined, c.auth_rate - p.auth_rate AS benchmark
-FROM rt c LEFT JOIN rt p ON p.timeframe = c.timeframe AND p.store_id IS NOT DISTINCT FROM c.store_id AND p.scheme IS NOT DISTINCT FROM c.scheme AND p.declined_reason IS NOT DISTINCT FROM c.declined_reason AND p.period_start = {_PREV} LEFT JOIN store m ON m.store_id = c.store_id WHERE c.auth_rate > 0""",
+FROM cprev c LEFT JOIN rt p ON p.timeframe = c.timeframe AND p.period_start = c.before AND p.store_id IS NOT DISTINCT FROM c.store_id AND p.scheme IS NOT DISTINCT FROM c.scheme AND p.declined_reason IS NOT DISTINCT FROM c.declined_reason LEFT JOIN store m ON m.store_id = c.store_id""",
 )
 def _auth(t: Tables):
-    return P.auth_rates(t.billing, t.store)
+    return P.auth_rates(t.billing, t.store, ("Month", "Week", "Period", "Year"), t.calendar)
 
 
 _PAID = [k for k in _OP if k != "REDEMPTION"]
@@ -70,13 +79,14 @@ _RECENT = "SELECT b.*, m.company, m.merchant_group, m.invoice_group, m.is_online
 
 @query(
     "m_fee_statement",
-    f"""WITH r AS (SELECT * REPLACE (CASE approval WHEN 'A' THEN 'Approved' ELSE 'Declined' END AS approval) FROM ({_RECENT.format(sct=_SCT, n=3)})),
-f AS ({_framed(['Day', 'Week', 'Month'], 'company, merchant_group, invoice_group, kind, approval, scheme, scheme_card_type', _fees("approval = 'Approved'"), 'r')}), e AS (SELECT timeframe, max(period_start) AS edge FROM f GROUP BY 1)
-SELECT f.* REPLACE (CAST(f.period_start AS VARCHAR) AS period_start), CASE WHEN f.timeframe = 'Month' AND f.period_start = e.edge THEN 'Month to date' WHEN f.timeframe = 'Week' AND f.period_start = e.edge THEN 'Week to date' WHEN f.timeframe = 'Month' THEN strftime(f.period_start, '%Y-%m')
- WHEN f.timeframe = 'Week' THEN 'Wk- ' || strftime(f.period_start, '%d %b') || ' to ' || strftime(f.period_start + 6, '%d %b') ELSE CAST(f.period_start AS VARCHAR) END AS period FROM f JOIN e ON e.timeframe = f.timeframe""",
+    f"""WITH {CALENDAR_SQL}, r AS MATERIALIZED (SELECT x.* REPLACE (CASE approval WHEN 'A' THEN 'Approved' ELSE 'Declined' END AS approval), fw_start_date, fp_start_date FROM ({_RECENT.format(sct=_SCT, n=3)}) x LEFT JOIN calendar ON calendar_date = tran_date),
+f AS ({_framed(['Day', 'Week', 'Month', 'Period'], 'company, merchant_group, invoice_group, kind, approval, scheme, scheme_card_type', _fees("approval = 'Approved'"), 'r', _FISCAL)}), e AS (SELECT timeframe, max(period_start) AS edge FROM f GROUP BY 1),
+pe AS (SELECT DISTINCT fp_start_date AS s, fp_end_date AS last, pofy FROM calendar)
+SELECT f.* REPLACE (CAST(f.period_start AS VARCHAR) AS period_start), CASE WHEN f.timeframe = 'Period' AND f.period_start = e.edge THEN 'Period to date' WHEN f.timeframe = 'Period' THEN 'P' || pe.pofy || ' ' || strftime(f.period_start, '%d %b') || ' to ' || strftime(pe.last, '%d %b') WHEN f.timeframe = 'Month' AND f.period_start = e.edge THEN 'Month to date' WHEN f.timeframe = 'Week' AND f.period_start = e.edge THEN 'Week to date' WHEN f.timeframe = 'Month' THEN strftime(f.period_start, '%Y-%m')
+ WHEN f.timeframe = 'Week' THEN 'Wk- ' || strftime(f.period_start, '%d %b') || ' to ' || strftime(f.period_start + 6, '%d %b') ELSE CAST(f.period_start AS VARCHAR) END AS period FROM f JOIN e ON e.timeframe = f.timeframe LEFT JOIN pe ON f.timeframe = 'Period' AND pe.s = f.period_start""",
 )
 def _statement(t: Tables):
-    return P.fee_statement(t.billing, t.store)
+    return P.fee_statement(t.billing, t.store, calendar=t.calendar)
 
 
 _FK = ["approval", "scheme", "card_type", "kind", "company", "invoice_group", "merchant_group", "is_online"]
@@ -100,22 +110,23 @@ _PV = ["purchase_count", "refund_count", "purchase_cents", "refund_cents"]
 
 @query(
     "m_payments_and_refunds",
-    f"""WITH {_SALES}, f AS ({_framed(['Day', 'Week', 'Month'], ', '.join(_PD), _PAY, 's')})
-SELECT c.* REPLACE (CAST(c.period_start AS VARCHAR) AS period_start), {', '.join(f'p.{v} AS pre_{v}' for v in _PV)} FROM f c LEFT JOIN f p ON p.timeframe = c.timeframe AND {' AND '.join(f'p.{k} IS NOT DISTINCT FROM c.{k}' for k in _PD)} AND p.period_start = {_PREV}""",
+    f"""WITH {CALENDAR_SQL}, {_STARTS}, {_SALES}, s2 AS MATERIALIZED (SELECT s.*, fw_start_date, fp_start_date, fy_start_date FROM s LEFT JOIN calendar ON calendar_date = tran_date), f AS MATERIALIZED ({_framed(['Day', 'Week', 'Month', 'Period'], ', '.join(_PD), _PAY, 's2', _FISCAL)}),
+cprev AS MATERIALIZED (SELECT c.*, {_FISCAL_PREV} AS before FROM f c {_WITH_PREV})
+SELECT c.* EXCLUDE (before) REPLACE (CAST(c.period_start AS VARCHAR) AS period_start), {', '.join(f'p.{v} AS pre_{v}' for v in _PV)} FROM cprev c LEFT JOIN f p ON p.timeframe = c.timeframe AND p.period_start = c.before AND {' AND '.join(f'p.{k} IS NOT DISTINCT FROM c.{k}' for k in _PD)}""",
 )
 def _payments(t: Tables):
-    return P.payments_and_refunds(t.billing, t.store)
+    return P.payments_and_refunds(t.billing, t.store, ("Day", "Week", "Month", "Period"), t.calendar)
 
 
 @query(
     "m_payments_snapshot",
-    f"""WITH {_SALES}, f AS ({_framed(['Day', 'Week', 'Month'], ', '.join(_PD), _PAY, 's')}), cb AS (SELECT c.*, m.company, m.brand, CASE m.is_online WHEN 'Online' THEN 'Online' WHEN 'Not Online' THEN 'In store' END AS channel, CASE WHEN c.id % 2 = 0 THEN 'VISA' END AS scheme, CASE WHEN c.id % 2 = 0 THEN 'CREDIT' END AS card_type, CAST(c.received_dt AS DATE) AS tran_date FROM chargebacks c LEFT JOIN store m ON m.store_id = c.store_id),
-d AS ({_framed(['Day', 'Week', 'Month'], ', '.join(_PD), 'count(*) AS dispute_count, CAST(sum(amount_cents) AS BIGINT) AS dispute_cents', 'cb')}), o AS (SELECT timeframe, min(period_start) AS oldest FROM f GROUP BY 1), u AS (SELECT * FROM f UNION ALL BY NAME SELECT * FROM d)
+    f"""WITH {CALENDAR_SQL}, {_SALES}, s2 AS MATERIALIZED (SELECT s.*, fw_start_date, fp_start_date FROM s LEFT JOIN calendar ON calendar_date = tran_date), f AS MATERIALIZED ({_framed(['Day', 'Week', 'Month', 'Period'], ', '.join(_PD), _PAY, 's2', _FISCAL)}), cb0 AS (SELECT c.*, m.company, m.brand, CASE m.is_online WHEN 'Online' THEN 'Online' WHEN 'Not Online' THEN 'In store' END AS channel, CASE WHEN c.id % 2 = 0 THEN 'VISA' END AS scheme, CASE WHEN c.id % 2 = 0 THEN 'CREDIT' END AS card_type, CAST(c.received_dt AS DATE) AS tran_date FROM chargebacks c LEFT JOIN store m ON m.store_id = c.store_id), cb AS (SELECT cb0.*, fw_start_date, fp_start_date FROM cb0 LEFT JOIN calendar ON calendar_date = tran_date),
+d AS ({_framed(['Day', 'Week', 'Month', 'Period'], ', '.join(_PD), 'count(*) AS dispute_count, CAST(sum(amount_cents) AS BIGINT) AS dispute_cents', 'cb', _FISCAL)}), o AS (SELECT timeframe, min(period_start) AS oldest FROM f GROUP BY 1), u AS (SELECT * FROM f UNION ALL BY NAME SELECT * FROM d)
 SELECT u.* REPLACE (CAST(u.period_start AS VARCHAR) AS period_start), CASE WHEN u.period_start = o.oldest THEN 'min_' || lower(u.timeframe) END AS min_flag FROM u LEFT JOIN o ON o.timeframe = u.timeframe""",
 )
 def _snapshot(t: Tables):
     links = t.chargebacks.where(col("id") % 2 == 0).select("id", F.lit("VISA").alias("scheme"), F.lit("CREDIT").alias("card_type"))
-    return P.payments_snapshot(t.billing, t.chargebacks, t.store, links)
+    return P.payments_snapshot(t.billing, t.chargebacks, t.store, links, ("Day", "Week", "Month", "Period"), t.calendar)
 
 
 _METHOD = "CASE c.scheme WHEN 'ALIPAY' THEN 'APM' WHEN 'EFTPOS' THEN 'DEBIT' WHEN 'FUEL CARDS' THEN 'APM' WHEN 'GIFT CARDS' THEN 'APM' WHEN 'PAYPAL' THEN 'APM' ELSE c.card_type END"
