@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.matching import found, gaps
+from ledgerloom.llm.matching import bound, found, gaps
 from ledgerloom.llm.store import free_name
 
 KEY = "ledgerloom"
@@ -141,11 +141,6 @@ def _forms(accounts: Column) -> Column:
     return F.when(F.size(valid) > 0, known).otherwise(F.lit(f"{EMAIL}|{AFTER_IBAN}"))
 
 
-def _bound(value: Column, then) -> Column:
-    """``then(value)`` with the value made once."""
-    return F.get(F.transform(F.array(value), then), F.lit(0))
-
-
 def _iban(s: Column, key: str) -> Column:
     plain = F.regexp_replace(s, " ", "")
     country, account = F.substring(plain, 1, 2), F.substring(plain, F.lit(5), F.length(plain))
@@ -206,7 +201,7 @@ def replaced(text: Column, key: str = KEY) -> Column:
         new = F.transform(found(text, forms), lambda m: pseudonym(m, key))
         return F.array_join(F.zip_with(gaps(text, forms), new, lambda g, m: F.concat(g, F.coalesce(m, F.lit("")))), "")
 
-    return F.when(_any(text), _bound(_bound(_accounts(text), _forms), whole)).otherwise(text)
+    return F.when(_any(text), bound(bound(_accounts(text), _forms), whole)).otherwise(text)
 
 
 def _any(text: Column) -> Column:
@@ -231,7 +226,7 @@ def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
 def report(docs: DataFrame, key: str = KEY) -> DataFrame:
     """doc_id, the text with pseudonyms, and n_found (values looked at, valid or not)."""
     text = F.col("text")
-    looked_at = _bound(_accounts(text), lambda a: F.size(found(text, _forms(a))) + F.size(F.filter(a, lambda x: x.isNull())))
+    looked_at = bound(_accounts(text), lambda a: F.size(found(text, _forms(a))) + F.size(F.filter(a, lambda x: x.isNull())))
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), replaced(text, key).alias("text"),
         F.when(_any(text), looked_at).otherwise(0).cast("long").alias("n_found"),

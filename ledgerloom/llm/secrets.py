@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.matching import found, places
+from ledgerloom.llm.matching import bound, found, places, running
 
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{12,}"
@@ -88,8 +88,18 @@ def scan(docs: DataFrame, table: list[float] | None = None) -> DataFrame:
     base = F.concat(*base_spans(F.col("text")))
     random = F.transform(found(F.col("text"), CANDIDATE), lambda s: ratio(s, table) >= LEAST_RATIO)
     rows = rows.select("doc_id", base.alias("base"), _of_kind(F.col("text"), CANDIDATE, 3, random).alias("random"))
-    alone = F.filter("random", lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
-    return rows.select("doc_id", F.array_sort("base").alias("base"), F.array_sort(F.concat("base", alone)).alias("all"))
+    every = F.when(F.size("random") == 0, F.array_sort("base")).otherwise(bound(F.array_sort(F.concat("base", "random")), _apart))
+    return rows.select("doc_id", F.array_sort("base").alias("base"), every.alias("all"))
+
+
+def _apart(spans: Column) -> Column:
+    """The rules' spans, and those of the model that overlap none of them; ``spans`` are sorted."""
+    rule = lambda s: s["kind"] < len(KINDS) - 1
+    ends = running(F.transform(spans, lambda s: F.when(rule(s), s["end"]).otherwise(0)), F.greatest)
+    starts = F.reverse(running(F.reverse(F.transform(spans, lambda s: F.when(rule(s), s["start"]).otherwise((1 << 31) - 1))), F.least))
+    near = F.zip_with(ends, starts, lambda e, s: F.struct(e.alias("until"), s.alias("from")))
+    kept = F.zip_with(spans, near, lambda s, n: F.when(rule(s) | ((n["until"] <= s["start"]) & (n["from"] >= s["end"])), s))
+    return F.filter(kept, lambda s: s.isNotNull())
 
 
 def _listed(spans: str) -> Column:

@@ -310,3 +310,32 @@ def test_toxicity_without_labels(spark, documents):
     assert len(got) == len(ODD) and not any(r["toxic"] for r in got) and all(0 <= r["expected_severity"] <= 2 for r in got)
     assert severity.keep_civil(documents(ODD), model).count() == len(ODD)
     assert severity.score(documents([]), model).collect() == []
+
+
+def test_places_of_many_matches(spark):
+    """Prefix sums by doubling against a walk over the text; a text of a few MB takes seconds."""
+    from ledgerloom.llm.matching import places, running
+
+    rng = random.Random(11)
+    texts = ["", "no match", "7", "x77é7 " * 3, "".join(rng.choice(["1", "22", "é", "ab ", "\n"]) for _ in range(5000)), "abc 123 " * 250_000]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    got = {r["i"]: [(s["start"], s["end"]) for s in r["at"]] for r in df.select("i", places(F.col("text"), "[0-9]+").alias("at")).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == [m.span() for m in re.finditer("[0-9]+", t)]
+    numbers = spark.createDataFrame([([rng.randrange(-50, 50) for _ in range(n)],) for n in (0, 1, 2, 3, 1000)], "v array<int>")
+    for row in numbers.select("v", running(F.col("v"), lambda a, b: a + b).alias("s"), running(F.col("v"), F.greatest).alias("m")).collect():
+        assert row["s"] == [sum(row["v"][: i + 1]) for i in range(len(row["v"]))]
+        assert row["m"] == [max(row["v"][: i + 1]) for i in range(len(row["v"]))]
+
+
+def test_model_spans_keep_clear_of_the_rules(documents):
+    """Random strings beside, inside and across spans of the rules."""
+    token = "Zx9Qw8Er7Ty6Ui5Op4As3Df2Gh1Jk0"
+    texts = [token, f"password={token}", f"{token} password: {token} {token}", f"{'0f' * 16}Z{token}", f"{token}/{'0f' * 16}", f"AKIA{'B' * 16} {token}"]
+    table = [5.0] * (128 * 128)  # everything is random
+    got = {r["doc_id"]: r for r in secrets.scan(documents([(i, t, "s") for i, t in enumerate(texts)]), table).collect()}
+    for i, t in enumerate(texts):
+        base = [(s["start"], s["end"]) for s in got[i]["base"]]
+        model = [m.span() for m in re.finditer(secrets.CANDIDATE, t)]
+        clear = [(a, b) for a, b in model if not any(x < b and a < y for x, y in base)]
+        assert sorted((s["start"], s["end"]) for s in got[i]["all"]) == sorted(base + clear)
