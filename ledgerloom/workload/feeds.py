@@ -117,6 +117,29 @@ SELECT concat('60', lpad(cast(l_partkey as string), 12, '7')) AS card_number,
        cast(round(l_extendedprice * 100) as bigint) AS amount_cents,
        cast(round(l_extendedprice * l_discount * 100) as bigint) AS discount_cents
 FROM lineitem""",
+    # a card's life: sales, reissues, redemptions and their cancellations, one event a line item
+    "gift_events": f"""
+SELECT concat('60', lpad(cast(l_partkey as string), 12, '7')) AS card_number,
+       concat('MERCH', cast(l_suppkey % 11 as string)) AS merchant,
+       {_store('l_suppkey')} AS outlet_code,
+       {_store('l_suppkey')} AS activation_store,
+       CASE WHEN l_suppkey % 3 = 0 THEN 'SAP Hybris' ELSE concat('Outlet ', cast(l_suppkey as string)) END AS activation_location,
+       concat('PG', cast(l_partkey % 5 as string)) AS program_group,
+       concat('D', cast(l_partkey % 9 as string)) AS design_code,
+       cast(l_shipdate as date) AS transaction_date,
+       cast(l_orderkey * 10 + l_linenumber as bigint) AS event_no,
+       CASE l_linenumber WHEN 1 THEN 'GIFT CARD REDEEM' WHEN 2 THEN 'GIFT CARD RELOAD' WHEN 4 THEN 'GIFT CARD CANCEL REDEEM' WHEN 5 THEN 'GIFT CARD REISSUE' WHEN 7 THEN 'GIFT CARD CANCEL ACTIVATE' ELSE 'GIFT CARD ACTIVATE' END AS transaction_type,
+       concat('INV', cast(l_orderkey as string)) AS invoice_number,
+       concat('SAP ORD-', lpad(cast(l_orderkey as string), 8, '0')) AS notes,
+       CASE WHEN l_partkey % 31 = 0 THEN NULL ELSE CASE WHEN l_linenumber IN (1, 7) THEN -1 ELSE 1 END * cast(round(l_extendedprice * 100) as bigint) END AS amount_cents,
+       CASE WHEN l_partkey % 5 = 0 THEN NULL ELSE cast(round(l_tax * 1000) as bigint) END AS adjustment_cents,
+       CASE WHEN l_partkey % 7 = 0 THEN NULL ELSE cast(round(l_extendedprice * l_discount * 100) as bigint) END AS balance_cents
+FROM lineitem""",
+    "card_orders": """
+SELECT lpad(cast(o_orderkey as string), 8, '0') AS order_no, concat('PAY', cast(o_orderkey % 3 as string)) AS payment_method, cast(o_orderdate as date) AS order_date,
+       CASE WHEN o_custkey % 4 = 0 THEN NULL ELSE concat('UNIT', cast(o_custkey % 4 as string)) END AS b2b_unit, concat('T', cast(o_custkey % 2 as string)) AS user_type, concat('C', cast(o_custkey as string)) AS customer_id,
+       concat('APP', cast(o_orderkey % 2 as string)) AS sales_application, cast(1 + o_orderkey % 4 as bigint) AS cards, cast(round(o_totalprice) as bigint) AS discount_cents
+FROM orders""",
     "partner_txn": f"""
 SELECT concat('MERCH', cast(l_suppkey % 11 as string)) AS merchant,
        {_store('l_suppkey')} AS store_id,
