@@ -211,12 +211,6 @@ def _b04(t: Tables):
     return t.spark.read.parquet(path).groupBy("day").agg(F.count("*").alias("n"), F.max("o_orderkey").alias("newest"))
 
 
-@query("b06_history", "SELECT '2001-07-15 06:30:00' AS run_ts, n_name, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL")
-def _b06(t: Tables):
-    per = t.customer.join(t.nation, col("c_nationkey") == col("n_nationkey")).groupBy("n_name").agg(F.count("*").alias("n"))
-    return per.select(D.at(RUN_TS).alias("run_ts"), "*")
-
-
 @query("b07_export_delimited", "SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name FROM supplier")
 def _b07(t: Tables):
     path = new_folder(t.spark, "export")

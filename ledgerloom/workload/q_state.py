@@ -47,14 +47,6 @@ def _j03(t: Tables):
     return I.overlap_unseen(t.orders, target, "o_orderdate").select("o_orderkey")
 
 
-@query("j04_full_reload", "SELECT c_custkey, c_name FROM customer")
-def _j04(t: Tables):
-    path = new_folder(t.spark, "reload")
-    t.customer.select("c_custkey", F.lit("old").alias("c_name")).write.parquet(path)
-    t.customer.select("c_custkey", "c_name").write.mode("overwrite").parquet(path)
-    return t.spark.read.parquet(path)
-
-
 @query(
     "j05_replace_partitions",
     "SELECT CAST(year(o_orderdate) AS BIGINT) AS y, count(*) AS n, CAST(sum(CASE WHEN year(o_orderdate) >= 2000 THEN 1 ELSE 0 END) AS BIGINT) AS replaced FROM orders GROUP BY 1",
@@ -93,13 +85,6 @@ def _j10(t: Tables):
     return W.without(t.store, col("site_name") == "Supplier#000000003").select("store_id")
 
 
-@query("j11_staged_inserts", "SELECT DISTINCT card, src FROM (SELECT 'TK' || CAST(l_partkey AS VARCHAR) AS card, 'switch' AS src FROM lineitem UNION ALL SELECT CAST(o_custkey AS VARCHAR), 'wallet' FROM orders UNION ALL SELECT c_name, 'gift' FROM customer)")
-def _j11(t: Tables):
-    stage = t.lineitem.select(F.concat(F.lit("TK"), col("l_partkey").cast("string")).alias("card"), F.lit("switch").alias("src")).distinct()
-    stage = stage.unionByName(t.orders.select(col("o_custkey").cast("string").alias("card"), F.lit("wallet").alias("src")).distinct())
-    return stage.unionByName(t.customer.select(col("c_name").alias("card"), F.lit("gift").alias("src")).distinct())
-
-
 @query("j12_next_batch", "SELECT 'FEE' AS lookup, 'FTLF' || lpad(CAST(count(*) + 1 AS VARCHAR), 9, '0') AS batch_number FROM orders")
 def _j12(t: Tables):
     used = t.orders.agg(F.concat(F.lit("FTLF"), F.lpad(F.count("*").cast("string"), 9, "0")).alias("last_batch")).withColumn("lookup", F.lit("FEE"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 # the top level of a running total and the rank of calendar periods see bounded tables only
-BOUNDED_WINDOWS = ("f11_running_sum_global", "f13_period_rank", "m_customer_profile_running_across", "m_gift_commission")
+BOUNDED_WINDOWS = ("f11_running_sum_global", "f13_period_rank", "m_customer_profile_running_across", "m_gift_commission", "m_gift_commissions", "m_gift_detail", "m_gift_sales_summary")
 PYTHON_OR_PRODUCT = ("PythonUDF", "ArrowEvalPython", "BatchEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "CartesianProduct")
 
 
