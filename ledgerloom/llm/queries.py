@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ledgerloom.llm import chat, decontaminate, infill, jaccard, lexical, licences, main_text, mixing, neighbours, pseudonyms, secrets, severity, warc
 
