@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.functions import dates as D
 from ledgerloom.functions import text as X
 from ledgerloom.sinks import files as S
 from ledgerloom.sinks import tables as W

@@ -6,9 +6,6 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import control as O
-from ledgerloom.operators import joins as J
-from ledgerloom.operators import recon as Q
 from ledgerloom.plans import settlement as P
 from ledgerloom.workload.feeds import CALENDAR_SQL, RUN_DATE, RUN_TS, STORE_WIDTH, Tables
 from ledgerloom.workload.registry import query
