@@ -292,7 +292,21 @@ FROM (VALUES (0, 'Merge', 'NATION_3', 'NATION_8', 0),
       (8, 'Cashout_High', '', '', 150),
       (8, 'Single PAN', '', '', 30),
       (10, 'Low', '', '', 110),
-      (10, 'High', '', '', 130)) c(rule_id, attribute, merchant, merchant_to_report, value)""",
+      (10, 'High', '', '', 130),
+      (12, 'Low', '', '', 105),
+      (12, 'High', '', '', 125),
+      (15, 'Value Difference_Low', '', '', 5000),
+      (15, 'Value Difference_High', '', '', 9000),
+      (16, 'Low', '', '', 140),
+      (16, 'High', '', '', 160),
+      (20, 'Low', '', '', 115),
+      (20, 'High', '', '', 135),
+      (21, 'Low', '', '', 112),
+      (21, 'High', '', '', 132),
+      (23, 'Low', '', '', 108),
+      (23, 'High', '', '', 128),
+      (24, 'Low', '', '', 118),
+      (24, 'High', '', '', 138)) c(rule_id, attribute, merchant, merchant_to_report, value)""",
     "key_value": f"""
 SELECT 'merchant-terminal' AS attribute, concat(' mid', cast(s_suppkey as string)) AS key, concat({_store('s_suppkey')}, '777') AS value FROM supplier
 UNION ALL SELECT 'partner-terminal', concat('Merch', cast(n_nationkey as string)), {_store('n_nationkey')} FROM nation""",

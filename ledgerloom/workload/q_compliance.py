@@ -197,8 +197,13 @@ settled AS (SELECT {_sites_sql(True, True)}, t.scheme, t.tstamp_trans, coalesce(
 _BYSCHEME = f"""{_SETTLED}, byscheme AS (SELECT merchant, mcc_code, store_id, site_name, scheme, {_MON.format(ts='tstamp_trans')} AS mon, sum(v) AS v FROM settled GROUP BY ALL)"""
 
 
-def _detail(t: Tables):
-    return C.settled_detail(t.switch_txn, t.wallet_txn, t.tran_type, t.response_code, t.store, t.type_code, t.control, P, SITES, SINCE, UNTIL)
+def _detail(t: Tables, since=SINCE, until=UNTIL):
+    return C.settled_detail(t.switch_txn, t.wallet_txn, t.tran_type, t.response_code, t.store, t.type_code, t.control, P, SITES, since, until)
+
+
+def _window_detail(t: Tables):
+    """The months of the report and of their baselines only; the range reaches the scan."""
+    return _detail(t, max(SINCE, str(P.window_start)), min(UNTIL, str(P.window_end)))
 
 
 @query(
@@ -218,7 +223,7 @@ _KEPT = f"mon >= DATE '{W0}' AND mon < DATE '{W1}'"
 SELECT {', '.join('m.' + k for k in _S4)}, CAST(m.mon AS VARCHAR) AS first_of_month, CAST(m.v AS DOUBLE) / 100 AS deposit_value, {_avg('v', scale=' / 100')} AS rolling_avg, {_limits(20)} {_joins(_S4)}""",
 )
 def _rule20(t: Tables):
-    return C.rule20(C.billing_by_scheme(_detail(t)), t.control, P)
+    return C.rule20(C.billing_by_scheme(_window_detail(t)), t.control, P)
 
 
 @query(
@@ -228,7 +233,7 @@ SELECT {', '.join('m.' + k for k in [*_S4, 'scheme'])}, CAST(m.mon AS VARCHAR) A
  0 AS threshold_low, 0 AS threshold_high {_joins([*_S4, 'scheme'])}""",
 )
 def _rule22(t: Tables):
-    return C.rule22(C.billing_by_scheme(_detail(t)), P)
+    return C.rule22(C.billing_by_scheme(_window_detail(t)), P)
 
 
 def _per_tran(scale: str = " / 100") -> str:
@@ -245,7 +250,7 @@ SELECT {', '.join('m.' + k for k in _S4)}, CAST(m.mon AS VARCHAR) AS first_of_mo
  {_per_tran()}, {_limits(23)} {_joins(_S4)}""",
 )
 def _rule23(t: Tables):
-    return C.rule23(_detail(t), t.control, P)
+    return C.rule23(_window_detail(t), t.control, P)
 
 
 @query(
