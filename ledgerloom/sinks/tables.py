@@ -12,16 +12,37 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import dates as D
 
 
+def recover_table(spark: SparkSession, table: str) -> bool:
+    """Put a table back whose swap stopped between its two renames; was there anything to do?
+
+    The version that was renamed away is the table again.  Where the table stands nothing is
+    touched: what is left beside it may belong to a run that is still at work.
+    """
+    database, _, name = table.rpartition(".")
+    prefix = f"{name}__old_".lower()
+    here = f"{database}." if database else ""
+    left = sorted(t.name for t in spark.catalog.listTables(database or None) if t.name.lower().startswith(prefix) and not t.isTemporary)
+    lost = bool(left) and not spark.catalog.tableExists(table)
+    if lost:
+        if len(left) > 1:
+            raise ValueError(f"{table} is gone and {left} are left: one of them is it")
+        spark.sql(f"ALTER TABLE {here}{left.pop()} RENAME TO {table}")
+    return lost
+
+
 def replace_table(df: DataFrame, table: str) -> None:
     """B-01, B-02, J-04: full reload.
 
     The new version is written beside the old one and swapped in by renaming, so a job may
     read the table it replaces and a failed write leaves the old version in place.  The names in
-    between are the run's own, so two runs don't drop each other's tables.
+    between are the run's own, so two runs don't drop each other's tables.  A run that stops
+    between the renames leaves no table under its name; the next one, or a reader that calls
+    ``recover_table``, puts it back.
     """
     spark = df.sparkSession
     own = uuid.uuid4().hex
     nxt, old = f"{table}__next_{own}", f"{table}__old_{own}"
+    recover_table(spark, table)
     df.write.format("parquet").saveAsTable(nxt)
     if spark.catalog.tableExists(table):
         spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
