@@ -204,6 +204,31 @@ def running_sum(
     )
 
 
+def running_sum_by_range(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: Column, out: str, folder: str, parts: int | None = None
+) -> DataFrame:
+    """F-11, F-12: running total in a given order, exact and spread evenly whatever share of the rows a key,
+    or one key on one day, holds.
+
+    Rows are dealt to ``parts`` ranges of (keys, order), cut where the data lies, and written to
+    ``folder`` with their range, so every later step sees the same ranges.  A range adds up by
+    itself; the totals before it are one row for each key and range, of which a key has at most
+    ``parts``.  Only rows that are equal in keys and order stay together; they count in any order.
+    """
+    spark = df.sparkSession
+    n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    given = df.withColumn("__g", F.struct(F.lit(0), *[F.col(k) for k in keys])).withColumn("__v", value)
+    dealt = given.repartitionByRange(n, *[F.col(k) for k in keys], *order).withColumn("__part", F.spark_partition_id())
+    dealt.write.parquet(folder)
+    rows = spark.read.schema(dealt.schema).parquet(folder)
+    totals = rows.groupBy("__g", "__part").agg(F.sum("__v").alias("__t"))
+    earlier = Window.partitionBy("__g").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select("__g", "__part", F.coalesce(F.sum("__t").over(earlier), F.lit(0)).alias("__off"))
+    inside = Window.partitionBy("__g", "__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    placed = rows.withColumn("__in", F.sum("__v").over(inside)).join(before, ["__g", "__part"])
+    return placed.withColumn(out, F.col("__in") + F.col("__off")).select(*df.columns, out)
+
+
 def range_bucket(df: DataFrame, c: str, parts: int = 1000) -> Column:
     """Order-preserving bucket of a numeric column with at most ``parts`` + 2 values.
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import dates as D
 from ledgerloom.operators import windows as W
 from ledgerloom.workload.feeds import BASELINE_FROM, Tables
 from ledgerloom.workload.registry import query
+from ledgerloom.workload.scratch import new_folder
 
 col = F.col
 _FULL = "l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus"
@@ -151,3 +154,29 @@ SELECT * FROM (SELECT CAST(c.mon AS VARCHAR) AS mon, a.l_suppkey, count(DISTINCT
 )
 def _f16(t: Tables):
     return W.active_periods_before(t.lineitem.select("l_suppkey", col("l_shipdate").cast("date").alias("mon")), "l_suppkey", "mon", "active_months", 13)
+
+
+@query(
+    "f11_running_sum_by_range",
+    "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, cents, CAST(sum(cents) OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, cents ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto FROM (SELECT *, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents FROM lineitem)",
+)
+def _f11_range(t: Tables):
+    """One total over the whole table, in ranges that follow the data."""
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", F.round(col("l_extendedprice") * 100).cast("long").alias("cents"))
+    order = [col(c) for c in ("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "cents")]
+    return W.running_sum_by_range(rows, [], order, col("cents"), "upto", new_folder(t.spark, "running")).drop("l_shipdate")
+
+
+@query(
+    "f12_occurrence_in_a_hot_day",
+    "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(row_number() OVER (PARTITION BY card, day ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS BIGINT) AS nth FROM (SELECT *, CASE WHEN l_partkey % 10 = 0 THEN l_suppkey ELSE -1 END AS card, CASE WHEN l_partkey % 10 = 0 THEN CAST(l_shipdate AS DATE) ELSE DATE '2001-07-14' END AS day FROM lineitem)",
+)
+def _f12_hot(t: Tables):
+    """Nine tenths of the rows are one card on one day."""
+    usual = col("l_partkey") % 10 == 0
+    rows = t.lineitem.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        F.when(usual, col("l_suppkey")).otherwise(-1).alias("card"), F.when(usual, col("l_shipdate").cast("date")).otherwise(F.lit(dt.date(2001, 7, 14))).alias("day"),
+    )
+    order = [col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
+    return W.running_sum_by_range(rows, ["card", "day"], order, F.lit(1).cast("long"), "nth", new_folder(t.spark, "running")).drop("card", "day")

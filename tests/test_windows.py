@@ -138,3 +138,26 @@ def test_range_lookup_forms_agree(rows):
     want = {("a", D(2000, 1, 1)): 1, ("a", D(2000, 6, 30)): 1, ("a", D(2000, 7, 1)): 2, ("a", D(2031, 1, 1)): 2, ("b", D(2000, 1, 1)): None}
     for out in (plain, monthly):
         assert {(r.k, r.d): r.r for r in out.collect()} == want
+
+
+def test_ranges_split_a_key_that_holds_most_rows(spark, tmp_path):
+    """Nine tenths of the rows in one key on one day: even ranges, exact totals, nulls and ties included."""
+    rows = spark.range(20_000).select(
+        F.when(F.col("id") % 10 == 0, F.col("id") % 7).when(F.col("id") % 11 == 0, None).otherwise(-1).alias("k"), (F.col("id") % 4999).alias("o"), (F.col("id") % 13).alias("v"), "id"
+    )
+    got = W.running_sum_by_range(rows, ["k"], [F.col("o"), F.col("id").desc()], F.col("v"), "upto", str(tmp_path / "r"), 16).collect()
+    assert len(got) == 20_000
+    by = {}
+    for r in got:
+        by.setdefault(r["k"], []).append(r)
+    for some in by.values():
+        total = 0
+        for r in sorted(some, key=lambda r: (r["o"], -r["id"])):
+            total += r["v"]
+            assert r["upto"] == total
+    parts = spark.read.parquet(str(tmp_path / "r")).groupBy("__part").count().collect()
+    assert len(parts) >= 14 and max(p["count"] for p in parts) < 3 * 20_000 / 16
+    hot = spark.read.parquet(str(tmp_path / "r")).where("k = -1").select("__part").distinct().count()
+    assert hot >= 11
+    empty = W.running_sum_by_range(rows.limit(0), [], [F.col("o")], F.col("v"), "upto", str(tmp_path / "e"))
+    assert empty.collect() == [] and empty.columns == ["k", "o", "v", "id", "upto"]
