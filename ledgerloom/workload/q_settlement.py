@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ledgerloom.plans import settlement as P
 from ledgerloom.workload.feeds import CALENDAR_SQL, RUN_DATE, RUN_TS, STORE_WIDTH, Tables
 from ledgerloom.workload.registry import query
+from ledgerloom.workload.scratch import kept
 
 col = F.col
 
@@ -246,4 +247,4 @@ def _missing(t: Tables):
     from ledgerloom.plans import missing_store as N
 
     trans = P.combined([*_sources(t), P.partner_source(t.partner_txn)])
-    return N.report(trans, t.store, t.settlement_window, t.window_by_store, t.sap_map, t.factor, t.log_flags, t.settlement_std, "B9", RUN_TS)
+    return N.report(trans, t.store, t.settlement_window, t.window_by_store, t.sap_map, t.factor, t.log_flags, t.settlement_std, "B9", RUN_TS, kept)
