@@ -72,16 +72,28 @@ def channel_cohorts(billing: DataFrame, group: str, online: Column) -> DataFrame
     return per.groupBy(group, "month").agg(*aggs)
 
 
-def performance_levels(billing: DataFrame, store: DataFrame) -> DataFrame:
-    """D-19: monthly sales per store, state and country level by scheme and card type, one pass."""
+def performance_levels(billing: DataFrame, store: DataFrame, parts: int | None = None) -> DataFrame:
+    """D-19: monthly sales per store, state and country level by scheme and card type, one pass.
+
+    A store's levels are summed in the partition its rows were sent to (``parts``: the partitions'
+    number, which is to follow the rows'); those of states and countries start from sums over stores.
+    """
     dims = ["country", "state", "store_id", "scheme", "card_type", "month"]
     rows = billing.join(store.select("store_id", "state", F.lit("AU").alias("country")), "store_id").withColumn("month", D.month_start(F.col("tran_date")))
     kept = rows.where(F.col("approval") == "A")
-    places = [["country", "state", "store_id"], ["country", "state"], ["country"]]
+    kept = kept.repartition("store_id") if parts is None else kept.repartition(parts, "store_id")
     cuts = [["scheme", "card_type"], ["scheme"], ["card_type"], []]
-    sets = [[*p, *c, "month"] for p in places for c in cuts]
     sums = {"sales_count": R.net(F.col("kind"), K.PURCHASE_PLUS, K.PURCHASE_MINUS), "sales_cents": R.net(F.col("kind"), K.PURCHASE_PLUS, K.AMOUNT_MINUS, F.col("amount_cents"))}
-    return R.levels(kept, dims, sets, sums)
+    again = [F.sum(n).alias(n) for n in sums]
+    fine = kept.groupBy(*dims).agg(*[v.alias(n) for n, v in sums.items()])
+    views = F.array(*[F.struct(F.lit(i).alias("cut"), *[(F.col(d).cast("string") if d in cut else F.lit("All")).alias(d) for d in dims[3:5]]) for i, cut in enumerate(cuts)])
+    place = [*dims[:3], "month"]
+    stores = fine.select(*place, *sums, F.explode(views).alias("__l")).groupBy(*place, "__l").agg(*again)
+    stores = stores.select(*dims[:3], *[F.col(f"__l.{d}").alias(d) for d in dims[3:5]], "month", *sums)
+    keys = [d for d in dims if d != "store_id"]
+    wide = fine.groupBy(*keys).agg(*again)
+    wide = R.levels(wide, keys, [[*p, *c, "month"] for p in (["country", "state"], ["country"]) for c in cuts], sums, grouped=True)
+    return stores.unionByName(wide.withColumn("store_id", F.lit("All")))
 
 
 def against_market(levels: DataFrame, own: Sequence[str], market: Sequence[str], value: str) -> DataFrame:
