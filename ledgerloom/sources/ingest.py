@@ -161,9 +161,13 @@ def next_date_files(files: DataFrame, loaded: DataFrame) -> DataFrame:
 
 
 def above_group_high_water(src: DataFrame, target: DataFrame, group: str, mark: str = "file_date") -> DataFrame:
-    """J-02: rows beyond their group's newest mark; groups not seen before pass whole."""
+    """J-02: rows beyond their group's newest mark; groups not seen before pass whole.
+
+    Groups are few (organisations, feeds) and hold most rows each, so their marks go to the rows:
+    dealt by group, each group would be one task.
+    """
     high = target.groupBy(group).agg(F.max(mark).alias("__high"))
-    joined = src.join(high, group, "left")
+    joined = src.join(F.broadcast(high), group, "left")
     return joined.where(F.col("__high").isNull() | (F.col(mark) > F.col("__high"))).drop("__high")
 
 
