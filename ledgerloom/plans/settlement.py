@@ -191,7 +191,9 @@ def pre_settlement(
     check comes last: it counts ids over everything but joins eligible rows only.
     """
     everything = trans
-    trans = trans.where(F.col("transaction_time") < F.lit(run_date).cast("timestamp_ntz"))
+    # no window begins before the earliest one: older rows go before any join
+    earliest = windows.select("earliest_date").unionByName(by_store.select("earliest_date")).agg(F.min(F.col("earliest_date").cast("timestamp_ntz"))).scalar()
+    trans = trans.where((F.col("transaction_time") < F.lit(run_date).cast("timestamp_ntz")) & (F.col("transaction_time") >= earliest))
     open_stores = store.where(~F.col("is_closed")).withColumn("__id", X.norm_key(F.col("store_id")))
     rows = J.lookup(trans, open_stores, {"__id": "store_id"}, ["division", "site_name", "suburb", "state", "is_online"], "inner")
     active = windows.where(F.col("is_active") == "Y")
