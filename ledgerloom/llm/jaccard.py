@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import words as W
 from ledgerloom.llm.components import smallest_reachable
-from ledgerloom.llm.store import ROW, fresh_id, numbered, scratch, written
+from ledgerloom.llm.store import ROW, dropped, fresh_id, numbered, scratch, written
 
 SHINGLE = 5
 #: links need 100 * intersection >= PERCENT * union
@@ -40,6 +41,8 @@ SHORT = 24
 SPARE_SHARE = 0.5
 CENTRES = 2
 COUNTED = 4096
+#: signatures are shuffled in so many parts, one after the other: the disk holds one part's rows at a time
+PASSES = 3
 BROADCAST_NODES = 2_000_000
 #: sets in a segment from which it is cut into tokens
 CROWD = 64
@@ -107,8 +110,11 @@ def _pieces(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[pa.Reco
             yield batch.slice(a, b - a), shingle_sets(raw[part[0] : part[-1]], part - part[0], k)
 
 
-def signatures(sets: list[np.ndarray], table: list[dict], percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(set number, signature) of all segments and deletions; the low byte of a signature is its band."""
+def signatures(sets: list[np.ndarray], table: list[dict], percent: int, turn: int = 0, passes: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """(set number, signature) of all segments and deletions; the low byte of a signature is its band.
+
+    Of several ``passes`` each takes its own segments, the same ones of every set, so rows that agree are in one pass.
+    """
     sizes = np.array([len(s) for s in sets], np.int64)
     numbers, sigs = [], []
     for b, some in of_bands(sizes, table, percent):
@@ -118,12 +124,21 @@ def signatures(sets: list[np.ndarray], table: list[dict], percent: int) -> tuple
         owner = np.repeat(np.arange(len(some)), sizes[some])
         h = W.mix(tokens ^ U((b + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
         segment = ((h >> U(32)) * U(m) >> U(32)).astype(np.int64)
+        mine = np.flatnonzero((np.arange(m) + b) % passes == turn)
+        if not len(mine):
+            continue
+        if passes > 1:
+            place_of = np.full(m, -1)
+            place_of[mine] = np.arange(len(mine))
+            segment = place_of[segment]
+            taken = segment >= 0
+            h, owner, segment, m = h[taken], owner[taken], segment[taken], len(mine)
         cell = owner * m + segment
         h = W.mix(h)
         low = np.bincount(cell, (h & U(0xFFFFFFFF)).astype(np.float64), len(some) * m).astype(np.uint64)
         high = np.bincount(cell, (h >> U(32)).astype(np.float64), len(some) * m).astype(np.uint64)
         total = low + (high << U(32))
-        place = U(0xC2B2AE3D27D4EB4F) * (np.arange(m, dtype=np.uint64) + U(1))
+        place = U(0xC2B2AE3D27D4EB4F) * (mine.astype(np.uint64) + U(1))
         whole = W.mix(total + np.tile(place, len(some)))
         numbers.append(np.repeat(some, m))
         sigs.append((whole & ~U(255)) | U(b))
@@ -194,27 +209,33 @@ def document_sets(docs: DataFrame, k: int = SHINGLE, row: Column | None = None)
     return rows.mapInArrow(task, f"row {ROW}, doc_id long, n_shingles long, node long, check long")
 
 
-def crowded_segments(docs: DataFrame, sizes: DataFrame, k: int = SHINGLE, percent: int = PERCENT, partitions: int | None = None) -> DataFrame:
+def crowded_segments(docs: DataFrame, sizes: DataFrame, k: int = SHINGLE, percent: int = PERCENT, partitions: int | None = None, made: list[str] | None = None) -> DataFrame:
     """(sig, node, weight, size, rarer, token): segments that several sets share, after each set's skips;
     ``weight`` tells how central the set is among those it shares segments with, ``rarer`` how many of its
-    segments are less crowded, ``token`` if a segment is one token.  ``sizes``: node and n_shingles."""
+    segments are less crowded, ``token`` if a segment is one token.  ``sizes``: node and n_shingles.
+    ``made`` gets the paths of the tables the result reads."""
     table = bands(percent)
 
-    def sign(batches):
+    def sign(turn, batches):
         done = np.empty(0, np.uint64)  # nodes this task has signed: copies are signed once
         for _, sets in _pieces(batches, k):
             ids, _ = set_ids(sets)
             _, first = np.unique(ids, return_index=True)
             first = first[~np.isin(ids[first], done)]
             done = np.concatenate([done, ids[first]])
-            numbers, sigs = signatures([sets[i] for i in first], table, percent)
+            numbers, sigs = signatures([sets[i] for i in first], table, percent, turn, PASSES)
             yield pa.RecordBatch.from_arrays([_signed(sigs), _signed(ids[first][numbers] if len(numbers) else np.empty(0, np.uint64))], ["sig", "node"])
 
     texts = docs.select(F.col("text").cast("string").alias("text"))
-    signed = texts.mapInArrow(sign, "sig long, node long")
     n = partitions or max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), texts.rdd.getNumPartitions())
-    met = signed.repartition(n, "sig").sortWithinPartitions("sig", "node").mapInArrow(crowded, "node long, sig long, n long")
-    met, _ = written(met, "jaccard-segments")
+    met = None
+    for turn in range(PASSES):
+        signed = texts.mapInArrow(partial(sign, turn), "sig long, node long")
+        part = signed.repartition(n, "sig").sortWithinPartitions("sig", "node").mapInArrow(crowded, "node long, sig long, n long")
+        part, path = written(part, "jaccard-segments")
+        if made is not None:
+            made.append(path)
+        met = part if met is None else met.unionByName(part)
 
     # (sets of fewer than 2 ** 31 shingles) segments - skip - 1 is the most tokens in which a set can differ from a partner
     column = lambda name: F.array(*[F.lit(int(t[name])) for t in table])
@@ -244,8 +265,11 @@ def node_components(docs: DataFrame, rows: DataFrame, k: int = SHINGLE, percent:
     """(node, component) of all nodes with links, and the links (a, b) that were verified.  ``rows``: ``document_sets``."""
     spark = docs.sparkSession
     place = Window.partitionBy("sig").orderBy(F.col("weight").desc(), "node")
-    several = crowded_segments(docs, rows, k, percent).withColumn("place", F.row_number().over(place))
+    segments = []
+    several = crowded_segments(docs, rows, k, percent, made=segments).withColumn("place", F.row_number().over(place))
     several, _ = written(several.drop("weight"), "jaccard-places")
+    for path in segments:
+        dropped(spark, path)
     nodes = several.select(F.col("node").alias("wanted")).distinct()
     nodes, _ = written(nodes, "jaccard-nodes")
 

@@ -29,6 +29,21 @@ def new_path(spark: SparkSession, what: str) -> str:
     return f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Each query run inside deletes its shuffle files when it ends, not when the driver next collects its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def written(df: DataFrame, what: str) -> tuple[DataFrame, str]:
     """The rows of ``df`` as a table of the shared folder, and its path."""
     spark = df.sparkSession
@@ -36,7 +51,8 @@ def written(df: DataFrame, what: str) -> tuple[DataFrame, str]:
     made = _MADE.get()
     if made is not None:
         made.append(path)
-    df.write.parquet(path)
+    with shuffles_freed(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
