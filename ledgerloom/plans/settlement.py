@@ -266,15 +266,25 @@ def open_rows(std: DataFrame, partner: bool) -> DataFrame:
     return std.where(F.col("setlmnt_result_file").isNull() & (is_partner if partner else ~is_partner))
 
 
-def ledger_detail(std: DataFrame, store: DataFrame, windows: DataFrame, sap_map: DataFrame, run_ts: dt.datetime, prefix: str = "LEDGER") -> DataFrame:
-    """Settlement and commission per row, with both customers' keys."""
+def ledger_places(store: DataFrame, windows: DataFrame, sap_map: DataFrame, run_ts: dt.datetime, prefix: str = "LEDGER") -> DataFrame:
+    """What the lines of a store's rows need: its division's window, its mapping and its commission store's, its file."""
     mapped = sap_map.where(X.norm_key(F.coalesce("active_flag", F.lit(""))) != "N")
-    rows = J.lookup(open_rows(std, partner=False), store, {"store_id": "store_id"}, ["division"], "inner")
-    rows = J.lookup(rows, windows, {"division": "division"}, ["division_type", "commission_store"], "inner")
+    rows = J.lookup(store.select("store_id", "division"), windows, {"division": "division"}, ["division_type", "commission_store"], "inner")
     keys = {"company_code": "company_code", "merchant_organisation_id": "org", "merchant_store_number": "store_no", "customer_number": "customer", "currency_code": "currency"}
     rows = J.lookup(rows, mapped, {"store_number": "store_id"}, {**keys, "commission_percent": "pct", "commission_fixed": "fix"}, "inner")
     rows = J.lookup(rows, mapped, {"store_number": "commission_store"}, {k: v + "_c" for k, v in keys.items()})
-    rows = J.lookup(rows, company_files(sap_map, prefix, run_ts), {"company_code": "company_code"}, ["file_name"], "inner")
+    return J.lookup(rows, company_files(sap_map, prefix, run_ts), {"company_code": "company_code"}, ["file_name"], "inner")
+
+
+def ledger_detail(std: DataFrame, store: DataFrame, windows: DataFrame, sap_map: DataFrame, run_ts: dt.datetime, prefix: str = "LEDGER") -> DataFrame:
+    """Settlement and commission per row, with both customers' keys."""
+    return placed_detail(std, ledger_places(store, windows, sap_map, run_ts, prefix))
+
+
+def placed_detail(std: DataFrame, places: DataFrame) -> DataFrame:
+    """``ledger_detail`` of stores' ``places``: all but the rows is joined before, so the rows are joined once."""
+    named = places.where(F.col("company_code").isNotNull() & F.col("file_name").isNotNull())  # all are: details and trailers read the same lines, by one plan
+    rows = J.lookup(open_rows(std, partner=False), named, {"store_id": "store_id"}, [c for c in places.columns if c != "store_id"], "inner")
     amount = M.minor_to_major(F.coalesce("settlement_cents", F.lit(0)) + F.coalesce("discount_cents", F.lit(0)))
     fee = M.service_fee(M.commission_flag(F.col("commission_store"), F.col("transaction_type")), amount, F.col("pct"), F.col("fix"))
     order = F.when(X.non_blank(F.col("order_number")) & (F.col("division_type") == "INTERNAL"), F.col("order_number"))
@@ -284,13 +294,14 @@ def ledger_detail(std: DataFrame, store: DataFrame, windows: DataFrame, sap_map:
 def ledger_lines(detail: DataFrame) -> DataFrame:
     """D-10, G-08: one settlement and one commission line per key, zero sums left out.
 
-    Both line kinds come from one scan: each row is unpivoted to its two postings.
+    Both line kinds come from one scan: each row is unpivoted to its two postings, of which those
+    without an amount add nothing.
     """
     posting = F.array(
         F.struct(F.col("org").alias("org"), F.col("store_no").alias("store_no"), F.col("customer").alias("customer"), F.col("store_id").alias("location"), F.col("currency").alias("currency"), F.lit("settlement").alias("line"), F.col("net").alias("amount")),
         F.struct(F.col("org_c").alias("org"), F.col("store_no_c").alias("store_no"), F.col("customer_c").alias("customer"), F.col("commission_store").alias("location"), F.col("currency_c").alias("currency"), F.lit("commission").alias("line"), F.col("commission").alias("amount")),
     )
-    rows = detail.select("file_name", "company_code", "record_type", "day", "order_ref", F.explode(posting).alias("p")).select("file_name", "company_code", F.col("record_type").alias("kind"), "day", "order_ref", "p.*")
+    rows = detail.select("file_name", "company_code", "record_type", "day", "order_ref", F.explode(posting).alias("p")).select("file_name", "company_code", F.col("record_type").alias("kind"), "day", "order_ref", "p.*").where(F.col("amount") != 0)
     keys = ["file_name", "company_code", "kind", "line", "org", "store_no", "customer", "location", "currency", "day", "order_ref"]
     summed = rows.groupBy(*keys).agg(F.sum("amount").alias("total")).where(F.col("total") != 0)
     return summed.withColumn("amount_cents", F.round(F.col("total") * 100, 0).cast("long")).drop("total")

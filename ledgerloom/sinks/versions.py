@@ -19,7 +19,7 @@ from dataclasses import dataclass, field
 from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,18 +35,21 @@ class CommitConflict(RuntimeError):
 
 @dataclass(frozen=True)
 class Write:
-    """What a batch does to one table: its rows become ``df`` (replace), get ``df`` added (append), or those
-    of the parts that ``df`` holds, or ``parts`` names, become ``df`` (parts).
-
-    ``df`` may be a function of a reader of what the batch has written to earlier tables.  ``hidden``
-    columns are written for later tables of the batch; they are no columns of the table.  ``options``
-    are the writer's.
+    """What a batch does to one table: its rows become ``df`` (replace), get ``df`` added (append), those
+    of the parts that ``df`` holds, or ``parts`` names, become ``df`` (parts), or the parts that ``parts``
+    names go and ``df`` is added, to whatever parts its rows are of (move).
+
+    ``df`` may be a function of a reader of what the batch has written to earlier tables.  ``by`` is a
+    column or its name; where all rows are of one part, ``one`` names it and they are written as they
+    come.  ``hidden`` columns are written for later tables of the batch; they are no columns of the
+    table.  ``options`` are the writer's.
     """
 
     df: DataFrame | Callable[[Callable[[str], DataFrame]], DataFrame]
     how: str = "replace"
-    by: str | None = None
+    by: str | Column | None = None
     parts: tuple[str, ...] = ()
+    one: str | None = None
     hidden: tuple[str, ...] = ()
     options: Mapping[str, str] = field(default_factory=dict)
 
@@ -114,12 +117,23 @@ class VersionedTables:
             return self.spark.createDataFrame([], kind)
         return self.spark.read.schema(kind).option("recursiveFileLookup", "true").parquet(*[f"{self.root}/{f}" for f in folders])
 
+    def parts(self, table: str, version: int | None = None) -> list[str]:
+        """Parts of a table in a version (the newest) that have folders."""
+        rows = self.manifest(version).where((F.col("table_name") == table) & (F.col("entry") == "folder")).select("part").distinct().collect()
+        return sorted(r["part"] for r in rows)
+
     def holds(self, batch: str, version: int | None = None) -> bool:
         """Is the batch part of the version?"""
         return not self.manifest(version).where((F.col("entry") == "batch") & (F.col("batch") == batch)).isEmpty()
 
     # writing
 
+    def aside(self, df: DataFrame) -> DataFrame:
+        """Rows that several steps of a batch read, written once and of a size that Spark knows; gone with the next ``vacuum``."""
+        path = f"{self.root}/_aside/run={uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def commit(self, batch: str, writes: Mapping[str, Write], after_write: Callable[[str], None] | None = None) -> bool:
         """All of ``writes`` or none; False if the newest version holds the batch already.
 
@@ -142,19 +156,20 @@ class VersionedTables:
             gone = F.lit(True)
             if write.by is None:
                 df.write.options(**write.options).parquet(f"{self.root}/{folder}")
-                new.append(("folder", table, WHOLE, folder, batch, None))
-                if write.how == "parts":
+                new.append(("folder", table, write.one or WHOLE, folder, batch, None))
+                if write.how in ("parts", "move"):
                     raise ValueError(f"{table}: parts of which column?")
             else:
-                part = F.coalesce(F.col(write.by).cast("string"), F.lit("null"))
+                by = F.col(write.by) if isinstance(write.by, str) else write.by
+                part = F.coalesce(by.cast("string"), F.lit("null"))
                 # rows of one part go together, those of a large one to several tasks
                 df.withColumn("__part", part).hint("rebalance", "__part").write.options(**write.options).partitionBy("__part").parquet(f"{self.root}/{folder}")
                 values = self._parts_of(folder)
                 new += [("folder", table, value, f"{folder}/{name}", batch, None) for value, name in values]
-                gone = F.col("part").isin([v for v, _ in values] + list(write.parts))
+                gone = F.col("part").isin(([] if write.how == "move" else [v for v, _ in values]) + list(write.parts))
             if write.how != "append":
                 old = (F.col("entry") == "folder") & (F.col("table_name") == table)
-                kept = kept.where(~(old & (gone if write.how == "parts" else F.lit(True))))
+                kept = kept.where(~(old & (gone if write.how in ("parts", "move") else F.lit(True))))
             if after_write:
                 after_write(table)
         new.append(("batch", None, None, None, batch, None))

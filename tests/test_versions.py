@@ -8,6 +8,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom.plans import settlement as P
 from ledgerloom.plans import settlement_run as R
 from ledgerloom.sinks.versions import CommitConflict, VersionedTables, Write, replace_days
 from ledgerloom.workload.feeds import RUN_TS, Tables
@@ -121,3 +122,24 @@ def test_a_settlement_run_stopped_anywhere_changes_nothing(tables, feeds):
     assert {r["batch_number"] for r in tables.read("control").collect()} == {"B1"}
     assert tables.read("history").where("run = 'B1'").count() == lines.count()
     assert set(_SHOWN) == set(tables.tables())
+
+
+def test_a_run_leaves_settled_rows_where_they_are(tables, feeds):
+    """Settled rows are not written anew; open rows of one id share the greatest file; rows without an id or a mapping stay."""
+    file_of = {r["company_code"]: r["file_name"] for r in P.company_files(feeds["sap_map"], "LEDGER", RUN_TS).collect()}
+    store_of = {r["company_code"]: r["store_number"] for r in feeds["sap_map"].where("active_flag = 'Y'").collect()}
+    low, high = sorted(store_of, key=file_of.get)[:2]
+    odd = feeds["settlement_std"].where("setlmnt_result_file IS NULL AND tran_uid NOT LIKE 'QP%'").limit(1)
+    twins = [odd.withColumns({"tran_uid": F.lit("TC_twin"), "store_id": F.lit(store_of[c])}) for c in (low, high)]
+    std = feeds["settlement_std"].unionByName(twins[0]).unionByName(twins[1]).unionByName(odd.withColumn("tran_uid", F.lit(None).cast("string")))
+    std = std.unionByName(odd.withColumns({"tran_uid": F.lit("TC_unmapped"), "store_id": F.lit("S999999999")}))
+    R.start(tables, std, feeds["settlement_window"], feeds["window_by_store"], "LOAD", "yyyy")
+    folders = lambda version: {r["folder"] for r in tables.manifest(version).where("entry = 'folder' AND table_name = 'settlement'").collect()}
+    settled = {f for f in folders(1) if "open" not in f}
+    assert R.run(tables, feeds["store"], feeds["sap_map"], "B1", RUN_TS)
+    assert settled and settled <= folders(2) and not (folders(1) - settled) & folders(2)
+    now = tables.read("settlement")
+    assert now.count() == std.count() and now.where("tran_uid IS NULL").count() == 1
+    assert [r["setlmnt_result_file"] for r in now.where("tran_uid = 'TC_twin'").collect()] == [file_of[high]] * 2
+    still_open = tables.read("settlement", parts=[p for p in tables.parts("settlement") if p.endswith(" open")])
+    assert still_open.where("tran_uid = 'TC_unmapped'").count() == 1 and still_open.where("setlmnt_result_file IS NOT NULL").isEmpty()
