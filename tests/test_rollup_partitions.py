@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 
 from ledgerloom.plans import analytics as P
+from ledgerloom.workload import q_analytics as Q
 from ledgerloom.workload.feeds import Tables
+from ledgerloom.workload.scratch import kept
 
 
 def _exchanges(df) -> list[str]:
@@ -28,3 +30,22 @@ def test_payments_move_their_rows_twice(spark):
     plan = P.payments_and_refunds(t.billing, t.store, calendar=t.calendar, parts=7)
     moved = [e for e in _exchanges(plan) if "timeframe" in e[0]]
     assert not moved and [e[1] for e in _exchanges(plan)].count("7") == 2
+
+
+def test_payments_move_no_rows_for_their_stores(spark):
+    t = Tables(spark, "/root/testdata/sf0.001")
+    links = t.chargebacks.where("id % 2 = 0").selectExpr("id", "'VISA' AS scheme", "'CREDIT' AS card_type")
+    for plan in (Q._payments(t), Q._snapshot(t), P.payments_snapshot(t.billing, t.chargebacks, t.store, links, calendar=t.calendar, parts=7, once=kept)):
+        moved = _exchanges(plan)
+        assert moved and not [keys for keys, _, _ in moved if keys.startswith("__k")]
+    # stores too large to send to every task meet the day rows in these rows' partitions, chargebacks those of their id
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "300")
+    try:
+        plan = P.payments_snapshot(t.billing, t.chargebacks, t.store, links, calendar=t.calendar, parts=7, once=kept)
+        assert "SortMergeJoin [__k0" in plan._jdf.queryExecution().executedPlan().toString()
+        moved = _exchanges(plan)
+        assert {n for keys, n, _ in moved if keys.startswith("id#")} == {"7"}
+        assert "7" in {n for keys, n, _ in moved if keys.startswith("__k0")}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
