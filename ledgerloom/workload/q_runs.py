@@ -124,4 +124,5 @@ def _fee_run(t: Tables):
     for name in R.create_listing_views(tables.read("listing"), config, replace=True):
         view = spark.table(name)
         out = out.unionByName(line(view, name, view.columns))
+        spark.catalog.dropTempView(name)  # the rows are bound; the session keeps no view
     return out

@@ -92,3 +92,14 @@ def test_one_view_a_prefix(spark, rows):
         R.create_listing_views(listing, rows(CONFIG, [("a b", "W1", "a-b", "W1")]), layouts)
     with pytest.raises(ValueError, match="no layout W3"):
         R.create_listing_views(listing, rows(CONFIG, [("P0", "W3", None, None)]), layouts)
+
+
+def test_queries_leave_no_views_in_the_session(spark):
+    from ledgerloom.workload import q_files, q_runs
+    from ledgerloom.workload.feeds import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    for made in (q_files._b11(t), q_runs._fee_run(t)):
+        left = {v.name for v in spark.catalog.listTables() if v.isTemporary}
+        assert not [v for v in left if v == "ledgerloom_customers" or "_fee_listing_v" in v]
+        assert made.count()
