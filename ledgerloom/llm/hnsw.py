@@ -8,6 +8,8 @@ the graph in step.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 LINKS = 32
@@ -16,6 +18,8 @@ SEARCH_BEAM = 256
 BATCH = 512
 STRIDE = 16
 ENTRIES = 32
+SLICE_BYTES = 16 << 20  # of what is gathered at a time
+CACHE_BYTES = 1 << 20  # of vectors gathered for their products
 
 
 def levels_of(ids: np.ndarray, links: int = LINKS) -> np.ndarray:
@@ -26,6 +30,20 @@ def levels_of(ids: np.ndarray, links: int = LINKS) -> np.ndarray:
     return np.floor(-np.log(np.maximum(u, 1e-18)) / np.log(links)).astype(np.int64)
 
 
+def sliced(n: int, row_bytes: int, most: int | None = None, size: int = SLICE_BYTES) -> Iterator[slice]:
+    """Slices of ``n`` rows, of about ``size`` bytes and at most ``most`` rows each."""
+    step = max(1, min(most or n, size // max(1, row_bytes)))
+    return (slice(a, a + step) for a in range(0, n, step))
+
+
+def products(one: np.ndarray, i: np.ndarray, other: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Inner products of the rows ``i`` of one array with the rows ``j`` of the other, gathered a slice at a time."""
+    out = np.empty(len(i), np.result_type(one, other))
+    for a in sliced(len(i), one[:1].nbytes, size=CACHE_BYTES):
+        out[a] = np.einsum("ed,ed->e", one.take(i[a], axis=0), other.take(j[a], axis=0))
+    return out
+
+
 def walk(vectors: np.ndarray, graph: np.ndarray, queries: np.ndarray, entry: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
     """Best nodes and inner products of each query, best first (-1 where there are fewer).
 
@@ -33,20 +51,22 @@ def walk(vectors: np.ndarray, graph: np.ndarray, queries: np.ndarray, entry: np.
     nodes of every beam at once.
     """
     b, n = len(queries), len(vectors)
-    reached = np.zeros((b, n + 1), np.int32)  # when a query reached a node; node -1 counts as reached
-    reached[:, n] = -1
+    reached = np.zeros((b, n + 1), np.int32)  # when a query reached a node; node -1, in the first place, counts as reached
+    reached[:, 0] = -1
+    flat = reached.ravel()
     nodes, score, opened = np.full((b, beam), -1, np.int64), np.full((b, beam), -np.inf, np.float32), np.zeros((b, beam), bool)
     stride, clock = min(STRIDE, beam), 0
     row, near = np.repeat(np.arange(b), entry.shape[1]), entry.ravel()
     while True:
-        fresh = reached[row, near] == 0
-        row, near = row[fresh], near[fresh]
+        place = row * (n + 1) + near + 1
+        fresh = np.flatnonzero(flat.take(place) == 0)
+        row, near, place = row.take(fresh), near.take(fresh), place.take(fresh)
         turn = np.arange(clock + 1, clock + 1 + len(near), dtype=np.int32)
         clock += len(near)
-        reached[row, near] = turn
-        once = reached[row, near] == turn  # a node reached twice in one step counts once
-        row, near = row[once], near[once]
-        found = np.einsum("ed,ed->e", vectors[near], queries[row])
+        flat[place] = turn
+        once = np.flatnonzero(flat.take(place) == turn)  # a node reached twice in one step counts once
+        row, near = row.take(once), near.take(once)
+        found = products(vectors, near, queries, row)
         better = found > score[:, -1][row] if clock > len(turn) else np.ones(len(near), bool)
         row, near, found = row[better], near[better], found[better]
         if len(row):
@@ -95,13 +115,13 @@ def nearest_members(vectors: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndar
     n = len(vectors)
     beam = min(beam, n - 1)
     cands, score = np.empty((n, beam), np.int64), np.empty((n, beam), np.float32)
-    for a in range(0, n, BATCH):
-        near = vectors[a : a + BATCH] @ vectors.T
-        near[np.arange(len(near)), np.arange(a, a + len(near))] = -np.inf
+    for a in sliced(n, vectors.itemsize * n, BATCH):
+        near = vectors[a] @ vectors.T
+        near[np.arange(len(near)), np.arange(a.start, a.start + len(near))] = -np.inf
         best = np.argpartition(near, n - beam, axis=1)[:, n - beam :] if beam else np.empty((len(near), 0), np.int64)
         near = np.take_along_axis(near, best, 1)
         order = np.argsort(-near, axis=1, kind="stable")
-        cands[a : a + BATCH], score[a : a + BATCH] = np.take_along_axis(best, order, 1), np.take_along_axis(near, order, 1)
+        cands[a], score[a] = np.take_along_axis(best, order, 1), np.take_along_axis(near, order, 1)
     return cands, score
 
 
@@ -132,7 +152,7 @@ def with_links_back(vectors: np.ndarray, graph: np.ndarray) -> np.ndarray:
     new, to = new[to >= 0], to[to >= 0]
     back = ~np.isin(to * n + new, new * n + to, assume_unique=True)  # not linked already
     new, to = new[back], to[back]
-    near = np.einsum("ed,ed->e", vectors[to], vectors[new])
+    near = products(vectors, to, vectors, new)
     order = np.lexsort((-near, to))
     new, to = new[order], to[order]
     place = np.arange(len(to)) - np.searchsorted(to, to)
@@ -140,15 +160,15 @@ def with_links_back(vectors: np.ndarray, graph: np.ndarray) -> np.ndarray:
     some = place < links
     extra[to[some], place[some]] = new[some]
     out = np.empty_like(graph)
-    for a in range(0, n, BATCH):
-        c = np.concatenate([graph[a : a + BATCH], extra[a : a + BATCH]], axis=1)
-        near = np.where(c >= 0, np.einsum("bed,bd->be", vectors[c], vectors[a : a + BATCH]), -np.inf)
+    for a in sliced(n, 2 * links * vectors[:1].nbytes, BATCH):
+        c = np.concatenate([graph[a], extra[a]], axis=1)
+        near = np.where(c >= 0, np.einsum("bed,bd->be", vectors[c], vectors[a]), -np.inf)
         order = np.argsort(-near, axis=1, kind="stable")
         c, near = np.take_along_axis(c, order, 1), np.take_along_axis(near, order, 1)
         over = (c >= 0).sum(axis=1) > links
-        out[a : a + BATCH] = c[:, :links]
+        out[a] = c[:, :links]
         if over.any():
-            out[a : a + BATCH][over] = spread(vectors, c[over], near[over], links)
+            out[a][over] = spread(vectors, c[over], near[over], links)
     return out
 
 
@@ -169,7 +189,7 @@ def build(vectors: np.ndarray, ids: np.ndarray, links: int = LINKS, beam: int =
         most = links if layers else links * 2
         local = v[members]
         cands, score = nearest_members(local, beam)
-        graph = np.concatenate([spread(local, cands[a : a + BATCH], score[a : a + BATCH], most) for a in range(0, len(members), BATCH)])
+        graph = np.concatenate([spread(local, cands[a], score[a], most) for a in sliced(len(members), cands.shape[1] * local[:1].nbytes, BATCH)])
         layers.append((members, with_links_back(local, graph)))
         above = level[members] >= len(layers)
         above |= unreached(layers[-1][1], above)
@@ -194,15 +214,21 @@ def descend(v: np.ndarray, layers: list[tuple[np.ndarray, np.ndarray]], queries:
     return np.where(entry < 0, entry[:, :1], entry)
 
 
-def search(vectors: np.ndarray, layers: list[tuple[np.ndarray, np.ndarray]], queries: np.ndarray, beam: int = SEARCH_BEAM) -> np.ndarray:
-    """Node numbers of the best ``beam`` found of each query (-1 where there are fewer)."""
+def searched(vectors: np.ndarray, layers: list[tuple[np.ndarray, np.ndarray]], queries: np.ndarray, beam: int = SEARCH_BEAM) -> Iterator[tuple[slice, np.ndarray]]:
+    """Slices of the queries, each with the node numbers of the best ``beam`` found of its queries (-1 where there are fewer)."""
     v = vectors.astype(np.float32)
-    out = np.full((len(queries), beam), -1, np.int64)
     members, graph = layers[-1]
     local = v[members]
     for a in range(0, len(queries), BATCH):
         q = queries[a : a + BATCH].astype(np.float32)
         entry = descend(v, layers, q)
         found, _ = walk(local, graph, q, entry, beam)
-        out[a : a + BATCH] = np.where(found >= 0, members[found], -1)
+        yield slice(a, a + len(q)), np.where(found >= 0, members[found], -1)
+
+
+def search(vectors: np.ndarray, layers: list[tuple[np.ndarray, np.ndarray]], queries: np.ndarray, beam: int = SEARCH_BEAM) -> np.ndarray:
+    """Node numbers of the best ``beam`` found of each query (-1 where there are fewer)."""
+    out = np.full((len(queries), beam), -1, np.int64)
+    for at, found in searched(vectors, layers, queries, beam):
+        out[at] = found
     return out

@@ -19,11 +19,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import hnsw
-from ledgerloom.llm.store import scratch, written
+from ledgerloom.llm.store import scratch, setting, written
 
 SHARD_BYTES = 8 << 20
 SHARD_ROWS = 32_768  # short vectors: links are found by comparing all of a shard
 BLOCK_BYTES = 16 << 20
+#: a shard's index is a row of some 10 MB: the writer looks at its size after each, not after 100
+LARGE_ROWS = {"parquet.block.size": str(16 << 20), "parquet.block.size.row.check.min": "1", "parquet.page.size.row.check.min": "1"}
 _FOUND = "query_id long, vec_id long, score double"
 
 
@@ -57,13 +59,14 @@ def build_shard(key: tuple, table: pa.Table) -> pa.Table:
     return pa.table({"shard": pa.array([key[0].as_py()]), "index": pa.array([blob], pa.large_binary()).cast(pa.binary())})
 
 
-def search_shard(index: dict, ids: np.ndarray, queries: np.ndarray, k: int, beam: int) -> pa.RecordBatch:
-    """(query_id, vec_id, score): the best ``k`` of the shard, without the query itself."""
+def _best_of(index: dict, ids: np.ndarray, queries: np.ndarray, found: np.ndarray, k: int) -> list[np.ndarray]:
+    """query_id, vec_id and score of the best ``k`` among the nodes ``found`` for each query."""
     vectors, starts = index["vectors"], index["starts"]
-    found = hnsw.search(vectors, index["layers"], queries, max(beam, k + 1))
     q, cand = np.repeat(np.arange(len(ids)), found.shape[1]), found.ravel()
     q, cand = q[cand >= 0], cand[cand >= 0]
-    score = (vectors[cand] * queries[q]).sum(axis=1)
+    score = np.empty(len(q))
+    for a in hnsw.sliced(len(q), vectors[:1].nbytes):
+        score[a] = (vectors[cand[a]] * queries[q[a]]).sum(axis=1)
     copies = np.minimum(starts[cand + 1] - starts[cand], k + 1)  # more can't be among the best k
     at = np.repeat(starts[cand], copies) + np.arange(int(copies.sum())) - np.repeat(np.cumsum(copies) - copies, copies)
     q, score, near = np.repeat(q, copies), np.repeat(score, copies), index["ids"][at]
@@ -73,7 +76,17 @@ def search_shard(index: dict, ids: np.ndarray, queries: np.ndarray, k: int, beam
     q, score, near = q[order], score[order], near[order]
     place = np.arange(len(q)) - np.searchsorted(q, q)
     top = place < k
-    return pa.RecordBatch.from_arrays([pa.array(ids[q[top]]), pa.array(near[top]), pa.array(score[top])], ["query_id", "vec_id", "score"])
+    return [ids[q[top]], near[top], score[top]]
+
+
+def search_shard(index: dict, ids: np.ndarray, queries: np.ndarray, k: int, beam: int) -> pa.RecordBatch:
+    """(query_id, vec_id, score): the best ``k`` of the shard, without the query itself.
+
+    What is found for a slice of the queries is cut to the best ``k`` before the next slice.
+    """
+    found = hnsw.searched(index["vectors"], index["layers"], queries, max(beam, k + 1))
+    best = [_best_of(index, ids[at], queries[at], nodes, k) for at, nodes in found]
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(column)) for column in zip(*best, strict=True)], ["query_id", "vec_id", "score"])
 
 
 def _search(batches: Iterator[pa.RecordBatch], ids: np.ndarray, queries: np.ndarray, k: int, beam: int) -> Iterator[pa.RecordBatch]:
@@ -114,6 +127,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, beam: int = hns
     plain = lambda df: df.select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").cast("array<double>").alias("vector")).where(F.col("id").isNotNull() & usable(F.col("vector")))
     with scratch(spark) as keep:
         rows = plain(vectors)
+        if not rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+            rows, _ = written(_one_each(rows), "neighbours-vectors")  # else all rows of an id are one shard's
         asked, _ = written(_one_each(plain(queries)), "neighbours-queries")
         size = F.size("vector").alias("d")
         sizes = {r["d"]: r["n"] for r in rows.groupBy(size).agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -122,7 +137,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, beam: int = hns
         for dim, n in sorted(sizes.items()):  # one length, as a rule
             shards = max(1, math.ceil(8 * dim * n / shard_bytes), math.ceil(n / SHARD_ROWS))
             of = rows.where(F.size("vector") == dim).withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("long"))
-            index, _ = written(of.groupBy("shard").applyInArrow(build_shard, "shard long, index binary"), "neighbours-index")
+            index, _ = written(of.groupBy("shard").applyInArrow(build_shard, "shard long, index binary"), "neighbours-index", **LARGE_ROWS)
             blocks = math.ceil(8 * dim * n_asked.get(dim, 0) / block_bytes)
             for b in range(blocks):
                 block = asked.where((F.size("vector") == dim) & (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)) == b)).toArrow()
@@ -130,7 +145,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, beam: int = hns
                     continue
                 sent = spark.sparkContext.broadcast((np.asarray(block.column("id").combine_chunks()), _matrix(block.column("vector"))))
                 task = lambda batches, sent=sent: _search(batches, *sent.value, k, beam)
-                parts.append(written(index.select("index").mapInArrow(task, _FOUND), "neighbours-found")[0])
+                with setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", "1"):  # a task holds one shard at a time
+                    parts.append(written(index.select("index").mapInArrow(task, _FOUND), "neighbours-found")[0])
                 sent.destroy()
         found = parts[0] if parts else spark.createDataFrame([], _FOUND)
         for part in parts[1:]:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 from contextvars import ContextVar
 
 from pyspark.errors import AnalysisException
@@ -30,11 +30,10 @@ def new_path(spark: SparkSession, what: str) -> str:
 
 
 @contextmanager
-def shuffles_freed(spark: SparkSession) -> Iterator[None]:
-    """Each query run inside deletes its shuffle files when it ends, not when the driver next collects its garbage."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """The session's setting ``name`` is ``value`` inside."""
     before = spark.conf.get(name, None)
-    spark.conf.set(name, "true")
+    spark.conf.set(name, value)
     try:
         yield
     finally:
@@ -44,15 +43,20 @@ def shuffles_freed(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(name, before)
 
 
-def written(df: DataFrame, what: str) -> tuple[DataFrame, str]:
-    """The rows of ``df`` as a table of the shared folder, and its path."""
+def shuffles_freed(spark: SparkSession) -> AbstractContextManager[None]:
+    """Each query run inside deletes its shuffle files when it ends, not when the driver next collects its garbage."""
+    return setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
+def written(df: DataFrame, what: str, **options: str) -> tuple[DataFrame, str]:
+    """The rows of ``df`` as a table of the shared folder, and its path; ``options`` are the writer's."""
     spark = df.sparkSession
     path = new_path(spark, what)
     made = _MADE.get()
     if made is not None:
         made.append(path)
     with shuffles_freed(spark):
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
